@@ -22,15 +22,23 @@ def normalize_salary(c: Column, usd_rate: int = USD_TO_VND, mode: str = "compat"
     if mode == "strict":
         ungrouped = F.regexp_replace(text, r"(?<=\d)\.(?=\d{3}(?!\d))", "")
         text = F.when(text.contains("triệu"), text).otherwise(ungrouped)
-    numbers = F.regexp_extract_all(text, F.lit(r"\d+(?:\.\d+)?"), F.lit(0))
-    total = F.aggregate(numbers, F.lit(0.0), lambda acc, n: acc + n.try_cast("double"))
     factor = (
         F.when(text.contains("usd") | text.contains("$"), usd_rate)
         .when(text.contains("triệu"), MILLION)
         .otherwise(1)
     )
-    amount = (F.try_divide(total, F.size(numbers)) * factor).try_cast("bigint")
-    return F.when(~contains_any(c, NEGOTIABLE) & (amount > 0), amount)
+
+    def add(acc: Column, number: Column) -> Column:
+        return F.struct((acc["sum"] + number.try_cast("double")).alias("sum"), (acc["n"] + 1).alias("n"))
+
+    def amount(acc: Column) -> Column:
+        mean = F.try_divide(acc["sum"], acc["n"])
+        return F.when(mean * factor >= 1, (mean * factor).try_cast("bigint"))
+
+    # One walk over the numbers gives sum, count and amount: the text is matched only once.
+    numbers = F.regexp_extract_all(text, F.lit(r"\d+(?:\.\d+)?"), F.lit(0))
+    nothing = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
+    return F.when(~contains_any(text, NEGOTIABLE), F.aggregate(numbers, nothing, add, amount))
 
 
 def currency_unit(salary: Column) -> Column:

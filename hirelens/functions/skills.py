@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,9 +18,16 @@ from pyspark.sql import functions as F
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions.text import WORD
 
-SPAN_TYPE = "array<struct<start:int,end:int>>"
+SPAN = "struct<start:int,end:int>"
 # Marks the matches inside a text; the twin replaces it where the text already holds one.
 MARK, TWIN = "\x01", "\x02"
+# Growing an array copies it. Arrays grow in blocks of this size, which keeps long texts cheap.
+BLOCK_SIZE = 256
+
+
+def _fold(term: str) -> str:
+    """The term with letter case taken away, as case-blind matching sees it."""
+    return term.upper().lower()
 
 
 def _is_word(char: str) -> bool:
@@ -47,7 +54,7 @@ def _can_overlap(first: str, second: str) -> bool:
 def layers(terms: Sequence[str]) -> list[list[str]]:
     """Cut the terms into lists of which no two terms can overlap in a text."""
     result: list[list[str]] = []
-    for term in dict.fromkeys(t.lower() for t in terms):
+    for term in dict.fromkeys(_fold(t) for t in terms):
         for layer in result:
             if not any(_can_overlap(term, t) or _can_overlap(t, term) for t in layer):
                 layer.append(term)
@@ -57,14 +64,22 @@ def layers(terms: Sequence[str]) -> list[list[str]]:
     return result
 
 
+def _any_case(chars: set[str]) -> str:
+    """Character class of the given characters in upper and lower case."""
+    every = {form for c in chars for form in (c.lower(), c.upper()) if len(form) == 1}
+    # Two signs outside ASCII count as case forms of an ASCII letter.
+    every |= {sign for letter, sign in (("s", "\u017f"), ("k", "\u212a")) if letter in chars}
+    return "[" + "".join(re.escape(c) for c in sorted(every)) + "]"
+
+
 def lexicon_pattern(terms: Sequence[str]) -> str:
     """One Java regular expression for all terms, sorted by edge and first character.
 
     The boundary tests are written out as look-arounds, so that "word" means the same thing
-    under every Java version.
+    under every Java version. The cheap test for a possible first character comes first.
     """
     tree: dict = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
-    for term in dict.fromkeys(t.lower() for t in terms):
+    for term in dict.fromkeys(_fold(t) for t in terms):
         tree[_is_word(term[0])][_is_word(term[-1])][term[0]].append(term[1:])
     lefts = []
     for left_word, rights in tree.items():
@@ -76,9 +91,10 @@ def lexicon_pattern(terms: Sequence[str]) -> str:
             ]
             edge = f"(?!{WORD})" if right_word else f"(?={WORD})"
             choices.append("(?:" + "|".join(bodies) + ")" + edge)
+        starts = _any_case({first for firsts in rights.values() for first in firsts})
         edge = f"(?<!{WORD})" if left_word else f"(?<={WORD})"
-        lefts.append(edge + "(?:" + "|".join(choices) + ")")
-    return "(?iu)(?:" + "|".join(lefts) + ")"
+        lefts.append(f"(?={starts}){edge}(?iu:" + "|".join(choices) + ")")
+    return "|".join(lefts)
 
 
 def mentions_skill(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Column:
@@ -86,39 +102,63 @@ def mentions_skill(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Colu
     return F.coalesce(text.rlike(lexicon_pattern(lexicon)), F.lit(False))
 
 
+def _collect(
+    items: Column,
+    state: dict[str, Column],
+    step: Callable[[Column, Column], tuple[dict[str, Column], Column, Column]],
+    kind: str,
+) -> Column:
+    """Walk over an array with a state and collect an array of `kind`.
+
+    `step` gets the state and an item and returns the next state, whether to collect something
+    at this item, and what.
+    """
+    empty = {"block": F.array().cast(f"array<{kind}>"), "done": F.array().cast(f"array<array<{kind}>>")}
+
+    def merge(acc: Column, item: Column) -> Column:
+        following, take, value = step(acc, item)
+        full = F.size(acc["block"]) >= BLOCK_SIZE
+        one = F.array(value)
+        grown = F.when(full, one).otherwise(F.concat(acc["block"], one))
+        following = following | {
+            "block": F.when(take, grown).otherwise(acc["block"]),
+            "done": F.when(take & full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]),
+        }
+        return F.struct(*[c.alias(name) for name, c in following.items()])
+
+    start = F.struct(*[c.alias(name) for name, c in (state | empty).items()])
+    return F.aggregate(items, start, merge, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+
+
+def _span(start: Column, end: Column) -> Column:
+    return F.struct(start.alias("start"), end.alias("end"))
+
+
 def _layer_spans(text: Column, pattern: str) -> Column:
     # With every match between two marks, splitting gives gap, match, gap, match, ..., gap.
-    marked = F.regexp_replace(F.translate(text, MARK, TWIN), pattern, f"{MARK}$0{MARK}")
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit(False).alias("hit"), F.array().cast(SPAN_TYPE).alias("spans")
-    )
+    marked = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit(TWIN)), pattern, f"{MARK}$0{MARK}")
 
-    def step(acc: Column, part: Column) -> Column:
+    def step(acc: Column, part: Column):
         end = acc["at"] + F.char_length(part)
-        span = F.struct(acc["at"].alias("start"), end.alias("end"))
-        spans = F.when(acc["hit"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), (~acc["hit"]).alias("hit"), spans.alias("spans"))
+        return {"at": end, "hit": ~acc["hit"]}, acc["hit"], _span(acc["at"], end)
 
-    return F.aggregate(F.split(marked, MARK), start, step, lambda acc: acc["spans"])
+    return _collect(F.split(marked, MARK), {"at": F.lit(0), "hit": F.lit(False)}, step, SPAN)
 
 
 def skill_spans(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Column:
     """All matches as [start, end) in characters, each span once, by start and end."""
     text = F.coalesce(text, F.lit(""))
     found = [_layer_spans(text, lexicon_pattern(layer)) for layer in layers(lexicon)]
-    return F.array_sort(F.array_distinct(F.concat(*found)))
+    return found[0] if len(found) == 1 else F.sort_array(F.concat(*found))
 
 
 def non_overlapping(spans: Column) -> Column:
     """Walk the spans by start and end, keep each one that begins after the last kept one."""
-    start = F.struct(F.lit(-1).alias("last"), F.array().cast(SPAN_TYPE).alias("kept"))
-
-    def step(acc: Column, span: Column) -> Column:
+    def step(acc: Column, span: Column):
         fits = span["start"] >= acc["last"]
-        kept = F.when(fits, F.concat(acc["kept"], F.array(span))).otherwise(acc["kept"])
-        return F.struct(F.when(fits, span["end"]).otherwise(acc["last"]).alias("last"), kept.alias("kept"))
+        return {"last": F.when(fits, span["end"]).otherwise(acc["last"])}, fits, _span(span["start"], span["end"])
 
-    return F.aggregate(F.array_sort(spans), start, step, lambda acc: acc["kept"])
+    return _collect(F.sort_array(spans), {"last": F.lit(-1)}, step, SPAN)
 
 
 def span_texts(text: Column, spans: Column) -> Column:

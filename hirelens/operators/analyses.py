@@ -70,11 +70,13 @@ def avg_salary_by_city(postings: DataFrame) -> DataFrame:
 
     The mean is not rounded; round it where it is shown.
     """
+    # avg and count pass over unpaid postings by themselves. Filtering cities instead of rows
+    # means that a salary worked out from text is worked out once.
     return (
-        postings.filter(F.col("salary_normalized").isNotNull())
-        .filter(is_single_city(F.col("location")) & is_usable(F.col("location")))
+        postings.filter(is_single_city(F.col("location")) & is_usable(F.col("location")))
         .groupBy(strip(F.col("location")).alias("city"))
-        .agg(F.avg("salary_normalized").alias("avg_salary_vnd"), F.count("*").alias("postings"))
+        .agg(F.avg("salary_normalized").alias("avg_salary_vnd"), F.count("salary_normalized").alias("postings"))
+        .filter(F.col("postings") > 0)
     )
 
 

@@ -39,10 +39,9 @@ def facet_experience(tables: Tables) -> DataFrame:
 def salary_bands(jobs: DataFrame) -> DataFrame:
     """(band, postings) for the postings with a salary."""
     return (
-        jobs.select(salary_band(F.col("salary_normalized")).alias("band"))
-        .filter(F.col("band").isNotNull())
-        .groupBy("band")
-        .agg(F.count("*").alias("postings"))
+        jobs.groupBy(salary_band(F.col("salary_normalized")).alias("band"))
+        .agg(F.count("salary_normalized").alias("postings"))
+        .filter(F.col("postings") > 0)
     )
 
 

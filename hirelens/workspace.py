@@ -39,3 +39,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core on input that comes in fewer splits than there are cores.
+
+    Meant for heavy work per row on small files with few row groups. Larger input already has
+    more splits and is left alone, so this never shuffles it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -39,10 +39,11 @@ def salary_of(x: str, strict: bool = False) -> str:
     text = f"replace(lower({x}), ',', '')"
     read = text
     if strict:
-        read = (f"(CASE WHEN contains({text}, 'triệu') THEN {text} "
-                rf"ELSE regexp_replace({text}, '(\d)\.(\d\d\d)\b', '\1\2', 'g') END)")
-        # A second pass joins groups that share a digit block with the one before.
-        read = rf"regexp_replace({read}, CASE WHEN contains({text}, 'triệu') THEN '^$' ELSE '(\d)\.(\d\d\d)\b' END, '\1\2', 'g')"
+        # Each pass joins every other pair of digit groups.
+        joined = text
+        for _ in range(2):
+            joined = rf"regexp_replace({joined}, '(\d)\.(\d\d\d)\b', '\1\2', 'g')"
+        read = f"(CASE WHEN contains({text}, 'triệu') THEN {text} ELSE {joined} END)"
     numbers = rf"[CAST(n AS DOUBLE) FOR n IN regexp_extract_all({read}, '\d+(?:\.\d+)?')]"
     factor = (f"(CASE WHEN contains({text}, 'usd') OR contains({text}, '$') THEN 24000 "
               f"WHEN contains({text}, 'triệu') THEN 1000000 ELSE 1 END)")
@@ -128,14 +129,14 @@ CTES = {
         FROM postings p""",
     "lexicon": "SELECT unnest([" + ", ".join(quoted(s.lower()) for s in dict.fromkeys(SKILL_LEXICON)) + "]) AS term",
     # Every place in every different text, compared with every term.
-    "text_spans": f"""SELECT DISTINCT requirements, at - 1 AS s, at - 1 + length(term) AS e
-        FROM (SELECT requirements, unnest(generate_series(1, length(requirements))) AS at
+    "text_spans": f"""SELECT DISTINCT requirements, place - 1 AS s, place - 1 + length(term) AS e
+        FROM (SELECT requirements, unnest(generate_series(1, length(requirements))) AS place
               FROM (SELECT DISTINCT requirements FROM postings)) p, lexicon
-        WHERE lower(substr(requirements, at, length(term))) = term
-          AND regexp_matches(substr(requirements, at, 1), '{WORD}')
-              <> (at > 1 AND regexp_matches(substr(requirements, at - 1, 1), '{WORD}'))
-          AND regexp_matches(substr(requirements, at + length(term) - 1, 1), '{WORD}')
-              <> regexp_matches(substr(requirements, at + length(term), 1), '{WORD}')""",
+        WHERE lower(substr(requirements, place, length(term))) = term
+          AND regexp_matches(substr(requirements, place, 1), '{WORD}')
+              <> (place > 1 AND regexp_matches(substr(requirements, place - 1, 1), '{WORD}'))
+          AND regexp_matches(substr(requirements, place + length(term) - 1, 1), '{WORD}')
+              <> regexp_matches(substr(requirements, place + length(term), 1), '{WORD}')""",
     "text_tags": """SELECT requirements, list_reduce(list([{'s': s, 'e': e}] ORDER BY s, e),
         lambda kept, one: CASE WHEN one[1].s >= kept[-1].e THEN list_concat(kept, one) ELSE kept END) AS tags
         FROM text_spans GROUP BY requirements""",
@@ -153,11 +154,11 @@ def token_spans(table: str, key: str, text: str) -> str:
         test, end = f"t0 = {quoted(words[0])}", "n0"
         if len(words) == 2:
             test, end = f"{test} AND t1 = ' ' AND t2 = {quoted(words[1])}", "n0 + 1 + n2"
-        tests.append(f"SELECT key, at AS s, at + {end} AS e FROM tokens WHERE {test}")
+        tests.append(f"SELECT key, place AS s, place + {end} AS e FROM tokens WHERE {test}")
     return f"""tokens AS (
         SELECT key, lower(t) AS t0, length(t) AS n0, lead(t) OVER w AS t1, lower(lead(t, 2) OVER w) AS t2,
                length(lead(t, 2) OVER w) AS n2,
-               coalesce(sum(length(t)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at
+               coalesce(sum(length(t)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
         FROM (SELECT {key} AS key, unnest(all_tokens) AS t, generate_subscripts(all_tokens, 1) AS i
               FROM (SELECT {key}, regexp_extract_all({text}, '{WORD}+|[^\\p{{L}}\\p{{N}}_]+') AS all_tokens FROM {table}))
         WINDOW w AS (PARTITION BY key ORDER BY i)),
@@ -211,6 +212,9 @@ def kv_lines(key: str, value: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "derived_postings": sql(
+        """SELECT * EXCLUDE (grp, crawl_date), grp AS "group", location AS work_location_detail,
+        strftime(crawl_date, '%Y-%m-%d') AS crawl_date FROM postings""", "postings"),
     # analyses
     "jobs_high_salary": sql(
         f"SELECT {strip('title')} AS title, salary_normalized AS salary_vnd FROM flat "
@@ -421,7 +425,7 @@ ORACLES: dict[str, str] = {
         WHERE crawl_date IN (SELECT crawl_date FROM postings GROUP BY 1 HAVING count(DISTINCT source) = 2)""", "postings"),
     "partitioned_roundtrip": sql(
         """SELECT crawl_year AS crawl_date, source, grp AS "group",
-        count(*) * CASE WHEN source = 'board_a' THEN 1 ELSE 2 END AS postings FROM block_years GROUP BY ALL""",
+        count(*) * CASE WHEN source = 'board_a' THEN 1 ELSE 2 END AS postings FROM block_years GROUP BY crawl_year, source, grp""",
         "postings", "block_years"),
     "export_flat": star(f"SELECT {flat_columns()} FROM cleaned"),
     "csv_roundtrip": star(f"SELECT * REPLACE (CAST(nullif(salary_normalized, '') AS BIGINT) AS salary_normalized) "

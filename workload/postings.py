@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.functions.salary import currency_unit, normalize_salary
 from hirelens.functions.text import parse_skill_list
 from hirelens.plans.clean import clean_postings
+from hirelens.plans.star import TABLES, build_star
 from hirelens.schemas import JOB_FIELDS
+from hirelens.workspace import new_dir, spread
 
 CRAWL_DATE = "2025-10-07"
 
@@ -62,41 +66,79 @@ JOIN @NATION@ n ON c.c_nationkey = n.n_nationkey
 
 def duckdb_view() -> str:
     sql = VIEW.replace("@DATE@", "strftime(o.o_orderdate, '%d/%m/%Y')")
-    for table in ("orders", "customer", "nation"):
-        sql = sql.replace(f"@{table.upper()}@", table)
+    for name in ("orders", "customer", "nation"):
+        sql = sql.replace(f"@{name.upper()}@", name)
     return sql
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, spread_by) if spread_by else df
 
 
-def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that is derived and written once per session and then read like any other."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = new_dir(spark, name)
+        build().write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def derive_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings with `job_id`, `group`, `source`, `crawl_date` and the skills as one text."""
     sql = VIEW.replace("@DATE@", "date_format(o.o_orderdate, 'dd/MM/yyyy')")
     for name in ("orders", "customer", "nation"):
-        sql = sql.replace(f"@{name.upper()}@", f"parquet.`{sf_dir}/{name}.parquet`")
-    return (
-        spark.sql(sql)
-        .withColumnRenamed("grp", "group")
-        .withColumn("work_location_detail", F.col("location"))
+        sql = sql.replace(f"@{name.upper()}@", f"{{{name}}}")
+    postings = spark.sql(
+        sql,
+        orders=table(spark, sf_dir, "orders", spread_by="o_orderkey"),
+        customer=table(spark, sf_dir, "customer"),
+        nation=table(spark, sf_dir, "nation"),
     )
+    return postings.withColumnRenamed("grp", "group").withColumn("work_location_detail", F.col("location"))
+
+
+def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "postings", lambda: derive_postings(spark, sf_dir))
 
 
 def flat_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Postings as the analyses take them."""
-    return (
-        raw_postings(spark, sf_dir)
-        .withColumn("salary_normalized", normalize_salary(F.col("salary")))
-        .withColumn("currency_unit", currency_unit(F.col("salary_normalized")))
-        .withColumnRenamed("salary", "salary_raw")
-    )
+    def build() -> DataFrame:
+        return (
+            raw_postings(spark, sf_dir)
+            .withColumn("salary_normalized", normalize_salary(F.col("salary")))
+            .withColumn("currency_unit", currency_unit(F.col("salary_normalized")))
+            .withColumnRenamed("salary", "salary_raw")
+        )
+
+    return stored(spark, sf_dir, "flat", build)
 
 
 def cleaned_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned postings with their own skill lists and ids, as the relational model takes them."""
-    raw = raw_postings(spark, sf_dir)
-    return clean_postings(raw, tagger=lambda _: parse_skill_list(F.col("skills")), keep=["job_id"])
+    def build() -> DataFrame:
+        raw = raw_postings(spark, sf_dir)
+        return clean_postings(raw, tagger=lambda _: parse_skill_list(F.col("skills")), keep=["job_id"])
+
+    return stored(spark, sf_dir, "cleaned", build)
+
+
+def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The relational model of the cleaned postings."""
+    model: dict[str, DataFrame] = {}
+
+    def part(name: str) -> DataFrame:
+        if not model:
+            model.update(build_star(cleaned_postings(spark, sf_dir)))
+        return model[name]
+
+    return {name: stored(spark, sf_dir, name, lambda name=name: part(name)) for name in TABLES}
 
 
 def crawl_blocks(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:

@@ -19,7 +19,7 @@ from hirelens.sources import blocks, flat, keyvalue, tables
 from hirelens.streaming.ingest import ingest_stream
 from hirelens.workspace import new_dir, stage
 from workload.postings import (
-    CRAWL_DATE, cleaned_postings, crawl_blocks, flat_postings, raw_postings, table,
+    CRAWL_DATE, cleaned_postings, crawl_blocks, derive_postings, flat_postings, model_tables, raw_postings, table,
 )
 
 SOURCES = ["board_a", "board_b"]
@@ -41,6 +41,11 @@ def text_of(date) -> F.Column:
     return F.date_format(date, "yyyy-MM-dd")
 
 
+@query
+def derived_postings(spark, d):
+    return derive_postings(spark, d).withColumn("crawl_date", text_of("crawl_date"))
+
+
 # ---- analyses
 
 
@@ -165,12 +170,12 @@ def clean_postings_all(spark, d):
 
 @query
 def clean_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    return table(spark, d, "documents", spread_by="doc_id").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query
 def sentences(spark, d):
-    return labels.sentences(table(spark, d, "documents"), F.col("text"), "doc_id")
+    return labels.sentences(table(spark, d, "documents", spread_by="doc_id"), F.col("text"), "doc_id")
 
 
 @query
@@ -187,7 +192,7 @@ def tag_skills(spark, d):
 
 @query
 def non_overlapping_spans(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    docs = table(spark, d, "documents", spread_by="doc_id").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
     spans = skills.non_overlapping(skills.skill_spans(F.col("cleaned"), WORDS))
     return (
         docs.select("doc_id", F.explode(spans).alias("s"))
@@ -197,7 +202,7 @@ def non_overlapping_spans(spark, d):
 
 @query
 def label_sentences(spark, d):
-    labelled = labels.label_sentences(table(spark, d, "documents"), F.col("text"), WORDS)
+    labelled = labels.label_sentences(table(spark, d, "documents", spread_by="doc_id"), F.col("text"), WORDS)
     return (
         labelled.select("text", F.explode("entities").alias("e"))
         .select("text", F.col("e.start").alias("start_at"), F.col("e.end").alias("end_at"), F.col("e.label").alias("label"))
@@ -282,10 +287,6 @@ def cap_per_group(spark, d):
 # ---- relational model
 
 
-def _star(spark, d) -> dict[str, DataFrame]:
-    return star.build_star(cleaned_postings(spark, d))
-
-
 def _with_text_dates(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("deadline", text_of("deadline"))
 
@@ -381,7 +382,7 @@ def check_required(spark, d):
 
 @query
 def check_model(spark, d):
-    return quality.violations(_star(spark, d))
+    return quality.violations(model_tables(spark, d))
 
 
 def _sizes(found: dict[str, DataFrame]) -> DataFrame:
@@ -392,7 +393,7 @@ def _sizes(found: dict[str, DataFrame]) -> DataFrame:
 
 @query
 def cascade_delete(spark, d):
-    model = _star(spark, d)
+    model = model_tables(spark, d)
     gone = model["jobs"].filter(F.col("salary_normalized").isNull()).select("id")
     model = quality.delete_rows(model, "jobs", gone)
     named = model["skills"].filter(F.lower("name").contains("python")).select("id")
@@ -406,22 +407,22 @@ def cascade_delete(spark, d):
 
 @query
 def facet_groups(spark, d):
-    return search.facet_groups({"skill_groups": dim_groups(spark, d)})
+    return search.facet_groups(model_tables(spark, d))
 
 
 @query
 def facet_skills(spark, d):
-    return search.facet_skills({"skills": dim_skills(spark, d)})
+    return search.facet_skills(model_tables(spark, d))
 
 
 @query
 def facet_locations(spark, d):
-    return search.facet_locations({"jobs": flat_postings(spark, d)})
+    return search.facet_locations(model_tables(spark, d))
 
 
 @query
 def facet_experience(spark, d):
-    return search.facet_experience({"jobs": flat_postings(spark, d)})
+    return search.facet_experience(model_tables(spark, d))
 
 
 @query
@@ -450,13 +451,13 @@ def search_keyword_accents(spark, d):
 
 @query
 def job_skill_lists(spark, d):
-    lists = search.job_skill_lists(_star(spark, d))
+    lists = search.job_skill_lists(model_tables(spark, d))
     return lists.select("job_id", F.array_join("skills", "|").alias("skills"))
 
 
 @query
 def search_by_skill(spark, d):
-    return search.jobs_with_skill(_star(spark, d), "Python")
+    return search.jobs_with_skill(model_tables(spark, d), "Python")
 
 
 def _result(found: DataFrame) -> DataFrame:
@@ -465,13 +466,13 @@ def _result(found: DataFrame) -> DataFrame:
 
 @query
 def search_all(spark, d):
-    return _result(search.search(_star(spark, d)))
+    return _result(search.search(model_tables(spark, d)))
 
 
 @query
 def search_jobs(spark, d):
     return _result(search.search(
-        _star(spark, d), group="BUILDING", skill="Python", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
+        model_tables(spark, d), group="BUILDING", skill="Python", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
 
 
 # ---- sources and sinks
@@ -562,7 +563,7 @@ def catalog_roundtrip(spark, d):
 @query
 def snapshot_restore(spark, d):
     first, path = _database(spark, "model"), new_dir(spark, "snapshot")
-    tables.save_tables(_star(spark, d), first, buckets={
+    tables.save_tables(model_tables(spark, d), first, buckets={
         "jobs": (8, "id"), "job_details": (8, "job_id"), "job_skills": (8, "job_id")})
     tables.snapshot(spark, first, path)
     second = f"{first}_restored"
