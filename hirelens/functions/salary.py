@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.fixed_values import CURRENCY, MILLION, NEGOTIABLE, SALARY_BANDS, USD_TO_VND
-from hirelens.functions.text import contains_any, strip
+from hirelens.functions.text import strip
 
 
 def normalize_salary(c: Column, usd_rate: int = USD_TO_VND, mode: str = "compat") -> Column:
@@ -18,7 +20,7 @@ def normalize_salary(c: Column, usd_rate: int = USD_TO_VND, mode: str = "compat"
     """
     if mode not in ("compat", "strict"):
         raise ValueError(f"unknown mode {mode!r}")
-    text = F.translate(F.lower(F.coalesce(c, F.lit(""))), ",", "")
+    text = F.replace(F.lower(F.coalesce(c, F.lit(""))), F.lit(","), F.lit(""))
     if mode == "strict":
         ungrouped = F.regexp_replace(text, r"(?<=\d)\.(?=\d{3}(?!\d))", "")
         text = F.when(text.contains("triệu"), text).otherwise(ungrouped)
@@ -38,7 +40,8 @@ def normalize_salary(c: Column, usd_rate: int = USD_TO_VND, mode: str = "compat"
     # One walk over the numbers gives sum, count and amount: the text is matched only once.
     numbers = F.regexp_extract_all(text, F.lit(r"\d+(?:\.\d+)?"), F.lit(0))
     nothing = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n"))
-    return F.when(~contains_any(text, NEGOTIABLE), F.aggregate(numbers, nothing, add, amount))
+    negotiable = reduce(Column.__or__, (text.contains(word) for word in NEGOTIABLE))
+    return F.when(~negotiable, F.aggregate(numbers, nothing, add, amount))
 
 
 def currency_unit(salary: Column) -> Column:

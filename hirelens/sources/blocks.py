@@ -52,7 +52,7 @@ def broken_blocks(spark: SparkSession, paths: str | Sequence[str], multi_line: b
     return (
         load_blocks(spark, paths, multi_line)
         .select(F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("record"), "jobs")
-        .filter(F.col("record").isNotNull())
+        .filter(F.col("record").isNotNull() & F.col("jobs").isNull())
         .drop("jobs")
     )
 
@@ -64,17 +64,22 @@ def read_ungrouped(spark: SparkSession, paths: str | Sequence[str], multi_line:
                        *JOB_FIELDS)
 
 
+def _by_day(blocks: DataFrame) -> DataFrame:
+    """Blocks gathered by target folder into files of even size; large folders get several tasks."""
+    return blocks.hint("rebalance", "crawl_date", "source")
+
+
 def append_blocks(blocks: DataFrame, root: str) -> None:
     """Add blocks (crawl_date, source, group, jobs) to the day layout, one block per line.
 
     Spark commits the whole job or nothing, so readers never meet a half-written file.
     """
-    blocks.write.mode("append").partitionBy("crawl_date", "source").json(root)
+    _by_day(blocks).write.mode("append").partitionBy("crawl_date", "source").json(root)
 
 
 def replace_days(blocks: DataFrame, root: str) -> None:
     """Like `append_blocks`, but the partitions that `blocks` touches are replaced."""
-    (blocks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_day(blocks).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("crawl_date", "source").json(root))
 
 

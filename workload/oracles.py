@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions.text import BULLETS, SPACE_CHARS
-from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
+from hirelens.schemas import FLAT_FIELDS, FOREIGN_KEYS, JOB_FIELDS, MAX_LENGTHS, REQUIRED, UNIQUE_KEYS
 from workload.postings import CRAWL_DATE, duckdb_view
 from workload.queries import SECTION_WORDS, WORDS
 
@@ -211,7 +211,36 @@ def kv_lines(key: str, value: str) -> str:
     return f"SELECT string_split({line}, chr(9)) AS parts FROM postings"
 
 
+def violations() -> str:
+    """Every constraint counted over the model without the Python skills and with group 1 twice."""
+    model = f""", jobs_once AS ({JOBS}),
+      m_skill_groups AS (SELECT * FROM groups),
+      m_skills AS (SELECT * FROM skill_dim WHERE NOT contains(lower(name), 'python')),
+      m_skill_details AS (SELECT DISTINCT s.id AS skill_id, g.id AS group_id FROM skill_rows r
+        JOIN skill_dim s ON s.name = r.name JOIN groups g ON g.name = r.grp),
+      m_jobs AS (SELECT * FROM jobs_once UNION ALL SELECT * FROM jobs_once WHERE group_id = 1),
+      m_job_details AS (SELECT job_id AS id, job_id FROM cleaned),
+      m_job_skills AS (SELECT job_id, s.id AS skill_id FROM skill_rows r JOIN skill_dim s ON s.name = r.name)"""
+    counts = []
+    for table, keys in UNIQUE_KEYS.items():
+        for key in keys:
+            columns = ", ".join(key)
+            counts.append(("unique", f"{table}({columns})",
+                           f"(SELECT {columns} FROM m_{table} GROUP BY {columns} HAVING count(*) > 1)"))
+    for child, column, parent, _ in FOREIGN_KEYS:
+        counts.append(("foreign key", f"{child}.{column}",
+                       f"m_{child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT id FROM m_{parent})"))
+    for table, columns in REQUIRED.items():
+        counts.append(("required", table, f"m_{table} WHERE " + " OR ".join(f"{c} IS NULL" for c in columns)))
+    for table, limits in MAX_LENGTHS.items():
+        counts.append(("length", table, f"m_{table} WHERE " + " OR ".join(f"length({c}) > {n}" for c, n in limits.items())))
+    return star(model + " UNION ALL ".join(
+        f" SELECT {quoted(rule)} AS rule, {quoted(subject)} AS subject, count(*) AS offending_rows FROM {rows}"
+        for rule, subject, rows in counts))
+
+
 ORACLES: dict[str, str] = {
+    "check_model": violations(),
     "derived_postings": sql(
         """SELECT * EXCLUDE (grp, crawl_date), grp AS "group", location AS work_location_detail,
         strftime(crawl_date, '%Y-%m-%d') AS crawl_date FROM postings""", "postings"),

@@ -382,7 +382,12 @@ def check_required(spark, d):
 
 @query
 def check_model(spark, d):
-    return quality.violations(model_tables(spark, d))
+    """The constraints of a model that lost some skills and holds one group's jobs twice."""
+    model = model_tables(spark, d)
+    again = model["jobs"].filter(F.col("group_id") == 1)
+    model["jobs"] = model["jobs"].unionByName(again)
+    model["skills"] = model["skills"].filter(~F.lower("name").contains("python"))
+    return quality.violations(model)
 
 
 def _sizes(found: dict[str, DataFrame]) -> DataFrame:
