@@ -9,12 +9,12 @@ from hirelens.fixed_values import UNKNOWN
 
 
 def overview(raw: DataFrame) -> DataFrame:
-    """One row: number of postings, column names, names of the sources."""
-    return raw.agg(
-        F.count("*").alias("postings"),
-        F.lit(", ".join(raw.columns)).alias("columns"),
-        F.array_join(F.array_sort(F.collect_set("source")), ", ").alias("sources"),
-    )
+    """(source, postings, columns): one row per source and one, without a source, for all postings.
+
+    Sources may be file names, so there can be any number of them.
+    """
+    return raw.rollup("source").agg(
+        F.count("*").alias("postings"), F.lit(", ".join(raw.columns)).alias("columns"))
 
 
 def value_counts(df: DataFrame, value: Column, name: str) -> DataFrame:

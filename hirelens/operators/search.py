@@ -106,14 +106,15 @@ def search(
 
     details = tables["job_details"].select(
         F.col("job_id").alias("id"), "description", "requirements", "benefits")
-    found = (
-        jobs.join(groups, "group_id")
-        .select(*JOB_COLUMNS, "group_name")
-        .join(details, "id", "left")
-    )
+    jobs = jobs.join(groups, "group_id")
+    found = jobs.select(*JOB_COLUMNS, "group_name").join(details, "id", "left")
     if keyword:
         found = search_keyword(found, keyword, ignore_accents)
 
+    if any(c is not None for c in (group, skill, location, experience, salary)):
+        # Only the skills of jobs that can still be in the result are worth grouping.
+        wanted = jobs.select(F.col("id").alias("job_id"))
+        tables = {**tables, "job_skills": tables["job_skills"].join(wanted, "job_id", "left_semi")}
     lists = job_skill_lists(tables).withColumnRenamed("job_id", "id")
     return (
         found.join(lists, "id", "left")

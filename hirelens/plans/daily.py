@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from hirelens.operators.links import new_links
 from hirelens.plans.clean import clean_postings
 from hirelens.schemas import CLEANED, JOB_FIELDS
-from hirelens.sources.blocks import complete_days, flatten, read_layout
+from hirelens.sources.blocks import flatten, read_layout
 
 TARGET = T.StructType(
     [T.StructField("source", T.StringType())] + CLEANED.fields + [T.StructField("crawl_date", T.DateType())])
@@ -35,7 +35,10 @@ def ingest_day(
     spark.createDataFrame([], TARGET).write.mode("ignore").partitionBy("crawl_date").parquet(target)
     earlier = read_target(spark, target).filter(F.col("crawl_date") < F.lit(day))
     blocks = read_layout(spark, raw).filter(F.col("crawl_date") == F.lit(day))
-    located = complete_days(blocks.withColumn("_file", F.col("_metadata.file_path")), sources)
+    # Looks at one block of each source, where grouping the day would read all of it twice.
+    if any(blocks.filter(F.col("source") == source).isEmpty() for source in sources):
+        return
+    located = blocks.filter(F.col("source").isin(*sources)).withColumn("_file", F.col("_metadata.file_path"))
     postings = new_links(flatten(located), earlier, order=["source", "_file", "pos", *JOB_FIELDS])
     (clean_postings(postings, keep=["source", "crawl_date"])
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

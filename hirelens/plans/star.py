@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import strip
-from hirelens.workspace import stage
+from hirelens.workspace import at_once, stage
 
 TABLES = ["skill_groups", "skills", "skill_details", "jobs", "job_details", "job_skills"]
 JOB_COLUMNS = [
@@ -143,8 +143,10 @@ def skill_details(postings: DataFrame, groups: DataFrame, skills: DataFrame, cas
 def build_star(postings: DataFrame, case_blind: bool = False) -> dict[str, DataFrame]:
     """The six tables for cleaned postings, whose `skills` is an array of names."""
     postings = with_job_ids(postings)
-    groups = dimension(group_names(postings), case_blind)
-    skills = dimension(skill_names(postings), case_blind)
+    groups, skills = at_once([
+        lambda: dimension(group_names(postings), case_blind),
+        lambda: dimension(skill_names(postings), case_blind),
+    ])
     return {
         "skill_groups": groups,
         "skills": skills,
@@ -174,8 +176,7 @@ def save_star(tables: Mapping[str, DataFrame], path: str) -> str:
     """Write all tables as one new version and make it current only when all are written."""
     spark = tables["jobs"].sparkSession
     version = uuid.uuid4().hex
-    for name in TABLES:
-        tables[name].write.parquet(f"{path}/{version}/{name}")
+    at_once(lambda name=name: tables[name].write.parquet(f"{path}/{version}/{name}") for name in TABLES)
     entry = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
     entry.write.mode("append").parquet(f"{path}/_versions")
     return version

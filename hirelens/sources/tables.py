@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from hirelens.workspace import at_once
+
 SYSTEM_DATABASES = {"default", "information_schema", "mysql", "performance_schema", "sys"}
 NAMES = "_tables"
 
@@ -33,14 +35,18 @@ def save_tables(tables: Mapping[str, DataFrame], database: str, buckets: Mapping
     """Save every frame as a table of the database, replacing an older one.
 
     `buckets` maps a table to (number of buckets, column). Tables bucketed alike on their join
-    column are joined without a shuffle.
+    column are joined without a shuffle; pick a column whose values are spread evenly, like an id.
     """
-    for name, df in tables.items():
-        writer = df.write.mode("overwrite").format("parquet")
+    def save(name: str, df: DataFrame) -> None:
         if buckets and name in buckets:
             count, column = buckets[name]
-            writer = writer.bucketBy(count, column).sortBy(column)
-        writer.saveAsTable(f"`{database}`.`{name}`")
+            # One task per bucket writes one file; without this every task writes to every bucket.
+            writer = df.repartition(count, column).write.bucketBy(count, column).sortBy(column)
+        else:
+            writer = df.write
+        writer.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
+
+    at_once(lambda name=name, df=df: save(name, df) for name, df in tables.items())
 
 
 def read_tables(spark: SparkSession, database: str) -> dict[str, DataFrame]:
@@ -61,8 +67,8 @@ def write_jdbc(tables: Mapping[str, DataFrame], url: str, properties: Mapping[st
 def snapshot(spark: SparkSession, database: str, path: str) -> list[str]:
     """Write every table of the database below `path`; return their names."""
     tables = read_tables(spark, database)
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    at_once(lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{path}/{name}")
+            for name, df in tables.items())
     # The list comes last: a snapshot without it is not finished and cannot be restored.
     names = spark.createDataFrame([(name,) for name in sorted(tables)], "name string")
     names.coalesce(1).write.mode("overwrite").parquet(f"{path}/{NAMES}")

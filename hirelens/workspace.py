@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +43,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(jobs: Iterable[Callable[[], object]]) -> list:
+    """Run independent Spark jobs side by side, so that small ones do not leave the cluster idle."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(jobs)))) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core on input that comes in fewer splits than there are cores.
 

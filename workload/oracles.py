@@ -279,8 +279,8 @@ ORACLES: dict[str, str] = {
         "postings", "flat"),
     # profile
     "profile_overview": sql(
-        f"SELECT count(*) AS postings, {quoted(', '.join(['group', 'source', *JOB_FIELDS]))} AS columns, "
-        "string_agg(DISTINCT source, ', ' ORDER BY source) AS sources FROM postings", "postings"),
+        f"SELECT source, count(*) AS postings, {quoted(', '.join(['group', 'source', *JOB_FIELDS]))} AS columns "
+        "FROM postings GROUP BY ROLLUP (source)", "postings"),
     "value_counts_location": sql(
         "SELECT coalesce(nullif(location, ''), 'Không rõ') AS location, count(*) AS postings FROM postings GROUP BY 1",
         "postings"),

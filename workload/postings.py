@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hirelens.functions.salary import currency_unit, normalize_salary
 from hirelens.functions.text import parse_skill_list
 from hirelens.plans.clean import clean_postings
-from hirelens.plans.star import TABLES, build_star
+from hirelens.plans.star import build_star, read_star, save_star
 from hirelens.schemas import JOB_FIELDS
 from hirelens.workspace import new_dir, spread
 
@@ -131,14 +131,12 @@ def cleaned_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The relational model of the cleaned postings."""
-    model: dict[str, DataFrame] = {}
-
-    def part(name: str) -> DataFrame:
-        if not model:
-            model.update(build_star(cleaned_postings(spark, sf_dir)))
-        return model[name]
-
-    return {name: stored(spark, sf_dir, name, lambda name=name: part(name)) for name in TABLES}
+    key = (spark.sparkContext.applicationId, sf_dir, "model")
+    if key not in _stored:
+        path = new_dir(spark, "model")
+        save_star(build_star(cleaned_postings(spark, sf_dir)), path)
+        _stored[key] = path
+    return read_star(spark, _stored[key])
 
 
 def crawl_blocks(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
@@ -147,7 +145,7 @@ def crawl_blocks(spark: SparkSession, sf_dir: str, period: str) -> DataFrame:
     The crawl date is the first day of the period. A block takes neighbouring job ids, so it
     holds 500 postings at most, like a crawl of one group.
     """
-    jobs = F.array_sort(F.collect_list(F.struct("job_id", *JOB_FIELDS)))
+    jobs = F.sort_array(F.collect_list(F.struct("job_id", *JOB_FIELDS)))
     return (
         raw_postings(spark, sf_dir)
         .withColumn("crawl_date", F.date_trunc(period, "crawl_date").cast("date"))
