@@ -47,6 +47,24 @@ DESCRIPTION_LABELS = {
     "work_location_detail": "địa điểm làm việc",
 }
 
+# The same for the second page layout.
+SECOND_SECTION_LABELS = {"description": "mô tả công việc", "requirements": "yêu cầu công việc"}
+SECOND_INFO_LABELS = {"experience": "số năm kinh nghiệm tối thiểu", "working_time": "ngày làm việc"}
+
+# Style classes of the elements that hold a field, first and second page layout.
+TITLE_CLASS = "job-detail__info--title"
+INFO_KEY_CLASS = "job-detail__info--section-content-title"
+INFO_VALUE_CLASS = "job-detail__info--section-content-value"
+SECTION_CLASS = "job-description__item--content"
+DEADLINE_CLASS = "job-detail__information-detail--actions-label"
+SECOND_CLASSES = {
+    "title": "sc-ab270149-0 hAejeW",
+    "deadline": "sc-ab270149-0 ePOHWr",
+    "salary": "sc-ab270149-0 cVbwLK",
+    "location": "sc-a137b890-1 joxJgK",
+}
+SECOND_BENEFIT_CLASS = "sc-c683181c-2 fGxLZh"
+
 # The skill lexicon.
 SKILL_LEXICON = [
     "Python", "Java", "C#", "C++", "Go", "Golang", "PHP", "Ruby", "Swift", "Kotlin", "TypeScript", "JavaScript",

@@ -108,6 +108,33 @@ TITLE = r"'(?is)<title[^>]*>(.*?)</title>'"
 LINK = r"""'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'"""
 
 
+SECTION = r"'(?is)<b>(.*?)<br>\s*<p>(.*?)</p>'"
+LINK_WORDS = {"salary": "der", "location": "que"}
+
+
+def title_of(html: str) -> str:
+    headline = rendered(f"regexp_extract({html}, '(?is)<h1[^>]*>(.*?)</h1>', 1)")
+    page = rendered(f"regexp_extract({html}, {TITLE}, 1)")
+    plain = strip(rf"regexp_replace({headline}, '\s*\(.*?\)', '', 'g')")
+    return (f"CASE WHEN contains({html}, '<h1') THEN {plain} "
+            f"WHEN contains(lower({page}), 'example.com') THEN '(no title)' ELSE {page} END")
+
+
+def bullets(html: str) -> str:
+    items = f"regexp_extract_all({html}, '(?is)<li[^>]*>(.*?)</li>', 1)"
+    return f"coalesce(array_to_string(['- ' || {rendered('i')} || chr(10) FOR i IN {items}], ''), '')"
+
+
+def both(pattern: str) -> str:
+    return f"list_zip(regexp_extract_all(html, {pattern}, 1), regexp_extract_all(html, {pattern}, 2))"
+
+
+def picked(pairs: str, name: str, words: dict[str, str], label: int, value: int) -> str:
+    """Value of the last pair whose label's first matching word belongs to the field."""
+    owner = " ".join(f"WHEN contains(lower({rendered(f'p[{label}]')}), {quoted(w)}) THEN {quoted(f)}" for f, w in words.items())
+    return f"coalesce([{rendered(f'p[{value}]')} FOR p IN {pairs} IF CASE {owner} END = {quoted(name)}][-1], '')"
+
+
 # ---- shared tables
 
 CTES = {
@@ -310,7 +337,7 @@ ORACLES: dict[str, str] = {
         f"{default_blank('location', 'Không rõ')} AS location, {default_blank('benefits', 'N/A')} AS benefits FROM postings",
         "postings"),
     # The library tags the cleaned requirements, so the places are searched in those.
-    "clean_postings_all": sql(
+    "clean_postings": sql(
         """SELECT * EXCLUDE (grp, skills, tags, cleaned_requirements), grp AS "group",
         coalesce(array_to_string([substr(c.requirements, CAST(t.s AS BIGINT) + 1, CAST(t.e - t.s AS BIGINT)) FOR t IN tags], '|'), '') AS skills
         FROM cleaned c LEFT JOIN (SELECT requirements AS cleaned_requirements, tags FROM text_tags) x
@@ -345,16 +372,19 @@ ORACLES: dict[str, str] = {
         SELECT page_id, unnest(links) AS link, generate_subscripts(links, 1) - 1 AS pos
         FROM (SELECT page_id, regexp_extract_all(html, {LINK}, 1) AS links FROM pages)) WHERE NOT contains(link, '/th')""",
     "group_filter": sql("""SELECT job_id, grp AS "group" FROM postings WHERE grp = 'BUILDING'""", "postings"),
-    "page_titles": rf"""SELECT page_id, {strip(r"regexp_replace(" + rendered("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)")
-        + r", '\s*\(.*?\)', '', 'g')")} AS title FROM pages""",
-    "page_sections": f"""SELECT page_id, {', '.join(
-        f"coalesce([{rendered('p.v')} FOR p IN pairs IF p.k = {quoted(f)}][-1], '') AS {f}" for f in SECTION_WORDS)}
-        FROM (SELECT page_id, [{{'v': p[2], 'k': CASE {' '.join(
-            f"WHEN contains(lower({rendered('p[1]')}), {quoted(k)}) THEN {quoted(f)}" for f, k in SECTION_WORDS.items())} END}}
-          FOR p IN list_zip(regexp_extract_all(html, '(?is)<b>(.*?)<br>\\s*<p>(.*?)</p>', 1),
-                            regexp_extract_all(html, '(?is)<b>(.*?)<br>\\s*<p>(.*?)</p>', 2))] AS pairs FROM pages)""",
-    "page_lists": f"""SELECT page_id, coalesce(array_to_string(['- ' || {rendered('i')} || chr(10)
-        FOR i IN regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1)], ''), '') AS bullets FROM pages""",
+    "page_titles": f"SELECT page_id, {title_of('html')} AS title FROM pages",
+    "page_sections": f"""SELECT page_id, {', '.join(f"{picked('pairs', f, SECTION_WORDS, 1, 2)} AS {f}" for f in SECTION_WORDS)}
+        FROM (SELECT page_id, {both(SECTION)} AS pairs FROM pages)""",
+    "page_lists": f"SELECT page_id, {bullets('html')} AS bullets FROM pages",
+    "extract_postings": f"""SELECT page_id, url AS link, {title_of('html')} AS title,
+        {', '.join(f"{picked('sections', f, SECTION_WORDS, 1, 2)} AS {f}" for f in SECTION_WORDS)},
+        {picked('links', 'salary', LINK_WORDS, 2, 1)} AS salary, {picked('links', 'location', LINK_WORDS, 2, 1)} AS location,
+        {picked('links', 'location', LINK_WORDS, 2, 1)} AS work_location_detail, 'N/A' AS experience,
+        {bullets('html')} AS working_time,
+        CASE WHEN contains(html, '<footer>') THEN {rendered("regexp_extract(html, '(?is)<footer>(.*?)</footer>', 1)")}
+          ELSE 'N/A' END AS deadline
+        FROM (SELECT page_id, url, html, {both(SECTION)} AS sections, {both(LINK)} AS links FROM pages
+              WHERE NOT contains(lower({rendered(f'regexp_extract(html, {TITLE}, 1)')}), 'just a moment'))""",
     "url_slug": f"""SELECT page_id, CAST(pos AS INTEGER) AS pos, slug,
         CASE WHEN starts_with(link, 'http') THEN link ELSE 'https://jobs.example.com' || link END AS url
         FROM (SELECT page_id, slug, unnest(links) AS link, generate_subscripts(links, 1) - 1 AS pos

@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from hirelens.functions import dates, pages, salary, skills, text
 from hirelens.operators import analyses, labels, links, profile, quality, search
-from hirelens.plans import star
-from hirelens.plans.clean import clean_postings
+from hirelens.operators.pages import PageLayout, Pairs
+from hirelens.operators.pages import extract_postings as page_postings
+from hirelens.plans import clean, star
 from hirelens.plans.daily import ingest_day, read_target
 from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
 from hirelens.sources import blocks, flat, keyvalue, tables
@@ -160,8 +161,8 @@ def default_blanks(spark, d):
 
 
 @query
-def clean_postings_all(spark, d):
-    cleaned = clean_postings(raw_postings(spark, d), keep=["job_id"])
+def clean_postings(spark, d):
+    cleaned = clean.clean_postings(raw_postings(spark, d), keep=["job_id"])
     return cleaned.withColumns({"deadline": text_of("deadline"), "skills": F.array_join("skills", "|")})
 
 
@@ -234,6 +235,19 @@ def page_titles(spark, d):
     return table(spark, d, "pages").select("page_id", title.alias("title"))
 
 
+@query
+def extract_postings(spark, d):
+    layout = PageLayout(
+        site="example.com",
+        fields={"deadline": r"(?is)<footer>(.*?)</footer>", "experience": r"(?is)<h6>(.*?)</h6>"},
+        pairs=[Pairs(SECTION, SECTION_WORDS), Pairs(pages.LINK, {"salary": "der", "location": "que"}, label=2, value=1)],
+        lists={"working_time": pages.LIST_ITEM},
+        copies={"work_location_detail": "location"},
+        missing="N/A",
+    )
+    return page_postings(table(spark, d, "pages", spread_by="page_id"), layout, F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+
+
 @query
 def page_sections(spark, d):
     pairs = table(spark, d, "pages").select("page_id", pages.labelled_pairs(F.col("html"), SECTION).alias("pairs"))
