@@ -28,7 +28,8 @@ def label_sentences(df: DataFrame, text: Column, lexicon: Sequence[str] = SKILL_
         .filter(mentions_skill(F.col("text"), lexicon))
         .distinct()
     )
-    spans = skill_spans(F.col("text"), lexicon)
-    label = lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), F.lit("SKILL").alias("label"))
-    return found.select("text", F.transform(spans, label).alias("entities"))
+
+    def entity(span: Column) -> Column:
+        return F.struct(span["start"].alias("start"), span["end"].alias("end"), F.lit("SKILL").alias("label"))
+
+    return found.select("text", F.transform(skill_spans(F.col("text"), lexicon), entity).alias("entities"))

@@ -15,6 +15,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ from hirelens.operators.links import first_per_key
 from hirelens.plans.daily import ingest_day, read_target
 from hirelens.schemas import JOB_FIELDS
 from hirelens.sources import blocks
-from hirelens.streaming.ingest import ingest_stream, read_stream, first_copies
+from hirelens.streaming.ingest import STATE_STORE, first_copies, ingest_stream, read_stream
 
 SOURCES = ["a", "b"]
 DAYS = [datetime.date(2025, 10, d) for d in (7, 8, 9)]
@@ -67,6 +67,20 @@ def test_stream_equals_batch(spark, tmp_path):
     assert keys(result(spark, target)) == sorted((r.group, r.link) for r in batch.collect())
 
 
+def test_stream_with_links_on_disk(spark, tmp_path):
+    raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
+    blocks.append_blocks(crawl(spark, ROWS), raw)
+    before = {name: spark.conf.get(name) for name in STATE_STORE}
+    try:
+        for name, value in STATE_STORE.items():
+            spark.conf.set(name, value)
+        ingest_stream(spark, raw, target, progress)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(set(keys(result(spark, target)))) == len(keys(result(spark, target))) == 6
+
+
 def test_stream_with_watermark(spark, tmp_path):
     raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
     blocks.append_blocks(crawl(spark, ROWS), raw)
