@@ -22,11 +22,11 @@ def iso_date(c: Column) -> Column:
 def resolve_relative_deadline(c: Column, crawl_date: Column) -> Column:
     """"expires in N days/weeks/months" to the day itself, counted from the crawl date.
 
-    Any other text comes back unchanged.
+    Any other text comes back unchanged, also one whose number leads beyond the year 9999.
     """
     text = F.lower(strip(c))
     rest = strip(F.replace(text, F.lit(EXPIRES_IN), F.lit("")))
-    pattern = r"(?U)^([+-]?[0-9]+)\s+(\S+)"
+    pattern = r"(?U)^([+-]?[0-9]{1,5})\s+(\S+)"
     count = F.regexp_extract(rest, pattern, 1).try_cast("int")
     unit = F.regexp_extract(rest, pattern, 2)
     day = (
@@ -34,5 +34,6 @@ def resolve_relative_deadline(c: Column, crawl_date: Column) -> Column:
         .when(unit.contains("tuần"), F.date_add(crawl_date, count * 7))
         .when(unit.contains("tháng"), F.add_months(crawl_date, count))
     )
-    resolved = F.concat(F.lit(DEADLINE_PREFIX), F.date_format(day, "dd/MM/yyyy"))
+    written = F.when(F.year(day).between(1, 9999), F.date_format(day, "dd/MM/yyyy"))
+    resolved = F.concat(F.lit(DEADLINE_PREFIX), written)
     return F.when(text.contains(EXPIRES_IN), F.coalesce(resolved, c)).otherwise(c)

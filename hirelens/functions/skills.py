@@ -21,8 +21,8 @@ from hirelens.functions.text import WORD
 SPAN = "struct<start:int,end:int>"
 # Marks the matches inside a text; the twin replaces it where the text already holds one.
 MARK, TWIN = "\x01", "\x02"
-# Growing an array copies it. Arrays grow in blocks of this size, which keeps long texts cheap.
-BLOCK_SIZE = 256
+# A fold copies its state at every step, so arrays are walked in chunks of this size.
+CHUNK = 64
 
 
 def _fold(term: str) -> str:
@@ -102,6 +102,11 @@ def mentions_skill(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Colu
     return F.coalesce(text.rlike(lexicon_pattern(lexicon)), F.lit(False))
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)`, with `value` worked out once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _collect(
     items: Column,
     state: dict[str, Column],
@@ -111,23 +116,40 @@ def _collect(
     """Walk over an array with a state and collect an array of `kind`.
 
     `step` gets the state and an item and returns the next state, whether to collect something
-    at this item, and what.
+    at this item, and what. A first walk only finds the state at the start of every chunk; then
+    each chunk collects for itself. The work grows with the length of the array, not its square.
     """
-    empty = {"block": F.array().cast(f"array<{kind}>"), "done": F.array().cast(f"array<array<{kind}>>")}
-
-    def merge(acc: Column, item: Column) -> Column:
-        following, take, value = step(acc, item)
-        full = F.size(acc["block"]) >= BLOCK_SIZE
-        one = F.array(value)
-        grown = F.when(full, one).otherwise(F.concat(acc["block"], one))
-        following = following | {
-            "block": F.when(take, grown).otherwise(acc["block"]),
-            "done": F.when(take & full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]),
-        }
-        return F.struct(*[c.alias(name) for name, c in following.items()])
-
-    start = F.struct(*[c.alias(name) for name, c in (state | empty).items()])
-    return F.aggregate(items, start, merge, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+    def packed(columns: dict[str, Column]) -> Column:
+        return F.struct(*[c.alias(name) for name, c in columns.items()])
+
+    def advance(acc: Column, chunk: Column) -> Column:
+        after = F.aggregate(chunk, acc["now"], lambda now, item: packed(step(now, item)[0]))
+        return packed({"now": after, "starts": F.concat(acc["starts"], F.array(acc["now"]))})
+
+    def gather(acc: Column, item: Column) -> Column:
+        following, take, value = step(acc["now"], item)
+        found = F.when(take, F.concat(acc["found"], F.array(value))).otherwise(acc["found"])
+        return packed({"now": packed(following), "found": found})
+
+    def of_chunk(chunk: Column, start: Column) -> Column:
+        begin = packed({"now": start, "found": F.array().cast(f"array<{kind}>")})
+        return F.aggregate(chunk, begin, gather, lambda acc: acc["found"])
+
+    start = packed(state)
+    no_starts = F.slice(F.array(start), 1, 0)
+
+    def cut(items: Column) -> Column:
+        last = F.floor((F.size(items) - 1) / F.lit(CHUNK)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
+
+    def join(chunks: Column) -> Column:
+        starts = F.aggregate(chunks, packed({"now": start, "starts": no_starts}), advance, lambda acc: acc["starts"])
+        return F.flatten(F.zip_with(chunks, starts, of_chunk))
+
+    def walk(items: Column) -> Column:
+        return F.when(F.size(items) <= CHUNK, of_chunk(items, start)).otherwise(_bind(cut(items), join))
+
+    return _bind(items, walk)
 
 
 def _span(start: Column, end: Column) -> Column:

@@ -80,6 +80,9 @@ def test_relative_deadline(evaluate):
         "Hết hạn trong 5 giờ": "Hết hạn trong 5 giờ",
         "Hết hạn trong vài ngày": "Hết hạn trong vài ngày",
         "Hết hạn trong": "Hết hạn trong",
+        "Hết hạn trong 999999999 tuần": "Hết hạn trong 999999999 tuần",
+        "Hết hạn trong 99999 tháng": "Hết hạn trong 99999 tháng",
+        "Hết hạn trong 99999 tuần": "Hạn nộp hồ sơ: 14/04/3942",
         "N/A": "N/A",
         None: None,
     })
