@@ -7,6 +7,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import database, differences
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,7 +21,8 @@ def db() -> duckdb.DuckDBPyConnection:
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -30,9 +33,9 @@ def test_entry(spark):
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "CollectLimit"]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert [node for node in UNWANTED if node in plan] == []
-    assert differences(df, db, oracle_sql()[name]) is None
+    assert differences(df, db, ORACLES[name]) is None
