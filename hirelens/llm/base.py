@@ -56,6 +56,7 @@ class Scratch:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.names.add(name)
         df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        self.spark._jvm.System.gc()  # Spark deletes the shuffle files of plans that are garbage
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:

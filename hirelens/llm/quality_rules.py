@@ -141,7 +141,8 @@ def cutoffs(holdouts: DataFrame, stratum: str, good: str = "good", risk: Risk =
     share = risk.limit / len(RULES)
     limits = totals.withColumn("_error", F.lit(risk.error) / (strata.scalar() * len(RULES))).select(
         F.col("stratum").alias("_stratum"), allowed(F.col("n"), share, F.col("_error")).alias("allowed"))
-    gain = F.col("bad_out") / F.col("n_bad") - F.col("good_out") / F.col("n_good")
+    share_of = lambda part, all_: F.col(part) / F.greatest(F.col(all_), F.lit(1))
+    gain = share_of("bad_out", "n_bad") - share_of("good_out", "n_good")
     best = tails.join(limits, F.col("stratum").eqNullSafe(F.col("_stratum"))).filter(
         (F.col("good_out") <= F.col("allowed")) & (F.col("n_bad") > 0)).select("stratum", "rule", "at", gain.alias("gain"))
     chosen = best.filter(F.col("gain") > 0).groupBy("stratum", "rule").agg(

@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import decontamination, mixing, quality_rules
+from hirelens.llm import (
+    chat, decontamination, language_id, language_model, mixing, personal_data, quality_classifier, quality_rules, simhash, substrings,
+)
+from hirelens.llm.base import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _is(doc_id: str, by: int, rest: int) -> Column:
+    """Whether the hash of the id leaves a remainder; not so for a null id."""
+    return F.coalesce(remainder(F.col(doc_id), by) == rest, F.lit(False))
+
+
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _is("doc_id", 5, 1)
+    scored = language_model.score_all(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _is("doc_id", 5, 0)
+    scored = quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -24,9 +44,34 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_decontamination, op4_quality_rules, op6_mixing)}
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _is("doc_id", 4, 2)
+    found = language_id.identify(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_model, op2_quality_classifier, op3_decontamination, op4_quality_rules, op5_chat, op6_mixing,
+    op7_personal_data, op8_simhash, op9_substrings, op10_language_id)}
