@@ -161,12 +161,13 @@ def verdicts(counted: DataFrame, cuts: DataFrame, stratum: str, risk: Risk = Ris
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Counts and verdict of every document row, strata being languages.
+    """doc_id, digest (hash of the text), counts and verdict of every document row, strata being languages.
 
     The counts are written once; holdouts and verdicts both read them.
     """
     scratch = Scratch(docs.sparkSession, "quality-rules")
-    counted = scratch.keep(with_counts(docs.select("doc_id", "lang", "text")).drop("text"), "counts")
+    texts = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("digest"))
+    counted = scratch.keep(with_counts(texts).drop("text"), "counts")
     return verdicts(counted, certified(scratch, counted, labels, risk), "lang", risk)
 
 
@@ -177,14 +178,9 @@ def certified(scratch: Scratch, counted: DataFrame, labels: DataFrame, risk: Ris
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:
-    """Documents that the rules keep, with all their columns.
-
-    Texts are counted twice, once for the cutoffs and once for the verdict, and never shuffled.
-    """
-    scratch = Scratch(docs.sparkSession, "quality-rules")
-    counted = scratch.keep(with_counts(docs.select("doc_id", "lang", "text")).drop("text"), "counts")
-    cuts = certified(scratch, counted, labels, risk)
-    scratch.drop("counts")
-    inner = docs.select(F.struct("*").alias("_row"), "lang", "text")
-    kept = verdicts(with_counts(inner).drop("text"), cuts, "lang", risk).filter("kept")
+    """Documents that the rules keep, with all their columns."""
+    rejected = judge(docs, labels, risk).filter(~F.col("kept")).select(
+        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    inner = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("digest"))
+    kept = inner.join(rejected, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
     return kept.select("_row.*")
