@@ -53,15 +53,17 @@ SECOND_INFO_LABELS = {"experience": "số năm kinh nghiệm tối thiểu", "wo
 
 # Style classes of the elements that hold a field, first and second page layout.
 TITLE_CLASS = "job-detail__info--title"
+INFO_CLASS = "job-detail__info--section"
 INFO_KEY_CLASS = "job-detail__info--section-content-title"
 INFO_VALUE_CLASS = "job-detail__info--section-content-value"
+DESCRIPTION_CLASS = "job-description__item"
 SECTION_CLASS = "job-description__item--content"
 DEADLINE_CLASS = "job-detail__information-detail--actions-label"
 SECOND_CLASSES = {
-    "title": "sc-ab270149-0 hAejeW",
-    "deadline": "sc-ab270149-0 ePOHWr",
-    "salary": "sc-ab270149-0 cVbwLK",
-    "location": "sc-a137b890-1 joxJgK",
+    "title": ("h1", "sc-ab270149-0 hAejeW"),
+    "deadline": ("span", "sc-ab270149-0 ePOHWr"),
+    "salary": ("span", "sc-ab270149-0 cVbwLK"),
+    "location": ("div", "sc-a137b890-1 joxJgK"),
 }
 SECOND_BENEFIT_CLASS = "sc-c683181c-2 fGxLZh"
 

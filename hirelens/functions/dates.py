@@ -22,12 +22,14 @@ def iso_date(c: Column) -> Column:
 def resolve_relative_deadline(c: Column, crawl_date: Column) -> Column:
     """"expires in N days/weeks/months" to the day itself, counted from the crawl date.
 
-    Any other text comes back unchanged, also one whose number leads beyond the year 9999.
+    Any other text comes back unchanged. So does one that leads beyond the year 9999, which is the only bound.
     """
     text = F.lower(strip(c))
     rest = strip(F.replace(text, F.lit(EXPIRES_IN), F.lit("")))
-    pattern = r"(?U)^([+-]?[0-9]{1,5})\s+(\S+)"
-    count = F.regexp_extract(rest, pattern, 1).try_cast("int")
+    pattern = r"(?U)^([+-]?[0-9]+)\s+(\S+)"
+    number = F.regexp_extract(rest, pattern, 1).try_cast("bigint")
+    # More days than lie between the first and the last year lead out of them in any unit.
+    count = F.when(F.abs(number) <= 4_000_000, number).cast("int")
     unit = F.regexp_extract(rest, pattern, 2)
     day = (
         F.when(unit.contains("ngày"), F.date_add(crawl_date, count))

@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.fixed_values import NO_TITLE
-from hirelens.functions.text import strip, strip_parentheses
+from hirelens.functions.text import bind, strip, strip_parentheses
 
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HEADLINE = r"(?is)<h1[^>]*>(.*?)</h1>"
 LIST_ITEM = r"(?is)<li[^>]*>(.*?)</li>"
 LINK = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-# Heading followed by a block, and label followed by a paragraph.
-HEADED_BLOCK = r"(?is)<h[23][^>]*>(.*?)</h[23]>\s*<div[^>]*>(.*?)</div>"
-LABELLED_PARAGRAPH = r"(?is)<label[^>]*>(.*?)</label>\s*<p[^>]*>(.*?)</p>"
+# Elements that stand on lines of their own.
+LINE_TAG = r"(?i)<br\s*/?>|</?(?:p|div|ul|ol|li|h[1-6]|table|tr|section|article|header|footer)\b[^>]*>"
+
+
+def opening(tag: str = r"\w+", style: str = "") -> str:
+    """Opening tag of an element, `tag` being a pattern; with `style`, one whose class names it."""
+    named = rf'[^>]*\bclass="(?:[^"]*\s)?{re.escape(style)}(?:\s[^"]*)?"' if style else ""
+    return rf"<(?:{tag})\b{named}[^>]*>"
 
 
 def rendered(html: Column) -> Column:
-    """Text of an HTML fragment: no tags, common entities resolved, ends trimmed."""
-    text = F.regexp_replace(html, "<[^>]+>", "")
+    """Text of an HTML fragment: line ends around blocks, no tags, common entities resolved, lines and ends trimmed."""
+    text = F.regexp_replace(F.regexp_replace(html, LINE_TAG, "\n"), "<[^>]+>", "")
+    text = F.regexp_replace(text, r"[ \t\r]*\n[ \t\r\n]*", "\n")
     for entity, char in (
         ("&nbsp;", "\xa0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
     ):
@@ -29,16 +35,58 @@ def rendered(html: Column) -> Column:
     return strip(text)
 
 
+def from_first(html: Column, tag: str) -> Column:
+    """The page from the first such opening tag on, null if there is none."""
+    return F.nullif(F.regexp_extract(html, f"(?is)({tag}.*)", 1), F.lit(""))
+
+
+def from_each(html: Column, tag: str) -> Column:
+    """Array of the page's ends that begin with such an opening tag, in page order."""
+    def ends(pieces: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.get(pieces, i - 1).rlike(f"(?is)^{tag}"))
+        return F.transform(at, lambda i: F.array_join(F.slice(pieces, i, F.size(pieces)), ""))
+
+    return bind(F.split(html, f"(?is)(?={tag})"), ends)
+
+
+def element(start: Column) -> Column:
+    """(content, rest): what stands between the opening tag that the text begins with and the end tag that matches it,
+    and what follows. Elements of the same name inside are part of it. Without an end tag the content is all that follows.
+    """
+    def cut(name: Column) -> Column:
+        body = F.regexp_replace(start, "(?s)^<[^>]*>", "")
+
+        def walk(pieces: Column) -> Column:
+            def depth(acc: Column, piece: Column) -> Column:
+                closes = F.rlike(piece, F.concat(F.lit("(?i)^</"), name, F.lit(r"\b")))
+                opens = F.rlike(piece, F.concat(F.lit("(?i)^<"), name, F.lit(r"\b")))
+                open_ = F.when(acc["open"] == 0, 0).when(closes, acc["open"] - 1).when(opens, acc["open"] + 1).otherwise(acc["open"])
+                return F.struct(open_.alias("open"), (acc["n"] + F.when(open_ > 0, 1).otherwise(0)).alias("n"))
+
+            inside = F.aggregate(pieces, F.struct(F.lit(1).alias("open"), F.lit(0).alias("n")), depth, lambda acc: acc["n"])
+            return bind(inside, lambda n: F.struct(
+                F.array_join(F.slice(pieces, 1, n), "").alias("content"),
+                F.regexp_replace(F.array_join(F.slice(pieces, n + 1, F.size(pieces)), ""), "(?s)^<[^>]*>", "").alias("rest")))
+
+        return bind(F.split(body, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"\b)"))), walk)
+
+    return bind(F.regexp_extract(start, r"^<(\w+)", 1), cut)
+
+
+def text_of_first(html: Column, tag: str) -> Column:
+    """Text of the first element with such an opening tag, null if there is none."""
+    return bind(from_first(html, tag), lambda start: F.when(start.isNotNull(), rendered(element(start)["content"])))
+
+
 def page_title(html: Column) -> Column:
     return rendered(F.regexp_extract(html, TITLE, 1))
 
 
-def posting_title(html: Column, site: str) -> Column:
+def posting_title(html: Column, site: str, headline: str = opening("h1")) -> Column:
     """Headline without remarks; without a headline the page title, unless it only names the site."""
     title = page_title(html)
     fallback = F.when(F.lower(title).contains(site.lower()), F.lit(NO_TITLE)).otherwise(title)
-    headline = strip_parentheses(rendered(F.regexp_extract(html, HEADLINE, 1)))
-    return F.when(html.rlike(HEADLINE), headline).otherwise(fallback)
+    return F.coalesce(strip_parentheses(text_of_first(html, headline)), fallback)
 
 
 def labelled_pairs(html: Column, pattern: str, label: int = 1, value: int = 2) -> Column:
@@ -51,25 +99,52 @@ def labelled_pairs(html: Column, pattern: str, label: int = 1, value: int = 2) -
     )
 
 
-def pick_field(pairs: Column, field: str, keywords: Mapping[str, str]) -> Column:
+def contained_pairs(html: Column, container: str, label: str, value: str) -> Column:
+    """Array of (label, value) texts: the first of each in every container that has both."""
+    def pair(start: Column) -> Column:
+        return bind(element(start)["content"], lambda c: F.struct(
+            text_of_first(c, label).alias("label"), text_of_first(c, value).alias("value")))
+
+    return F.filter(F.transform(from_each(html, container), pair), lambda p: p["label"].isNotNull() & p["value"].isNotNull())
+
+
+def headed_pairs(html: Column, label: str, value: str) -> Column:
+    """Array of (label, value) texts: every label with the first such element after it and before the next label."""
+    def pair(start: Column) -> Column:
+        return bind(element(start), lambda e: F.struct(
+            rendered(e["content"]).alias("label"),
+            text_of_first(F.get(F.split(e["rest"], f"(?is)(?={label})", 2), F.lit(0)), value).alias("value")))
+
+    return F.filter(F.transform(from_each(html, label), pair), lambda p: p["value"].isNotNull())
+
+
+def pick_field(pairs: Column, field: str, keywords: Mapping[str, str], exact: bool = False) -> Column:
     """Value of the last pair whose label belongs to `field`, empty text if there is none.
 
-    A label belongs to the first field whose keyword it holds, in any letter case.
+    A label belongs to the first field whose keyword it holds, or with `exact` is, in any letter case.
     """
     def belongs(pair: Column) -> Column:
-        owner = F.lit(None).cast("string")
+        owner, label = F.lit(None).cast("string"), F.lower(pair["label"])
         for name, keyword in reversed(keywords.items()):
-            hit = F.lower(pair["label"]).contains(keyword.lower())
+            hit = label == keyword.lower() if exact else label.contains(keyword.lower())
             owner = F.when(hit, F.lit(name)).otherwise(owner)
         return F.coalesce(owner == field, F.lit(False))
 
     return F.coalesce(F.try_element_at(F.filter(pairs, belongs), F.lit(-1))["value"], F.lit(""))
 
 
+def _bullets(items: Column) -> Column:
+    return F.array_join(F.transform(items, lambda i: F.concat(F.lit("- "), i, F.lit("\n"))), "")
+
+
 def bullet_text(html: Column, item: str = LIST_ITEM) -> Column:
-    """Every list item as a line `- text`, all lines in one text."""
-    items = F.regexp_extract_all(html, F.lit(item), F.lit(1))
-    return F.array_join(F.transform(items, lambda i: F.concat(F.lit("- "), rendered(i), F.lit("\n"))), "")
+    """Every match of a pattern of list items as a line `- text`, all lines in one text."""
+    return _bullets(F.transform(F.regexp_extract_all(html, F.lit(item), F.lit(1)), rendered))
+
+
+def bullet_elements(html: Column, tag: str) -> Column:
+    """The same for every element with such an opening tag."""
+    return _bullets(F.transform(from_each(html, tag), lambda start: rendered(element(start)["content"])))
 
 
 def page_links(html: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.fixed_values import SKILL_LEXICON
-from hirelens.functions.text import WORD
+from hirelens.functions.text import WORD, bind
 
 SPAN = "struct<start:int,end:int>"
 # Marks the matches inside a text; the twin replaces it where the text already holds one.
@@ -102,11 +102,6 @@ def mentions_skill(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Colu
     return F.coalesce(text.rlike(lexicon_pattern(lexicon)), F.lit(False))
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)`, with `value` worked out once however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _collect(
     items: Column,
     state: dict[str, Column],
@@ -139,17 +134,14 @@ def _collect(
     no_starts = F.slice(F.array(start), 1, 0)
 
     def cut(items: Column) -> Column:
-        last = F.floor((F.size(items) - 1) / F.lit(CHUNK)).cast("int")
+        last = F.floor(F.greatest(F.size(items) - 1, F.lit(0)) / F.lit(CHUNK)).cast("int")
         return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * CHUNK + 1, CHUNK))
 
     def join(chunks: Column) -> Column:
         starts = F.aggregate(chunks, packed({"now": start, "starts": no_starts}), advance, lambda acc: acc["starts"])
         return F.flatten(F.zip_with(chunks, starts, of_chunk))
 
-    def walk(items: Column) -> Column:
-        return F.when(F.size(items) <= CHUNK, of_chunk(items, start)).otherwise(_bind(cut(items), join))
-
-    return _bind(items, walk)
+    return bind(items, lambda items: bind(cut(items), join))
 
 
 def _span(start: Column, end: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ FAST_BULLETS = rf"[\x2d\u2013-\ufe0f&&{BULLETS}]"
 UNTIDY_SPACE = rf"(?U)(?: (?={SPACE})|[\s\x1c-\x1f&&[^ ]]){SPACE}*"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)`, with `value` worked out once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends."""
     return F.btrim(c, F.lit(SPACE_CHARS))

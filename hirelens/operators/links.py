@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.fixed_values import BLOCKED_PAGE, BRAND_LINK, POSTINGS_PER_GROUP
@@ -46,14 +46,19 @@ def cap_per_group(
     )
 
 
+def link_key() -> Column:
+    """One text that is equal only for equal (group, link), null included."""
+    part = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    return F.concat(*[part(F.col(k)) for k in LINK_KEY])
+
+
 def new_links(df: DataFrame, seen: DataFrame, order: Sequence[str]) -> DataFrame:
     """First copy of every (group, link) that `seen` does not hold.
 
-    Both sides are cut to one row per key before the join, so no key is hot in it.
+    First copies and join share one key, so each side is shuffled once, and `seen` with its keys only.
     """
-    known = seen.select(*LINK_KEY).distinct()
-    same = [F.col(f"n.{k}").eqNullSafe(F.col(f"k.{k}")) for k in LINK_KEY]
-    return first_per_key(df, order).alias("n").join(known.alias("k"), same, "left_anti")
+    known = seen.select(link_key().alias("_key"))
+    return first_per_key(df.withColumn("_key", link_key()), order, ["_key"]).join(known, "_key", "left_anti").drop("_key")
 
 
 def without_links(df: DataFrame, marker: str = BRAND_LINK, link: str = "link") -> DataFrame:

@@ -9,12 +9,12 @@ from hirelens.fixed_values import UNKNOWN
 
 
 def overview(raw: DataFrame) -> DataFrame:
-    """(source, postings, columns): one row per source and one, without a source, for all postings.
+    """(source, level, postings, columns): one row per source with level 0, and one for all postings with level 1.
 
-    Sources may be file names, so there can be any number of them.
+    Sources may be file names, so there can be any number of them. Postings without a source have a row of level 0.
     """
     return raw.rollup("source").agg(
-        F.count("*").alias("postings"), F.lit(", ".join(raw.columns)).alias("columns"))
+        F.grouping_id().cast("int").alias("level"), F.count("*").alias("postings"), F.lit(", ".join(raw.columns)).alias("columns"))
 
 
 def value_counts(df: DataFrame, value: Column, name: str) -> DataFrame:

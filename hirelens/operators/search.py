@@ -48,14 +48,14 @@ def salary_bands(jobs: DataFrame) -> DataFrame:
 def holds_keyword(text: Column, keyword: str, ignore_accents: bool = False) -> Column:
     """Does the text hold the keyword, letter case ignored?
 
-    `%` and `_` in the keyword stand for any text and any character. `ignore_accents` compares
-    base letters only and takes the keyword literally.
+    `%` and `_` in the keyword stand for any text and any character, in every keyword. A backslash is
+    a backslash. `ignore_accents` compares base letters only and takes the keyword literally.
     """
     if ignore_accents:
         return F.contains(F.collate(text, "UNICODE_CI_AI"), F.collate(F.lit(keyword), "UNICODE_CI_AI"))
-    if ("%" in keyword or "_" in keyword) and "\\" not in keyword:
-        return F.lower(text).like(f"%{keyword.lower()}%")
-    return F.lower(text).contains(keyword.lower())
+    escape = "\x01"
+    pattern = keyword.lower().replace(escape, escape * 2)
+    return F.like(F.lower(text), F.lit(f"%{pattern}%"), F.lit(escape))
 
 
 def search_keyword(jobs: DataFrame, keyword: str, ignore_accents: bool = False) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from hirelens.operators.links import new_links
 from hirelens.plans.clean import clean_postings
 from hirelens.schemas import CLEANED, JOB_FIELDS
-from hirelens.sources.blocks import flatten, read_layout
+from hirelens.sources.blocks import broken_layout, flatten, read_layout
+from hirelens.workspace import stage, unstage
 
 TARGET = T.StructType(
     [T.StructField("source", T.StringType())] + CLEANED.fields + [T.StructField("crawl_date", T.DateType())])
@@ -23,23 +24,33 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
 
 
 def ingest_day(
-    spark: SparkSession, raw: str, target: str, day: datetime.date, sources: Sequence[str]
+    spark: SparkSession, raw: str, target: str, day: datetime.date, sources: Sequence[str], multi_line: bool = False
 ) -> None:
     """Bring one day of the raw layout into the target table.
 
-    Nothing is written unless every source delivered. Links that an earlier day brought for the
-    same group are left out; of several copies on the day the first one stays, in the order of
-    source, file and place in the block. Running a day again gives the same result.
+    Nothing is written unless every source delivered. Links that any other day brought for the same group are left out, so
+    of copies on several days the one ingested first stays, also when a day comes late. Of several copies
+    on the day the first one stays, in the order of source, file and place in the block. The day's rows replace what the target
+    had for it, also if there are none now; running a day again gives the same result. `multi_line` is that
+    of `read_layout`. Files that cannot be read raise an error that names some of them; `broken_layout` lists all.
     """
     # The empty write only makes sure that the folder is there.
     spark.createDataFrame([], TARGET).write.mode("ignore").partitionBy("crawl_date").parquet(target)
-    earlier = read_target(spark, target).filter(F.col("crawl_date") < F.lit(day))
-    blocks = read_layout(spark, raw).filter(F.col("crawl_date") == F.lit(day))
+    other = read_target(spark, target).filter(F.col("crawl_date") != F.lit(day))
+    blocks = read_layout(spark, raw, multi_line).filter((F.col("crawl_date") == F.lit(day)) & F.col("source").isin(*sources))
+    broken = [row.file for row in broken_layout(blocks).select("file").limit(3).collect()]
+    if broken:
+        raise ValueError(f"unreadable on {day}: {', '.join(broken)}")
     # Looks at one block of each source, where grouping the day would read all of it twice.
     if any(blocks.filter(F.col("source") == source).isEmpty() for source in sources):
         return
-    located = blocks.filter(F.col("source").isin(*sources)).withColumn("_file", F.col("_metadata.file_path"))
-    postings = new_links(flatten(located), earlier, order=["source", "_file", "pos", *JOB_FIELDS])
-    (clean_postings(postings, keep=["source", "crawl_date"])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("crawl_date").parquet(target))
+    postings = new_links(
+        flatten(blocks.withColumn("_file", F.col("_metadata.file_path"))), other, order=["source", "_file", "pos", *JOB_FIELDS])
+    found = stage(clean_postings(postings, keep=["source", "crawl_date"]), "day")
+    if found.isEmpty():
+        # A dynamic overwrite would leave the old rows of a day without new ones.
+        found.drop("crawl_date").write.mode("overwrite").parquet(f"{target}/crawl_date={day.isoformat()}")
+    else:
+        (found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("crawl_date").parquet(target))
+    unstage(found)

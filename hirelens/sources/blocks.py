@@ -83,10 +83,23 @@ def replace_days(blocks: DataFrame, root: str) -> None:
      .partitionBy("crawl_date", "source").json(root))
 
 
-def read_layout(spark: SparkSession, root: str) -> DataFrame:
-    """All blocks of the day layout; a filter on crawl_date or source reads only those folders."""
-    schema = T.StructType(BLOCK.fields + LAYOUT)
-    return spark.read.schema(schema).json(root)
+def read_layout(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
+    """All blocks of the day layout; a filter on crawl_date or source reads only those folders.
+
+    `multi_line` reads files of one indented JSON array each, as crawlers write them. What cannot be read has null
+    fields and its text in `CORRUPT`, see `broken_layout`.
+    """
+    schema = T.StructType(BLOCK.fields + [T.StructField(CORRUPT, T.StringType())] + LAYOUT)
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(root, multiLine=multi_line)
+
+
+def broken_layout(layout: DataFrame) -> DataFrame:
+    """(crawl_date, source, file, record) of everything in `read_layout` that is no block."""
+    return (
+        layout.select("crawl_date", "source", F.col("_metadata.file_path").alias("file"), F.col(CORRUPT).alias("record"), "jobs")
+        .filter(F.col("record").isNotNull() & F.col("jobs").isNull())
+        .drop("jobs")
+    )
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def flat_export(cleaned: DataFrame) -> DataFrame:
     columns = {name: one_line(F.col(name).cast("string")) for name in FLAT_FIELDS if name not in AS_IS}
     columns["salary_normalized"] = F.coalesce(F.col("salary_normalized").cast("string"), F.lit(""))
     columns["currency_unit"] = F.coalesce("currency_unit", F.lit(""))
-    columns["skills"] = join_skill_list(F.col("skills"))
+    columns["skills"] = one_line(join_skill_list(F.col("skills")))
     return cleaned.select(*[columns[name].alias(name) for name in FLAT_FIELDS])
 
 

@@ -2,67 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.operators.links import LINK_KEY
-from hirelens.plans.clean import clean_postings
+from hirelens.plans.daily import ingest_day
 from hirelens.schemas import BLOCK
-from hirelens.sources.blocks import LAYOUT, flatten
-
-# Keeps the links seen so far on local disk instead of the executor's heap. Set it on the
-# session before the first run; it cannot change for an existing checkpoint.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-}
+from hirelens.sources.blocks import LAYOUT
 
 
-def read_stream(spark: SparkSession, raw: str, max_files: int | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, raw: str, max_files: int | None = None, multi_line: bool = False) -> DataFrame:
     """Blocks of the raw layout as they arrive."""
-    reader = spark.readStream.schema(T.StructType(BLOCK.fields + LAYOUT))
+    reader = spark.readStream.schema(T.StructType(BLOCK.fields + LAYOUT)).option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(raw)
 
 
-def first_copies(postings: DataFrame, watermark: str | None = None, salts: int = 32) -> DataFrame:
-    """One row per (group, link) of a stream.
-
-    A link with very many copies is first thinned out in `salts` slices, so that no task gets
-    all copies. With a `watermark` on the crawl date, links are forgotten after that time.
-    """
-    place = F.pmod(F.xxhash64("_file", "pos"), F.lit(salts))
-    sliced = postings.withColumn("_slice", place)
-    if watermark is None:
-        return sliced.dropDuplicates([*LINK_KEY, "_slice"]).dropDuplicates(LINK_KEY)
-    timed = sliced.withColumn("crawled_at", F.col("crawl_date").cast("timestamp")).withWatermark("crawled_at", watermark)
-    return timed.dropDuplicatesWithinWatermark([*LINK_KEY, "_slice"]).dropDuplicatesWithinWatermark(LINK_KEY)
-
-
 def ingest_stream(
     spark: SparkSession,
     raw: str,
     target: str,
     checkpoint: str,
-    watermark: str | None = None,
-    salts: int = 32,
+    sources: Sequence[str],
     max_files: int | None = None,
+    multi_line: bool = False,
 ) -> None:
-    """Clean all files that arrived since the last run and append their new links to `target`.
+    """Ingest every day of which files arrived since the last run, by the step of the daily batch.
 
-    The checkpoint remembers files and links, so a run that was cut off continues where it was.
+    The stream keeps no state but its progress: a day with new files, late ones included, is worked out again as a whole,
+    in the order of days, and replaces what the target had of it. So stream and batch agree, a day waits until every
+    source delivered, and a run that was cut off is repeated without harm.
     """
-    blocks = read_stream(spark, raw, max_files).withColumn("_file", F.col("_metadata.file_path"))
-    fresh = first_copies(flatten(blocks), watermark, salts)
+    def step(arrived: DataFrame, _: int) -> None:
+        days = sorted(row.crawl_date for row in arrived.select("crawl_date").distinct().collect())
+        for day in days:
+            ingest_day(spark, raw, target, day, sources, multi_line)
+
     query = (
-        clean_postings(fresh, keep=["source", "crawl_date"])
-        .writeStream.format("parquet")
-        .partitionBy("crawl_date")
-        .option("path", target)
+        read_stream(spark, raw, max_files, multi_line).select("crawl_date").writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

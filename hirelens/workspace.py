@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -20,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(SETTING, None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # `local-cluster` has executors in processes of their own.
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="hirelens-")
     spark.conf.set(SETTING, path)
@@ -43,18 +45,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(staged: DataFrame) -> None:
+    """Remove the table behind a frame that `stage` returned, once nothing reads it any more."""
+    spark = staged.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def at_once(jobs: Iterable[Callable[[], object]]) -> list:
     """Run independent Spark jobs side by side, so that small ones do not leave the cluster idle."""
     jobs = list(jobs)
     with ThreadPoolExecutor(max_workers=max(1, min(8, len(jobs)))) as pool:
         return list(pool.map(lambda job: job(), jobs))
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core on input that comes in fewer splits than there are cores.
-
-    Meant for heavy work per row on small files with few row groups. Larger input already has
-    more splits and is left alone, so this never shuffles it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -1,12 +1,14 @@
 import datetime
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from hirelens.operators.links import first_per_key
+from hirelens.operators.links import new_links
 from hirelens.plans.daily import ingest_day, read_target
 from hirelens.schemas import JOB_FIELDS
 from hirelens.sources import blocks
-from hirelens.streaming.ingest import STATE_STORE, first_copies, ingest_stream, read_stream
+from hirelens.streaming.ingest import ingest_stream
 
 SOURCES = ["a", "b"]
 DAYS = [datetime.date(2025, 10, d) for d in (7, 8, 9)]
@@ -55,54 +57,72 @@ def keys(rows):
 
 
 def test_stream_equals_batch(spark, tmp_path):
+    """All columns, on links that repeat over days and sources."""
     raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
-    blocks.append_blocks(crawl(spark, ROWS[:4]), raw)
-    ingest_stream(spark, raw, target, progress, max_files=1)
-    first = result(spark, target)
-    ingest_stream(spark, raw, target, progress)
-    assert result(spark, target) == first
-    blocks.append_blocks(crawl(spark, ROWS[4:]), raw)
-    ingest_stream(spark, raw, target, progress)
-    batch = first_per_key(blocks.flatten(blocks.read_layout(spark, raw)), order=["crawl_date", "source", "pos"])
-    assert keys(result(spark, target)) == sorted((r.group, r.link) for r in batch.collect())
-
-
-def test_stream_with_links_on_disk(spark, tmp_path):
-    raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
-    blocks.append_blocks(crawl(spark, ROWS), raw)
-    before = {name: spark.conf.get(name) for name in STATE_STORE}
-    try:
-        for name, value in STATE_STORE.items():
-            spark.conf.set(name, value)
-        ingest_stream(spark, raw, target, progress)
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    assert len(set(keys(result(spark, target)))) == len(keys(result(spark, target))) == 6
+    batch_raw, batch = str(tmp_path / "raw2"), str(tmp_path / "out2")
+    rows = [(d, s, "g", [f"/{i % 40}" for i in range(60)] + [f"/{d}{s}"]) for d in DAYS for s in SOURCES]
+    for some in (rows[:4], rows[4:]):
+        blocks.append_blocks(crawl(spark, some), raw)
+        blocks.append_blocks(crawl(spark, some), batch_raw)
+        ingest_stream(spark, raw, target, progress, SOURCES, max_files=1)
+    for day in DAYS:
+        ingest_day(spark, batch_raw, batch, day, SOURCES)
+    streamed = sorted(map(str, read_target(spark, target).collect()))
+    assert streamed == sorted(map(str, read_target(spark, batch).collect())) and len(streamed) == 40 + 6
+    ingest_stream(spark, raw, target, progress, SOURCES)
+    assert sorted(map(str, read_target(spark, target).collect())) == streamed
 
 
-def test_stream_with_watermark(spark, tmp_path):
+def test_late_days_are_kept(spark, tmp_path):
     raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
-    blocks.append_blocks(crawl(spark, ROWS), raw)
-    ingest_stream(spark, raw, target, progress, watermark="30 days", salts=1)
-    assert len(result(spark, target)) == len(set(keys(result(spark, target)))) == 6
+    for rows in (ROWS[4:], [(datetime.date(2025, 9, 1), s, "g", [f"/late{s}", "/4"]) for s in SOURCES]):
+        blocks.append_blocks(crawl(spark, rows), raw)
+        ingest_stream(spark, raw, target, progress, SOURCES)
+    found = result(spark, target)
+    assert {r[3] for r in found if r[0].month == 9} == {"/latea", "/lateb"}  # the copy ingested first stays
+    assert len(found) == len({r[2:] for r in found}) == 6
 
 
-def test_stream_with_one_hot_link(spark, tmp_path):
-    raw, target, progress = (str(tmp_path / n) for n in ("raw", "out", "progress"))
-    hot = [(DAYS[0], "a", "g", ["/hot" if i % 3 == 0 else f"/{i}" for i in range(3000)])]
-    blocks.append_blocks(crawl(spark, hot), raw)
-    ingest_stream(spark, raw, target, progress)
-    found = keys(result(spark, target))
-    assert len(found) == len(set(found)) == 2001
-
-
-def test_salts_spread_copies(spark, tmp_path):
-    raw = str(tmp_path / "raw")
-    blocks.append_blocks(crawl(spark, [(DAYS[0], "a", "g", ["/hot"] * 500)]), raw)
-    stream = read_stream(spark, raw).withColumn("_file", F.col("_metadata.file_path"))
-    plan = first_copies(blocks.flatten(stream))
-    assert plan.isStreaming
-    batch = blocks.read_layout(spark, raw).withColumn("_file", F.col("_metadata.file_path"))
-    slices = blocks.flatten(batch).select(F.pmod(F.xxhash64("_file", "pos"), F.lit(32))).distinct().count()
-    assert slices == 32
+def test_backfill_and_emptied_day(spark, tmp_path):
+    raw, target = str(tmp_path / "raw"), str(tmp_path / "out")
+    same = lambda day: [(day, s, "g", ["/1", "/2", f"/{day}{s}"]) for s in SOURCES]
+    blocks.append_blocks(crawl(spark, same(DAYS[1])), raw)
+    ingest_day(spark, raw, target, DAYS[1], SOURCES)
+    blocks.append_blocks(crawl(spark, same(DAYS[0])), raw)
+    ingest_day(spark, raw, target, DAYS[0], SOURCES)
+    found = result(spark, target)
+    assert len(found) == len({r[2:] for r in found}) == 6
+    ingest_day(spark, raw, target, DAYS[1], SOURCES)
+    assert result(spark, target) == found
+    empty = crawl(spark, same(DAYS[1])).withColumn("jobs", F.slice("jobs", 1, 0))
+    blocks.replace_days(empty, raw)
+    ingest_day(spark, raw, target, DAYS[1], SOURCES)
+    assert {r[0] for r in result(spark, target)} == {DAYS[0]}
+
+
+def test_indented_files_and_broken_ones(spark, tmp_path):
+    raw, target = tmp_path / "raw", str(tmp_path / "out")
+    for s in SOURCES:
+        folder = raw / "crawl_date=2025-10-07" / f"source={s}"
+        folder.mkdir(parents=True)
+        job = {f: "10 triệu" if f == "salary" else "Python" for f in JOB_FIELDS}
+        (folder / "x.json").write_text(json.dumps([{"group": "g", "jobs": [job | {"link": f"/{s}"}]}], indent=4))
+    ingest_day(spark, str(raw), target, DAYS[0], SOURCES, multi_line=True)
+    assert [r[3] for r in result(spark, target)] == ["/a", "/b"]
+    (folder / "y.json").write_text('[{"group": ')
+    layout = blocks.read_layout(spark, str(raw), multi_line=True)
+    assert [(r.source, r.file.rsplit("/", 1)[1]) for r in blocks.broken_layout(layout).collect()] == [("b", "y.json")]
+    with pytest.raises(ValueError, match="y.json"):
+        ingest_day(spark, str(raw), target, DAYS[0], SOURCES, multi_line=True)
+
+
+def test_two_shuffles(spark):
+    rows = spark.createDataFrame([("g", "/1", 1)], "`group` string, link string, n int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = new_links(rows, rows, ["n"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2

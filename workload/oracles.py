@@ -97,7 +97,9 @@ def relative(x: str, day: str) -> str:
 
 
 def rendered(x: str) -> str:
-    text = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
+    tags = r"(?i)<br\s*/?>|</?(?:p|div|ul|ol|li|h[1-6]|table|tr|section|article|header|footer)\b[^>]*>"
+    text = f"regexp_replace(regexp_replace({x}, '{tags}', chr(10), 'g'), '<[^>]+>', '', 'g')"
+    text = rf"regexp_replace({text}, '[ \t\r]*\n[ \t\r\n]*', chr(10), 'g')"
     for entity, char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"),
                          ("&#39;", "chr(39)"), ("&amp;", "'&'")):
         text = f"replace({text}, '{entity}', {char})"
@@ -299,14 +301,18 @@ ORACLES: dict[str, str] = {
     "top_cities": sql("SELECT city, count(*) AS postings FROM city_rows GROUP BY 1 ORDER BY postings DESC, city LIMIT 10",
                       "postings", "flat", "city_rows"),
     "market_cube": sql(
+        # Where cities are summed over, a posting counts once, however many cities it names.
         'SELECT grp AS "group", city, experience, CAST(grouping_id(grp, city, experience) AS INTEGER) AS level, '
         "count(*) AS postings, avg(salary_normalized) AS avg_salary_vnd "
         f"FROM (SELECT grp, experience, salary_normalized, unnest(CASE WHEN len({cities_of('location')}) = 0 "
-        f"THEN [NULL] ELSE {cities_of('location')} END) AS city FROM flat) GROUP BY CUBE (grp, city, experience)",
+        f"THEN [NULL] ELSE {cities_of('location')} END) AS city FROM flat) "
+        "GROUP BY GROUPING SETS ((grp, city, experience), (grp, city), (city, experience), (city)) "
+        'UNION ALL SELECT grp, NULL, experience, CAST(4 * grouping(grp) + 2 + grouping(experience) AS INTEGER), count(*), '
+        "avg(salary_normalized) FROM flat GROUP BY CUBE (grp, experience)",
         "postings", "flat"),
     # profile
     "profile_overview": sql(
-        f"SELECT source, count(*) AS postings, {quoted(', '.join(['group', 'source', *JOB_FIELDS]))} AS columns "
+        f"SELECT source, CAST(grouping(source) AS INTEGER) AS level, count(*) AS postings, {quoted(', '.join(['group', 'source', *JOB_FIELDS]))} AS columns "
         "FROM postings GROUP BY ROLLUP (source)", "postings"),
     "value_counts_location": sql(
         "SELECT coalesce(nullif(location, ''), 'Không rõ') AS location, count(*) AS postings FROM postings GROUP BY 1",

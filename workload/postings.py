@@ -12,7 +12,7 @@ from hirelens.functions.text import parse_skill_list
 from hirelens.plans.clean import clean_postings
 from hirelens.plans.star import build_star, read_star, save_star
 from hirelens.schemas import JOB_FIELDS
-from hirelens.workspace import new_dir, spread
+from hirelens.workspace import new_dir
 
 CRAWL_DATE = "2025-10-07"
 
@@ -71,9 +71,8 @@ def duckdb_view() -> str:
     return sql
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, spread_by) if spread_by else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -96,7 +95,7 @@ def derive_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql = sql.replace(f"@{name.upper()}@", f"{{{name}}}")
     postings = spark.sql(
         sql,
-        orders=table(spark, sf_dir, "orders", spread_by="o_orderkey"),
+        orders=table(spark, sf_dir, "orders"),
         customer=table(spark, sf_dir, "customer"),
         nation=table(spark, sf_dir, "nation"),
     )

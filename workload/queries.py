@@ -171,12 +171,12 @@ def clean_postings(spark, d):
 
 @query
 def clean_text(spark, d):
-    return table(spark, d, "documents", spread_by="doc_id").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    return table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query
 def sentences(spark, d):
-    return labels.sentences(table(spark, d, "documents", spread_by="doc_id"), F.col("text"), "doc_id")
+    return labels.sentences(table(spark, d, "documents"), F.col("text"), "doc_id")
 
 
 @query
@@ -193,7 +193,7 @@ def tag_skills(spark, d):
 
 @query
 def non_overlapping_spans(spark, d):
-    docs = table(spark, d, "documents", spread_by="doc_id").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+    docs = table(spark, d, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
     spans = skills.non_overlapping(skills.skill_spans(F.col("cleaned"), WORDS))
     return (
         docs.select("doc_id", F.explode(spans).alias("s"))
@@ -203,7 +203,7 @@ def non_overlapping_spans(spark, d):
 
 @query
 def label_sentences(spark, d):
-    labelled = labels.label_sentences(table(spark, d, "documents", spread_by="doc_id"), F.col("text"), WORDS)
+    labelled = labels.label_sentences(table(spark, d, "documents"), F.col("text"), WORDS)
     return (
         labelled.select("text", F.explode("entities").alias("e"))
         .select("text", F.col("e.start").alias("start_at"), F.col("e.end").alias("end_at"), F.col("e.label").alias("label"))
@@ -245,7 +245,7 @@ def extract_postings(spark, d):
         copies={"work_location_detail": "location"},
         missing="N/A",
     )
-    return page_postings(table(spark, d, "pages", spread_by="page_id"), layout, F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+    return page_postings(table(spark, d, "pages"), layout, F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
 
 
 @query
@@ -600,12 +600,19 @@ def daily_ingest(spark, d):
     days = blocks.read_layout(spark, raw).select("crawl_date").distinct().orderBy("crawl_date")
     for row in days.collect():
         ingest_day(spark, raw, target, row.crawl_date, SOURCES)
-    return read_target(spark, target).select(text_of("crawl_date").alias("crawl_date"), "source", "group", "link")
+    return _ingested(spark, target)
+
+
+def _ingested(spark, target: str) -> DataFrame:
+    """Who brought which link, for rows that are as cleaning leaves them."""
+    rows = read_target(spark, target)
+    whole = rows.filter(F.col("skills").isNotNull() & (F.col("salary_raw").isNotNull() | F.col("salary_normalized").isNull()))
+    return whole.select(text_of("crawl_date").alias("crawl_date"), "source", "group", "link")
 
 
 @query
 def stream_ingest(spark, d):
     raw, target = new_dir(spark, "raw"), new_dir(spark, "streamed")
     blocks.append_blocks(crawl_blocks(spark, d, "year"), raw)
-    ingest_stream(spark, raw, target, checkpoint=new_dir(spark, "progress"))
-    return read_target(spark, target).select("source", "group", "link")
+    ingest_stream(spark, raw, target, checkpoint=new_dir(spark, "progress"), sources=SOURCES)
+    return _ingested(spark, target)
