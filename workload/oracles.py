@@ -5,6 +5,7 @@ from __future__ import annotations
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions.text import BULLETS, SPACE_CHARS
 from hirelens.schemas import FLAT_FIELDS, FOREIGN_KEYS, JOB_FIELDS, MAX_LENGTHS, REQUIRED, UNIQUE_KEYS
+from workload.layouts import FIRST_SAYS, SECOND_SAYS, layout_sql
 from workload.postings import CRAWL_DATE, duckdb_view
 from workload.queries import SECTION_WORDS, WORDS
 
@@ -235,6 +236,31 @@ def search_columns(joins: str, where: str) -> str:
                                   FROM skill_rows GROUP BY job_id) l ON l.job_id = c.job_id {joins} {where}"""
 
 
+CLEAN = """SELECT * EXCLUDE (grp, skills, tags, cleaned_requirements), grp AS "group",
+        coalesce(array_to_string([substr(c.requirements, CAST(t.s AS BIGINT) + 1, CAST(t.e - t.s AS BIGINT)) FOR t IN tags], '|'), '') AS skills
+        FROM cleaned c LEFT JOIN (SELECT requirements AS cleaned_requirements, tags FROM text_tags) x
+        ON x.cleaned_requirements = c.requirements"""
+
+
+def tagged(select: str, *more: str) -> str:
+    """The library tags the cleaned requirements, so the places are searched in those."""
+    return sql(select, "postings", "flat", "cleaned", "lexicon", *more,
+               extra="text_spans AS (" + CTES["text_spans"].replace("FROM postings", "FROM cleaned") + "), text_tags AS ("
+                     + CTES["text_tags"] + ")")
+
+
+def ingested() -> str:
+    """All columns of the copy that the first day brought: by source, place in the block, then the fields."""
+    fields = ", ".join(f"{'location' if f == 'work_location_detail' else f} NULLS FIRST" for f in JOB_FIELDS)
+    return tagged(f"""SELECT w.crawl_date, w.source, x.* EXCLUDE (job_id) FROM ({CLEAN}) x JOIN (
+        SELECT job_id, crawl_year AS crawl_date, source FROM block_years
+        QUALIFY row_number() OVER (PARTITION BY grp, link ORDER BY crawl_year, source, pos, {fields}) = 1) w USING (job_id)""", "block_years")
+
+
+def found_jobs(where: str) -> str:
+    return star(search_columns("", "WHERE " + where).replace("'|'", "', '"))
+
+
 def kv_lines(key: str, value: str) -> str:
     line = strip(f"coalesce({key}, '') || chr(9) || coalesce(CAST({value} AS VARCHAR), '')")
     return f"SELECT string_split({line}, chr(9)) AS parts FROM postings"
@@ -343,14 +369,7 @@ ORACLES: dict[str, str] = {
         f"{default_blank('location', 'Không rõ')} AS location, {default_blank('benefits', 'N/A')} AS benefits FROM postings",
         "postings"),
     # The library tags the cleaned requirements, so the places are searched in those.
-    "clean_postings": sql(
-        """SELECT * EXCLUDE (grp, skills, tags, cleaned_requirements), grp AS "group",
-        coalesce(array_to_string([substr(c.requirements, CAST(t.s AS BIGINT) + 1, CAST(t.e - t.s AS BIGINT)) FOR t IN tags], '|'), '') AS skills
-        FROM cleaned c LEFT JOIN (SELECT requirements AS cleaned_requirements, tags FROM text_tags) x
-        ON x.cleaned_requirements = c.requirements""",
-        "postings", "flat", "cleaned", "lexicon",
-        extra="text_spans AS (" + CTES["text_spans"].replace("FROM postings", "FROM cleaned") + "), text_tags AS ("
-              + CTES["text_tags"] + ")"),
+    "clean_postings": tagged(CLEAN),
     # text and skills
     "clean_text": sql("SELECT doc_id, cleaned FROM texts", "texts"),
     "sentences": sql("SELECT doc_id, CAST(pos AS INTEGER) AS pos, sentence FROM sentence_rows", "texts", "sentence_rows"),
@@ -379,6 +398,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT page_id, regexp_extract_all(html, {LINK}, 1) AS links FROM pages)) WHERE NOT contains(link, '/th')""",
     "group_filter": sql("""SELECT job_id, grp AS "group" FROM postings WHERE grp = 'BUILDING'""", "postings"),
     "page_titles": f"SELECT page_id, {title_of('html')} AS title FROM pages",
+    "first_layout": layout_sql(FIRST_SAYS),
+    "second_layout": layout_sql(SECOND_SAYS),
     "page_sections": f"""SELECT page_id, {', '.join(f"{picked('pairs', f, SECTION_WORDS, 1, 2)} AS {f}" for f in SECTION_WORDS)}
         FROM (SELECT page_id, {both(SECTION)} AS pairs FROM pages)""",
     "page_lists": f"SELECT page_id, {bullets('html')} AS bullets FROM pages",
@@ -472,10 +493,13 @@ ORACLES: dict[str, str] = {
     "job_skill_lists": star("SELECT job_id, string_agg(name, '|' ORDER BY name) AS skills FROM skill_rows GROUP BY job_id"),
     "search_by_skill": star("SELECT job_id FROM skill_rows WHERE name = 'Python'"),
     "search_all": star(search_columns("", "").replace("'|'", "', '")),
-    "search_jobs": star(search_columns("", """WHERE c.grp = 'BUILDING' AND location = 'Hà Nội'
-        AND salary_normalized >= 10000000 AND salary_normalized < 20000000
+    "search_jobs": found_jobs("""c.grp = 'BUILDING' AND location = 'Hà Nội' AND salary_normalized >= 10000000 AND salary_normalized < 20000000
         AND (title ILIKE '%job%' OR description ILIKE '%job%')
-        AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Python')""").replace("'|'", "', '")),
+        AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Git')"""),
+    "search_facets": found_jobs("c.grp = 'MACHINERY' AND location = 'Hồ Chí Minh'"),
+    "search_band": found_jobs("salary_normalized >= 10000000 AND salary_normalized < 20000000"),
+    "search_skill": found_jobs("""(title ILIKE '%1-urgent%' OR description ILIKE '%1-urgent%')
+        AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Git')"""),
     # sources and sinks
     "flatten_blocks": sql(
         'SELECT crawl_year AS crawl_date, grp AS "group", source, CAST(pos AS INTEGER) AS pos, '
@@ -509,8 +533,6 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'job_skills', count(*) FROM skill_rows
         UNION ALL SELECT 'skill_details', count(*) FROM (SELECT DISTINCT name, grp FROM skill_rows)"""),
     # daily ingest
-    "daily_ingest": sql(
-        """SELECT strftime(min(date_trunc('year', crawl_date)), '%Y-%m-%d') AS crawl_date, source, grp AS "group", link
-        FROM postings GROUP BY source, grp, link""", "postings"),
-    "stream_ingest": sql('SELECT DISTINCT source, grp AS "group", link FROM postings', "postings"),
+    "daily_ingest": ingested(),
+    "stream_ingest": ingested(),
 }

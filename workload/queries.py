@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from hirelens.functions import dates, pages, salary, skills, text
 from hirelens.operators import analyses, labels, links, profile, quality, search
+from hirelens.operators import pages as layouts
 from hirelens.operators.pages import PageLayout, Pairs
 from hirelens.operators.pages import extract_postings as page_postings
 from hirelens.plans import clean, star
@@ -19,6 +20,7 @@ from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
 from hirelens.sources import blocks, flat, keyvalue, tables
 from hirelens.streaming.ingest import ingest_stream
 from hirelens.workspace import new_dir, stage
+from workload.layouts import FIRST, SECOND, layout_pages
 from workload.postings import (
     CRAWL_DATE, cleaned_postings, crawl_blocks, derive_postings, flat_postings, model_tables, raw_postings, table,
 )
@@ -248,6 +250,16 @@ def extract_postings(spark, d):
     return page_postings(table(spark, d, "pages"), layout, F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
 
 
+@query
+def first_layout(spark, d):
+    return page_postings(layout_pages(spark, d, FIRST), layouts.first_layout("example.com"), F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+
+
+@query
+def second_layout(spark, d):
+    return page_postings(layout_pages(spark, d, SECOND), layouts.second_layout("example.com"), F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+
+
 @query
 def page_sections(spark, d):
     pairs = table(spark, d, "pages").select("page_id", pages.labelled_pairs(F.col("html"), SECTION).alias("pairs"))
@@ -491,7 +503,22 @@ def search_all(spark, d):
 @query
 def search_jobs(spark, d):
     return _result(search.search(
-        model_tables(spark, d), group="BUILDING", skill="Python", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
+        model_tables(spark, d), group="BUILDING", skill="Git", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
+
+
+@query
+def search_facets(spark, d):
+    return _result(search.search(model_tables(spark, d), group="MACHINERY", location="Hồ Chí Minh"))
+
+
+@query
+def search_band(spark, d):
+    return _result(search.search(model_tables(spark, d), salary="10 - 20 triệu"))
+
+
+@query
+def search_skill(spark, d):
+    return _result(search.search(model_tables(spark, d), skill="Git", keyword="1-urgent"))
 
 
 # ---- sources and sinks
@@ -604,10 +631,8 @@ def daily_ingest(spark, d):
 
 
 def _ingested(spark, target: str) -> DataFrame:
-    """Who brought which link, for rows that are as cleaning leaves them."""
-    rows = read_target(spark, target)
-    whole = rows.filter(F.col("skills").isNotNull() & (F.col("salary_raw").isNotNull() | F.col("salary_normalized").isNull()))
-    return whole.select(text_of("crawl_date").alias("crawl_date"), "source", "group", "link")
+    return read_target(spark, target).withColumns({
+        "crawl_date": text_of("crawl_date"), "deadline": text_of("deadline"), "skills": F.array_join("skills", "|")})
 
 
 @query
