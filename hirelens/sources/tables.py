@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.workspace import at_once
 
-SYSTEM_DATABASES = {"default", "information_schema", "mysql", "performance_schema", "sys"}
-NAMES = "_tables"
+SYSTEM_DATABASES = {"information_schema", "mysql", "performance_schema", "sys"}
+VERSIONS = "_versions"
 
 
 def user_databases(spark: SparkSession) -> list[str]:
@@ -31,7 +34,7 @@ def create_table_from_csv(spark: SparkSession, table: str, schema: T.StructType,
     return spark.table(table)
 
 
-def save_tables(tables: Mapping[str, DataFrame], database: str, buckets: Mapping[str, tuple[int, str]] | None = None):
+def save_tables(tables: Mapping[str, DataFrame], database: str, buckets: Mapping[str, tuple[int, str | list[str]]] | None = None):
     """Save every frame as a table of the database, replacing an older one.
 
     `buckets` maps a table to (number of buckets, column). Tables bucketed alike on their join
@@ -39,9 +42,10 @@ def save_tables(tables: Mapping[str, DataFrame], database: str, buckets: Mapping
     """
     def save(name: str, df: DataFrame) -> None:
         if buckets and name in buckets:
-            count, column = buckets[name]
+            count, by = buckets[name]
+            columns = [by] if isinstance(by, str) else list(by)
             # One task per bucket writes one file; without this every task writes to every bucket.
-            writer = df.repartition(count, column).write.bucketBy(count, column).sortBy(column)
+            writer = df.repartition(count, *columns).write.bucketBy(count, *columns).sortBy(*columns)
         else:
             writer = df.write
         writer.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
@@ -64,21 +68,47 @@ def write_jdbc(tables: Mapping[str, DataFrame], url: str, properties: Mapping[st
          .jdbc(url, name, properties=dict(properties)))
 
 
+def _buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """Number of buckets of a table and the columns that deal rows out, if it has any."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if "Num Buckets" not in told:
+        return None
+    return int(told["Num Buckets"]), re.findall(r"`([^`]+)`", told["Bucket Columns"])
+
+
 def snapshot(spark: SparkSession, database: str, path: str) -> list[str]:
-    """Write every table of the database below `path`; return their names."""
-    tables = read_tables(spark, database)
-    at_once(lambda name=name, df=df: df.write.mode("overwrite").parquet(f"{path}/{name}")
-            for name, df in tables.items())
-    # The list comes last: a snapshot without it is not finished and cannot be restored.
-    names = spark.createDataFrame([(name,) for name in sorted(tables)], "name string")
-    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/{NAMES}")
+    """Write every table of the database below `path` as a new version; return their names.
+
+    Earlier versions stay as they are, and a version counts only once its list of tables, written last, is there. So a
+    snapshot that is cut off changes nothing.
+    """
+    tables, version = read_tables(spark, database), uuid.uuid4().hex
+    at_once(lambda name=name, df=df: df.write.parquet(f"{path}/{version}/{name}") for name, df in tables.items())
+    rows = []
+    for name in sorted(tables):
+        count, columns = _buckets(spark, f"`{database}`.`{name}`") or (None, None)
+        rows.append((version, name, count, columns))
+    listed = spark.createDataFrame(rows, "version string, name string, buckets int, columns array<string>")
+    listed.withColumn("written", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/{VERSIONS}")
     return sorted(tables)
 
 
 def restore(spark: SparkSession, path: str, database: str, location: str | None = None) -> list[str]:
-    """Drop the database, create it anew and load the snapshot into it; return the table names."""
-    names = sorted(row.name for row in spark.read.parquet(f"{path}/{NAMES}").collect())
-    spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+    """Bring the database to the state of the last finished snapshot; return the table names.
+
+    All tables are loaded beside the present ones first, buckets included. Only then each takes the place of its
+    predecessor, and tables that the snapshot does not have are dropped.
+    """
+    versions = spark.read.parquet(f"{path}/{VERSIONS}")
+    last = versions.orderBy(F.desc("written"), "version").first().version
+    rows = versions.filter(F.col("version") == last).orderBy("name").collect()
     create_database(spark, database, location)
-    save_tables({name: spark.read.parquet(f"{path}/{name}") for name in names}, database)
-    return names
+    new = f"_restored_{uuid.uuid4().hex}"
+    save_tables({f"{r.name}{new}": spark.read.parquet(f"{path}/{last}/{r.name}") for r in rows}, database,
+                {f"{r.name}{new}": (r.buckets, r["columns"]) for r in rows if r.buckets})
+    for name in read_tables(spark, database):
+        if not name.endswith(new):
+            spark.sql(f"DROP TABLE `{database}`.`{name}`")
+    for r in rows:
+        spark.sql(f"ALTER TABLE `{database}`.`{r.name}{new}` RENAME TO `{database}`.`{r.name}`")
+    return [r.name for r in rows]
