@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import strip
-from hirelens.workspace import at_once, stage
+from hirelens.workspace import at_once, stage, unstage
 
 TABLES = ["skill_groups", "skills", "skill_details", "jobs", "job_details", "job_skills"]
 JOB_COLUMNS = [
@@ -73,8 +73,8 @@ def skill_names(postings: DataFrame) -> DataFrame:
     return postings.select(F.explode("skills").alias("name")).filter(strip(F.col("name")) != "")
 
 
-def upsert_dimension(existing: DataFrame, names: DataFrame, case_blind: bool = False) -> DataFrame:
-    """`existing` with the missing names added under new ids; ids in use stay as they are."""
+def missing_names(existing: DataFrame, names: DataFrame, case_blind: bool = False) -> DataFrame:
+    """(id, name) for the names that `existing` does not have, numbered from its last id on."""
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumn("_key", name_key(F.col("name"), case_blind))
 
@@ -83,7 +83,12 @@ def upsert_dimension(existing: DataFrame, names: DataFrame, case_blind: bool = F
         .join(keyed(existing).select("_key"), "_key", "left_anti")
     )
     last = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
-    return existing.select("id", "name").unionByName(dense_ids(missing.select("name"), after=last))
+    return dense_ids(missing.select("name"), after=last)
+
+
+def upsert_dimension(existing: DataFrame, names: DataFrame, case_blind: bool = False) -> DataFrame:
+    """`existing` with the missing names added under new ids; ids in use stay as they are."""
+    return existing.select("id", "name").unionByName(missing_names(existing, names, case_blind))
 
 
 def with_job_ids(postings: DataFrame) -> DataFrame:
@@ -94,7 +99,7 @@ def with_job_ids(postings: DataFrame) -> DataFrame:
     if "job_id" in postings.columns:
         return postings
     row = F.to_json(F.struct(*sorted(postings.columns)), {"ignoreNullFields": "false"})
-    return postings.withColumn("job_id", F.md5(row)).distinct()
+    return postings.withColumn("job_id", F.md5(row)).dropDuplicates(["job_id"])
 
 
 def _lookup(dim: DataFrame, id_name: str, case_blind: bool) -> DataFrame:
@@ -172,24 +177,60 @@ def rejoin(tables: Mapping[str, DataFrame]) -> DataFrame:
     return whole.withColumn("skills", F.coalesce("skills", F.array().cast("array<string>")))
 
 
-def save_star(tables: Mapping[str, DataFrame], path: str) -> str:
-    """Write all tables as one new version and make it current only when all are written."""
+def save_star(tables: Mapping[str, DataFrame], path: str, before: Sequence[str] = ()) -> str:
+    """Write all tables into a new folder and make it current, after the folders in `before`, only when all are written."""
     spark = tables["jobs"].sparkSession
     version = uuid.uuid4().hex
     at_once(lambda name=name: tables[name].write.parquet(f"{path}/{version}/{name}") for name in TABLES)
-    entry = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"))
+    entry = spark.createDataFrame([([*before, version],)], "parts array<string>").withColumn("committed_at", F.current_timestamp())
     entry.write.mode("append").parquet(f"{path}/_versions")
     return version
 
 
+def current_parts(spark: SparkSession, path: str) -> list[str]:
+    """The folders that make up the version committed last; half-written ones are never among them."""
+    log = spark.read.schema("parts array<string>, committed_at timestamp").parquet(f"{path}/_versions")
+    return list(log.orderBy(F.desc("committed_at")).first()["parts"])
+
+
 def read_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of the version committed last; half-written versions are never seen."""
-    log = spark.read.schema("version string, committed_at timestamp").parquet(f"{path}/_versions")
-    version = log.orderBy(F.desc("committed_at")).first()["version"]
-    return {name: spark.read.parquet(f"{path}/{version}/{name}") for name in TABLES}
+    """The tables of the version committed last."""
+    parts = current_parts(spark, path)
+    return {name: spark.read.parquet(*[f"{path}/{part}/{name}" for part in parts]) for name in TABLES}
 
 
 def load_star(postings: DataFrame, path: str, case_blind: bool = False) -> dict[str, DataFrame]:
     """Write the postings out once, build the six tables from that copy, save and return them."""
-    save_star(build_star(stage(with_job_ids(postings), "postings"), case_blind), path)
+    staged = stage(with_job_ids(postings), "postings")
+    save_star(build_star(staged, case_blind), path)
+    unstage(staged)
     return read_star(postings.sparkSession, path)
+
+
+def extend_star(postings: DataFrame, path: str, case_blind: bool = False) -> dict[str, DataFrame]:
+    """Add postings to a saved model and return it.
+
+    Names and jobs that the model has keep their ids; only missing names, pairs and jobs are written, into a folder of
+    their own, and become visible together. Loading the same postings again adds nothing.
+    """
+    spark = postings.sparkSession
+    parts, old = current_parts(spark, path), read_star(spark, path)
+    staged = stage(with_job_ids(postings).join(old["jobs"].select(F.col("id").alias("job_id")), "job_id", "left_anti"), "postings")
+    new_groups, new_skills = (stage(df, "names") for df in at_once([
+        lambda: missing_names(old["skill_groups"], group_names(staged), case_blind),
+        lambda: missing_names(old["skills"], skill_names(staged), case_blind),
+    ]))
+    groups = old["skill_groups"].select("id", "name").unionByName(new_groups)
+    skills = old["skills"].select("id", "name").unionByName(new_skills)
+    pairs = skill_details(staged, groups, skills, case_blind).join(old["skill_details"], ["skill_id", "group_id"], "left_anti")
+    save_star({
+        "skill_groups": new_groups,
+        "skills": new_skills,
+        "skill_details": pairs,
+        "jobs": jobs(staged, groups, case_blind),
+        "job_details": job_details(staged),
+        "job_skills": job_skills(staged, skills, case_blind),
+    }, path, before=parts)
+    for df in (staged, new_groups, new_skills):
+        unstage(df)
+    return read_star(spark, path)

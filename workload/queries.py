@@ -382,6 +382,31 @@ def star_rejoin(spark, d):
     return _with_text_dates(whole).withColumn("skills", F.array_join("skills", "|"))
 
 
+def _rejoined(tables: dict[str, DataFrame]) -> DataFrame:
+    return _with_text_dates(star.rejoin(tables)).withColumn("skills", F.array_join("skills", "|"))
+
+
+@query
+def load_star_again(spark, d):
+    path, postings = new_dir(spark, "star"), cleaned_postings(spark, d)
+    star.load_star(postings.filter(F.col("job_id") % 2 == 0), path)
+    return _rejoined(star.extend_star(postings, path))
+
+
+@query
+def star_ids_stay(spark, d):
+    path, postings = new_dir(spark, "star"), cleaned_postings(spark, d)
+    first = star.load_star(postings.filter(F.col("job_id") % 3 == 0), path)
+    again = star.extend_star(postings, path)
+    kinds = []
+    for kind in ("skill_groups", "skills"):
+        now = again[kind].groupBy("name").agg(F.min("id").alias("id"), F.count("*").alias("n"))
+        then = first[kind].select("name", F.col("id").alias("old"))
+        kinds.append(now.join(then, "name", "left").select(
+            F.lit(kind).alias("kind"), "name", ((F.col("n") == 1) & F.coalesce(F.col("id") == F.col("old"), F.lit(True))).alias("stays")))
+    return kinds[0].unionByName(kinds[1])
+
+
 # ---- constraints
 
 
@@ -551,11 +576,7 @@ def partitioned_roundtrip(spark, d):
     blocks.append_blocks(crawled, path)
     blocks.append_blocks(crawled, path)
     blocks.replace_days(crawled.filter(F.col("source") == "board_a"), path)
-    return (
-        blocks.flatten(blocks.read_layout(spark, path))
-        .groupBy(text_of("crawl_date").alias("crawl_date"), "source", "group")
-        .agg(F.count("*").alias("postings"))
-    )
+    return blocks.flatten(blocks.read_layout(spark, path)).withColumn("crawl_date", text_of("crawl_date"))
 
 
 def _flat_rows(spark, d) -> DataFrame:
@@ -614,7 +635,7 @@ def snapshot_restore(spark, d):
     tables.snapshot(spark, first, path)
     second = f"{first}_restored"
     tables.restore(spark, path, second, location=new_dir(spark, "restored"))
-    return _sizes(tables.read_tables(spark, second))
+    return _rejoined(tables.read_tables(spark, second))
 
 
 # ---- daily ingest
