@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.schemas import FOREIGN_KEYS, MAX_LENGTHS, REQUIRED, UNIQUE_KEYS
@@ -24,14 +24,24 @@ def orphans(child: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     return child.filter(F.col(column).isNotNull()).join(ids, column, "left_anti")
 
 
+def lacks_value(columns: Sequence[str]) -> Column:
+    """True for a row without a required value."""
+    return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
+
+
+def is_too_long(limits: Mapping[str, int]) -> Column:
+    """True for a row in which some text is longer than its column takes."""
+    return reduce(lambda a, b: a | b, (F.coalesce(F.char_length(c) > n, F.lit(False)) for c, n in limits.items()))
+
+
 def missing_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows that lack a required value."""
-    return df.filter(reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns)))
+    return df.filter(lacks_value(columns))
 
 
 def too_long(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     """Rows in which some text is longer than its column takes."""
-    return df.filter(reduce(lambda a, b: a | b, (F.char_length(c) > n for c, n in limits.items())))
+    return df.filter(is_too_long(limits))
 
 
 def violations(tables: Tables) -> DataFrame:
@@ -48,9 +58,14 @@ def violations(tables: Tables) -> DataFrame:
     for child, column, parent, _ in FOREIGN_KEYS:
         add("foreign key", f"{child}.{column}", orphans(tables[child], column, tables[parent]))
     for table, columns in REQUIRED.items():
-        add("required", table, missing_values(tables[table], columns))
-    for table, limits in MAX_LENGTHS.items():
-        add("length", table, too_long(tables[table], limits))
+        # All rules on single rows of a table in one pass.
+        rules = {"required": lacks_value(columns)}
+        if table in MAX_LENGTHS:
+            rules["length"] = is_too_long(MAX_LENGTHS[table])
+        counted = tables[table].agg(F.array(*[
+            F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("subject"), F.count_if(bad).alias("offending_rows"))
+            for rule, bad in rules.items()]).alias("counts"))
+        parts.append(counted.select(F.inline("counts")))
     return reduce(DataFrame.unionByName, parts)
 
 

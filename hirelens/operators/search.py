@@ -111,9 +111,9 @@ def search(
     if keyword:
         found = search_keyword(found, keyword, ignore_accents)
 
-    if any(c is not None for c in (group, skill, location, experience, salary)):
+    if keyword or any(c is not None for c in (group, skill, location, experience, salary)):
         # Only the skills of jobs that can still be in the result are worth grouping.
-        wanted = jobs.select(F.col("id").alias("job_id"))
+        wanted = (found if keyword else jobs).select(F.col("id").alias("job_id"))
         tables = {**tables, "job_skills": tables["job_skills"].join(wanted, "job_id", "left_semi")}
     lists = job_skill_lists(tables).withColumnRenamed("job_id", "id")
     return (

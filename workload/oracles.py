@@ -256,12 +256,13 @@ def tagged(select: str, *more: str) -> str:
                      + CTES["text_tags"] + ")")
 
 
-def ingested() -> str:
-    """All columns of the copy that the first day brought: by source, place in the block, then the fields."""
+def ingested(turn: str = "crawl_year", where: str = "true") -> str:
+    """All columns of the copy that the day ingested first brought: by source, place in the block, then the fields."""
     fields = ", ".join(f"{'location' if f == 'work_location_detail' else f} NULLS FIRST" for f in JOB_FIELDS)
     return tagged(f"""SELECT w.crawl_date, w.source, x.* EXCLUDE (job_id) FROM ({CLEAN}) x JOIN (
         SELECT job_id, crawl_year AS crawl_date, source FROM block_years
-        QUALIFY row_number() OVER (PARTITION BY grp, link ORDER BY crawl_year, source, pos, {fields}) = 1) w USING (job_id)""", "block_years")
+        QUALIFY row_number() OVER (PARTITION BY grp, link ORDER BY {turn}, source, pos, {fields}) = 1) w USING (job_id)
+        WHERE {where}""", "block_years")
 
 
 def found_jobs(where: str) -> str:
@@ -492,9 +493,9 @@ ORACLES: dict[str, str] = {
         WHEN salary_normalized < 20000000 THEN '10 - 20 triệu' WHEN salary_normalized < 50000000 THEN '20 - 50 triệu'
         ELSE 'Trên 50 triệu' END AS band, count(*) AS postings FROM flat WHERE salary_normalized IS NOT NULL GROUP BY 1""",
         "postings", "flat"),
-    "search_keyword": sql("SELECT job_id, title FROM postings WHERE requirements ILIKE '%thành thạo%'", "postings"),
+    "search_keyword": sql("SELECT job_id, title FROM postings WHERE title ILIKE '%1-urgent%' OR description ILIKE '%1-urgent%'", "postings"),
     "search_keyword_pattern": sql(
-        "SELECT job_id, title FROM postings WHERE title ILIKE '%job _7%remote%' OR requirements ILIKE '%job _7%remote%'", "postings"),
+        "SELECT job_id, title FROM postings WHERE title ILIKE '%_rder o%high%' OR description ILIKE '%_rder o%high%'", "postings"),
     "search_keyword_accents": sql(
         "SELECT job_id, title FROM postings WHERE contains(strip_accents(lower(requirements)), 'thanh thao')", "postings"),
     "job_skill_lists": star("SELECT job_id, string_agg(name, '|' ORDER BY name) AS skills FROM skill_rows GROUP BY job_id"),
@@ -509,6 +510,7 @@ ORACLES: dict[str, str] = {
         AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Git')"""),
     # sources and sinks
     "flatten_blocks": sql(BLOCK_ROWS, "postings", "block_years"),
+    "read_blocks": sql(BLOCK_ROWS, "postings", "block_years"),
     "merge_sources": sql(
         """SELECT strftime(crawl_date, '%Y-%m-%d') AS crawl_date, count(*) FILTER (source = 'board_a') AS blocks_board_a,
         count(*) FILTER (source = 'board_b') AS blocks_board_b, count(*) AS total_blocks, CAST(sum(n) AS BIGINT) AS total_jobs
@@ -532,4 +534,8 @@ ORACLES: dict[str, str] = {
     # daily ingest
     "daily_ingest": ingested(),
     "stream_ingest": ingested(),
+    "daily_backfill": ingested(
+        "CASE WHEN crawl_year = (SELECT min(crawl_year) FROM block_years) THEN '9999' ELSE crawl_year END",
+        """w.crawl_date <> (SELECT min(crawl_year) FROM block_years WHERE crawl_year > (SELECT min(crawl_year) FROM block_years))
+        OR x."group" = 'BUILDING'"""),
 }
