@@ -77,6 +77,9 @@ def test_relative_deadline(evaluate):
     check(evaluate, on("2025-10-07"), {
         "Hết hạn trong 3 ngày": "Hạn nộp hồ sơ: 10/10/2025",
         "HẾT HẠN TRONG 2 tuần": "Hạn nộp hồ sơ: 21/10/2025",
+        "Hết hạn trong 100000 ngày": "Hạn nộp hồ sơ: 23/07/2299",
+        "Hết hạn trong 000003 ngày": "Hạn nộp hồ sơ: 10/10/2025",
+        "Hết hạn trong 99999999999999999999 ngày": "Hết hạn trong 99999999999999999999 ngày",
         "Hết hạn trong 5 giờ": "Hết hạn trong 5 giờ",
         "Hết hạn trong vài ngày": "Hết hạn trong vài ngày",
         "Hết hạn trong": "Hết hạn trong",
@@ -168,13 +171,13 @@ def test_pages(evaluate):
     from hirelens.fixed_values import DESCRIPTION_LABELS
 
     def field(name):
-        return lambda c: pages.pick_field(pages.labelled_pairs(c, pages.HEADED_BLOCK), name, DESCRIPTION_LABELS)
+        return lambda c: pages.pick_field(pages.headed_pairs(c, pages.opening("h[23]"), pages.opening("div")), name, DESCRIPTION_LABELS)
 
-    assert evaluate(field("description"), [PAGE]) == ["Build & run pipelines"]
+    assert evaluate(field("description"), [PAGE]) == ["Build & run\npipelines"]
     assert evaluate(field("requirements"), [PAGE]) == ["Spark"]
     assert evaluate(field("benefits"), [PAGE]) == [""]
     days = lambda c: pages.pick_field(
-        pages.labelled_pairs(c, pages.LABELLED_PARAGRAPH), "days", {"days": "ngày làm việc"})
+        pages.headed_pairs(c, pages.opening("label"), pages.opening("p")), "days", {"days": "ngày làm việc"})
     assert evaluate(days, [PAGE, "<p>x</p>"]) == ["Thứ 2", ""]
     assert evaluate(pages.bullet_text, [PAGE, ""]) == ["- Laptop\n- Lunch\n", ""]
     assert evaluate(pages.page_links, [PAGE]) == [["/brand/x", "https://jobs.example.com/1"]]

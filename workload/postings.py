@@ -50,8 +50,10 @@ SELECT o.o_orderkey AS job_id,
   CASE WHEN o.o_orderkey % 4 = 0 THEN ' ' ELSE 'Thứ 2 - Thứ 6' END AS working_time,
   CASE o.o_orderkey % 4
     WHEN 0 THEN concat('Hạn nộp hồ sơ: ', @DATE@)
-    WHEN 1 THEN concat('Hết hạn trong ', CAST(1 + o.o_custkey % 9 AS STRING),
-                       CASE o.o_custkey % 3 WHEN 0 THEN ' ngày' WHEN 1 THEN ' tuần' ELSE ' tháng' END)
+    WHEN 1 THEN CASE o.o_orderkey % 40
+      WHEN 1 THEN 'Hết hạn trong 000003 ngày' WHEN 9 THEN 'Hết hạn trong 100000 ngày'
+      ELSE concat('Hết hạn trong ', CAST(1 + o.o_custkey % 9 AS STRING),
+                  CASE o.o_custkey % 3 WHEN 0 THEN ' ngày' WHEN 1 THEN ' tuần' ELSE ' tháng' END) END
     WHEN 2 THEN '31/02/2025' ELSE '' END AS deadline,
   CASE o.o_orderkey % 6
     WHEN 0 THEN 'Python, Django' WHEN 1 THEN 'java ,  SQL' WHEN 2 THEN ''
