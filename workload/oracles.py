@@ -483,6 +483,8 @@ ORACLES: dict[str, str] = {
           WHERE job_id IN (SELECT job_id FROM kept) AND name IN (SELECT name FROM kept_skills)
         UNION ALL SELECT 'skill_details', count(*) FROM (SELECT DISTINCT name, grp FROM skill_rows
           WHERE name IN (SELECT name FROM kept_skills) AND grp IN (SELECT name FROM kept_groups))"""),
+    "cascade_delete_rows": star("""SELECT * EXCLUDE (grp, skills), grp AS "group", array_to_string(list_sort(list_distinct(
+        [s FOR s IN skills IF NOT contains(lower(s), 'python')])), '|') AS skills FROM cleaned WHERE salary_normalized IS NOT NULL"""),
     # search
     "facet_groups": star("SELECT name FROM groups"),
     "facet_skills": star("SELECT name FROM skill_dim WHERE regexp_matches(name, '^[A-Za-zÀ-ỹ0-9 ]+$')"),
@@ -504,6 +506,8 @@ ORACLES: dict[str, str] = {
     "search_jobs": found_jobs("""c.grp = 'BUILDING' AND location = 'Hà Nội' AND salary_normalized >= 10000000 AND salary_normalized < 20000000
         AND (title ILIKE '%job%' OR description ILIKE '%job%')
         AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Git')"""),
+    "search_order": star("""SELECT job_id AS id, CAST(row_number() OVER (ORDER BY deadline NULLS FIRST, job_id) AS INTEGER) AS position
+        FROM cleaned WHERE grp = 'MACHINERY'"""),
     "search_facets": found_jobs("c.grp = 'MACHINERY' AND location = 'Hồ Chí Minh'"),
     "search_band": found_jobs("salary_normalized >= 10000000 AND salary_normalized < 20000000"),
     "search_skill": found_jobs("""(title ILIKE '%1-urgent%' OR description ILIKE '%1-urgent%')

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -447,15 +447,23 @@ def _sizes(found: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-@query
-def cascade_delete(spark, d):
+def _cut_down(spark, d) -> dict[str, DataFrame]:
     model = model_tables(spark, d)
     gone = model["jobs"].filter(F.col("salary_normalized").isNull()).select("id")
     model = quality.delete_rows(model, "jobs", gone)
     named = model["skills"].filter(F.lower("name").contains("python")).select("id")
     model = quality.delete_rows(model, "skills", named)
-    model = quality.delete_rows(model, "skill_groups", model["skill_groups"].select("id"))
-    return _sizes(model)
+    return quality.delete_rows(model, "skill_groups", model["skill_groups"].select("id"))
+
+
+@query
+def cascade_delete(spark, d):
+    return _sizes(_cut_down(spark, d))
+
+
+@query
+def cascade_delete_rows(spark, d):
+    return _rejoined(_cut_down(spark, d))
 
 
 # ---- search
@@ -532,6 +540,13 @@ def search_jobs(spark, d):
         model_tables(spark, d), group="BUILDING", skill="Git", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
 
 
+@query
+def search_order(spark, d):
+    """The place of every job in the result, as it comes."""
+    found = search.search(model_tables(spark, d), group="MACHINERY").select("id", F.monotonically_increasing_id().alias("_at"))
+    return found.select("id", F.row_number().over(Window.orderBy("_at")).alias("position"))
+
+
 @query
 def search_facets(spark, d):
     return _result(search.search(model_tables(spark, d), group="MACHINERY", location="Hồ Chí Minh"))
