@@ -43,11 +43,16 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return condition
 
 
+#: Spark then deletes the shuffle files of a query at its end, and not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Intermediate tables of one run, in a folder under `spark.checkpoint.dir`.
 
     `keep` writes a frame and reads it back: this cuts the lineage, and the table outlives any
-    executor. `drop` removes single tables as soon as nothing needs them, `close` all but the named.
+    executor. `drop` removes single tables as soon as nothing needs them, `close` all but the named. What a returned
+    frame still reads stays, since only its user knows when it is done.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
@@ -55,10 +60,20 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.names.add(name)
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
-        self.spark._jvm.System.gc()  # Spark deletes the shuffle files of plans that are garbage
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Keep the result and remove everything else."""
+        result = self.keep(df, "result")
+        self.close("result")
+        return result
+
     def drop(self, *names: str) -> None:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")

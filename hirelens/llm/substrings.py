@@ -6,16 +6,17 @@ as far as such strings reach, in these steps:
 1. Sampling. Every string of `size` bytes has a least k-mer (by hash, leftmost of equal ones), which depends on the string alone. The suffixes
    at these places are the sample; strings next to each other mostly share one, so a run of strings is one tuple: the k-mer, the hash of
    all bytes of the run, document and place. A task keeps the tuple of the smallest document only, and settles those of later documents itself.
-2. External sorting. Spark sorts the tuples across the cluster, spilling to disk; a pass over the sorted stream, holding one
-   tuple at a time, removes each run that a smaller document has whole. Only k-mers with different
-   runs go on; their bytes are fetched.
+2. External sorting. Spark sorts the tuples across the cluster, spilling to disk; a pass over the sorted stream removes each run
+   that a smaller document has whole. Two different runs of a k-mer can share a string only if they agree on half of the
+   other bytes to the right, or to the left; short hashes of both are part of the tuple. Runs that have such a partner
+   go on; their bytes are fetched.
 3. Induction. The sampled suffixes of a k-mer are sorted, with their common-prefix lengths. The order of the suffixes one byte further
    left follows by a stable sort on that byte alone, and their common prefixes from range minima over the previous ones, plus one. So
    byte by byte, for all k-mers of a block at once, equal strings come to stand together, whatever their offset from the sample. A prefix
    never counts beyond `size` bytes, so the sampled suffixes need no recursion of their own: their heads are sorted.
 
-A k-mer with more than `most` different runs is not held in memory: each of its strings becomes a tuple of its own, and step
-2 settles these.
+A k-mer with more than `most` tuples is not held in memory: all its different runs go on, and if these are more than `most`,
+too, each of their strings becomes a tuple of its own, which step 2 settles.
 
 Nulls and empty texts have no bytes; a text shorter than `size` loses none. A null id is larger than all others. Rows with equal id are no
 earlier documents of each other; rows with equal id and text share one result. An empty table gives an empty result.
@@ -38,9 +39,12 @@ KMER = 16
 LAST = (1 << 63) - 1
 #: Bytes handled at once; a place within them must fit in PLACE bits.
 PART, PLACE = 1_500_000, 24
-RUNS = "k long, c long, id long, packed long, spans array<long>"
-#: packed: hash of the text (20 bits), place of the k-mer in its first string (6), strings less one (6), first byte (31).
-SPAN = "kind int, k long, id long, packed long, spans array<long>"
+RUNS = "k long, c long, id long, packed long, spans binary"
+#: k: the k-mer's hash (39 bits), that of the bytes right of it (12), that of the bytes left of it (12), 0 where a run has no
+#: string with as many. packed: hash of the text (20 bits), place of the k-mer in its first string (6), strings less one (6),
+#: first byte (31).
+SPAN = "kind int, k long, id long, packed long, end long"
+SIDE = 12
 
 
 @dataclass(frozen=True)
@@ -98,7 +102,7 @@ def minima(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int, constants: tuple) -> tuple[np.ndarray, ...]:
-    """Runs of strings with the same least k-mer: k-mer, hash of the run, first string, number of strings less one, place of the k-mer.
+    """Runs of strings with the same least k-mer: k (see SPAN), hash of the run, first string, number of strings less one, place of the k-mer.
 
     The buffer holds texts from `starts` to `ends`; no string crosses them.
     """
@@ -120,7 +124,18 @@ def runs_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int, c
     last = np.r_[first[1:], len(place)] - 1
     first, last = first[inside[first]], last[inside[first]]
     at = place[first]
-    return kmers[at] >> np.uint64(PLACE), hashes.between(first, last + size), first, last - first, at - first
+    right = (size - KMER) // 2
+    left = size - KMER - right + 1
+
+    def side(has: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), np.uint64)
+        out[has] = hashes.between(begin[has], end[has]) % np.uint64((1 << SIDE) - 1) + np.uint64(1)
+        return out
+
+    k = kmers[at] >> np.uint64(25)
+    k = k << np.uint64(SIDE) | side(at - last < left, at + KMER, at + KMER + right)
+    k = k << np.uint64(SIDE) | side(at - first >= left, at - left, at)
+    return k, hashes.between(first, last + size), first, last - first, at - first
 
 
 def pack(digest: np.ndarray, at: np.ndarray, more: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -183,16 +198,16 @@ def sample(docs: DataFrame, size: int) -> DataFrame:
         for i in range(0, len(keep), 100_000):
             own = keep[i:i + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[own]) for x in (k, c, id_, packed)] + [pa.nulls(len(own), pa.list_(pa.int64()))], names=names)
+                [pa.array(x[own]) for x in (k, c, id_, packed)] + [pa.nulls(len(own), pa.binary())], names=names)
         if not len(gone):
             return
         rows = []
         for own in np.split(gone, np.flatnonzero(text[gone][1:] != text[gone][:-1]) + 1):
             b, e = union(begin[own], begin[own] + more[own] + size)
-            rows.append((int(k[own[0]]), int(id_[own[0]]), int(digests[text[own[0]]]) << 43, np.stack([b, e], axis=1).ravel()))
+            rows.append((int(k[own[0]]), int(id_[own[0]]), int(digests[text[own[0]]]) << 43, np.stack([b, e], axis=1).tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))], names=names)
+             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -218,57 +233,83 @@ def sample(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, RUNS)
 
 
-def settled(tuples: DataFrame) -> DataFrame:
-    """Sort tuples and settle runs: rows of kind 0 are removed whole, of kind 1 (the smallest document of each of several
-    runs of a k-mer) need a closer look, of kind 2 are `spans` handed through."""
+def spans(kind: int, k: np.ndarray, id_: np.ndarray, packed: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(k), kind, np.int32)), *[pa.array(x, pa.int64()) for x in (k, id_, packed, end)]], names=["kind", "k", "id", "packed", "end"])
+
+
+def settled(tuples: DataFrame, cut: Cut) -> DataFrame:
+    """Sort tuples and settle runs: rows of kind 0 are to be removed up to `end`, of kind 1 (the smallest document of a run with a
+    partner) need a closer look."""
+    size, bits = cut.size, 2 * SIDE
 
-    def rows(kind: int, k: np.ndarray, id_: np.ndarray, packed: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(id_), pa.array(packed), pa.nulls(len(k), pa.list_(pa.int64()))],
-            names=["kind", "k", "id", "packed", "spans"])
+    def ends(packed: np.ndarray) -> np.ndarray:
+        _, _, more, begin = unpack(packed)
+        return begin + more + size
+
+    def whole(k: np.ndarray, c: np.ndarray, id_: np.ndarray, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All tuples of some k-mers."""
+        if not len(k):
+            return
+        new = np.r_[True, (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
+        run = np.cumsum(new) - 1
+        removed = id_ > id_[new][run]
+        if removed.any():
+            yield spans(0, k[removed], id_[removed], packed[removed], ends(packed[removed]))
+        shared = np.zeros(int(run[-1]) + 1, bool)
+        side = (1 << SIDE) - 1
+        for own, key in (((k[new] >> SIDE) & side, k[new] >> SIDE), (k[new] & side, k[new] >> bits << SIDE | k[new] & side)):
+            _, which, n = np.unique(key, return_inverse=True, return_counts=True)
+            shared |= (n[which] > 1) & (own > 0)
+        asked = ~removed & shared[run]
+        if asked.any():
+            yield spans(1, k[asked], id_[asked], packed[asked], np.zeros(int(asked.sum()), np.int64))
+
+    def part(rows: list[np.ndarray], last: tuple[int, int, int] | None) -> tuple[list[pa.RecordBatch], tuple[int, int, int]]:
+        """Some tuples of one k-mer; `last` has k, c and least id of the run before."""
+        k, c, id_, packed = rows
+        new = np.r_[last is None or (k[0], c[0]) != last[:2], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
+        least = np.r_[last[2] if last else 0, id_[new]][np.cumsum(new)]
+        gone, stay = np.flatnonzero(id_ > least), np.flatnonzero(id_ <= least)
+        out = [spans(0, k[gone], id_[gone], packed[gone], ends(packed[gone])), spans(1, k[stay], id_[stay], packed[stay], np.zeros(len(stay), np.int64))]
+        return out, (int(k[-1]), int(c[-1]), int(least[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # k, c and least id of the last tuple, and whether its k-mer has had several runs
-        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # smallest documents of a k-mer with one run so far
+        held: list[np.ndarray] | None = None  # tuples of a k-mer that may go on
+        last = None  # the last run of a k-mer with too many tuples
         for batch in batches:
-            spans = batch.column(4).is_valid()
-            handed = batch.filter(spans)
-            if handed.num_rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(handed.num_rows, 2, np.int32)), handed.column(0), handed.column(2), handed.column(3), handed.column(4)],
-                    names=["kind", "k", "id", "packed", "spans"])
-            rest = batch.filter(batch.column(4).is_null())
-            if not rest.num_rows:
+            there = batch.column(4).is_valid()
+            handed = batch.filter(there)
+            for k, id_, packed, data in zip(*(handed.column(i).to_pylist() for i in (0, 2, 3, 4))):
+                begin, end = np.frombuffer(data, np.int64).reshape(-1, 2).T
+                same = np.ones(len(begin), np.int64)
+                yield spans(0, same * k, same * id_, packed + begin, end)
+            rest = batch.filter(batch.column(4).is_null()) if handed.num_rows else batch
+            rows = [rest.column(i).to_numpy() for i in range(4)]
+            if held is not None:
+                rows, held = [np.concatenate(x) for x in zip(held, rows)], None
+            if last is not None and len(rows[0]):
+                n = int((rows[0] >> bits == last[0] >> bits).sum())
+                if n:
+                    out, after = part([x[:n] for x in rows], last)
+                    yield from out
+                    rows, last = [x[n:] for x in rows], after
+                if len(rows[0]):
+                    last = None
+            if not len(rows[0]):
                 continue
-            k, c, id_, packed = (rest.column(i).to_numpy() for i in range(4))
-            n = len(k)
-            go_on = last is not None and k[0] == last[0]
-            new_k = np.r_[not go_on, k[1:] != k[:-1]]
-            new = new_k | np.r_[not go_on or c[0] != last[1], c[1:] != c[:-1]]
-            group = np.cumsum(new)  # 0: the run of the last batch
-            least = np.r_[last[2] if last else 0, id_[new]][group]
-            removed = id_ > least
-            if removed.any():
-                yield rows(0, k[removed], id_[removed], packed[removed])
-            kmer = np.cumsum(new_k)  # 0: the k-mer of the last batch
-            different = np.bincount(kmer, new, int(kmer[-1]) + 1) + np.r_[(1 + last[3]) if go_on else 0, np.zeros(int(kmer[-1]))]
-            several = different > 1
-            smallest = ~removed
-            if waiting and go_on and several[0]:
-                for w in waiting:
-                    yield rows(1, *w)
-                waiting = []
-            elif waiting and not (go_on and kmer[-1] == 0):
-                waiting = []  # one run only: nothing to do
-            closer = smallest & several[kmer]
-            if closer.any():
-                yield rows(1, k[closer], id_[closer], packed[closer])
-            if not several[kmer[-1]]:
-                open_ = smallest & (kmer == kmer[-1])
-                waiting.append((k[open_], id_[open_], packed[open_]))
-            last = int(k[-1]), int(c[-1]), int(least[-1]), bool(several[kmer[-1]])
-
-    sorted_ = tuples.repartition("k").sortWithinPartitions("k", "c", "id")
+            kmer = rows[0] >> bits
+            first = int(np.searchsorted(kmer, kmer[-1]))
+            yield from whole(*[x[:first] for x in rows])
+            held = [x[first:] for x in rows]
+            if len(held[0]) > cut.most:
+                out, last = part(held, None)
+                yield from out
+                held = None
+        if held is not None:
+            yield from whole(*held)
+
+    sorted_ = tuples.repartition(F.shiftright("k", bits)).sortWithinPartitions("k", "c", "id")
     return sorted_.mapInArrow(run, SPAN)
 
 
@@ -348,7 +389,7 @@ CONTEXT = "k long, id long, packed long, bytes binary"
 
 def contexts(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     """The bytes of runs that need a closer look, from their documents."""
-    places = asked.select("k", "id", "packed", (F.shiftright("packed", 43)).alias("digest")).groupBy("id", "digest").agg(
+    places = asked.select(F.shiftright("k", 2 * SIDE).alias("k"), "id", "packed", (F.shiftright("packed", 43)).alias("digest")).groupBy("id", "digest").agg(
         F.collect_list(F.struct("k", "packed")).alias("runs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,15 +413,10 @@ def contexts(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
 
 
 def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
-    """Kind 0 rows for single strings that a smaller document has; kind 3 rows for k-mers with too many runs: one for each
-    string, with its hashes in `spans`."""
+    """Kind 0 rows for strings that a smaller document has; kind 3 rows for k-mers with too many runs: one for each
+    string, with its hashes in `k` and `end`."""
     size = cut.size
 
-    def rows(kind: int, k: np.ndarray, id_: np.ndarray, packed: np.ndarray, spans: list | None = None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(id_), pa.array(packed), pa.array(spans or [None] * len(k), pa.list_(pa.int64()))],
-            names=["kind", "k", "id", "packed", "spans"])
-
     def matrix(held: pa.RecordBatch) -> tuple:
         k, id_, packed = (held.column(i).to_numpy() for i in range(3))
         data = held.column(3).to_pylist()
@@ -398,7 +434,7 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
             end = np.flatnonzero(np.r_[(run[1:] != run[:-1]) | (left[1:] != left[:-1] + 1), True])
             n = np.diff(np.r_[-1, end])
             run, first = run[end], begin[run[end]] + at[run[end]] - left[end]
-            yield rows(0, k[run], id_[run], pack(digest[run], np.zeros_like(first), n - 1, first))
+            yield spans(0, k[run], id_[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), first + n - 1 + size)
 
     def strings(held: pa.RecordBatch, constants: tuple) -> Iterator[pa.RecordBatch]:
         k, id_, packed, text, _ = matrix(held)
@@ -409,8 +445,7 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
         start = run * text.shape[1] + place
         whole, part = flat.between(start, start + size), flat.between(start, start + size - 1)
         first = begin[run] + place
-        yield rows(3, k[run], id_[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first),
-                   np.stack([whole, part], axis=1).view(np.int64).tolist())
+        yield spans(3, whole.view(np.int64), id_[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), part.view(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -457,22 +492,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, scratch: Scratch, cut: Cut = Cut()) -> DataFrame:
-    """id, digest and `places` (begin and length of strings to remove) of the documents that lose bytes."""
+    """id, digest and `places` (begin, end) to remove of the documents that lose bytes."""
     texts = keyed(docs).drop("doc_id")
-    found = scratch.keep(settled(sample(texts, cut.size)), "settled")
+    found = scratch.keep(settled(sample(texts, cut.size), cut), "settled")
     runs = scratch.keep(contexts(texts, found.filter("kind = 1"), cut.size), "contexts")
     closer = scratch.keep(look_closer(runs, cut), "closer")
     scratch.drop("contexts")
-    single = closer.filter("kind = 3").select(
-        F.get("spans", F.lit(0)).alias("k"), F.get("spans", F.lit(1)).alias("c"), "id", "packed", F.lit(None).cast("array<long>").alias("spans"))
-    rest = scratch.keep(settled(single), "single")
-    gone = found.filter("kind = 0").unionByName(closer.filter("kind = 0")).unionByName(rest.filter("kind = 0"))
-    begin, more = F.expr("packed & 2147483647"), F.expr("(shiftright(packed, 31) & 63)")
-    spans = found.filter("kind = 2").select("id", F.shiftright("packed", 43).alias("digest"), F.explode(
-        F.transform(F.sequence(F.lit(0), F.size("spans") - 2, F.lit(2)), lambda i: F.struct(
-            F.get("spans", i).alias("begin"), F.get("spans", i + 1).alias("end")))).alias("p")).select("id", "digest", "p.begin", "p.end")
-    places = gone.select("id", F.shiftright("packed", 43).alias("digest"), begin.alias("begin"), (begin + more + cut.size).alias("end")).union(spans)
-    return places.groupBy("id", "digest").agg(F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
+    single = closer.filter("kind = 3").select("k", F.col("end").alias("c"), "id", "packed", F.lit(None).cast("binary").alias("spans"))
+    rest = scratch.keep(settled(single, cut), "single")
+    gone = found.unionByName(closer).unionByName(rest).filter("kind = 0")
+    places = gone.select("id", F.shiftright("packed", 43).alias("digest"), F.expr("packed & 2147483647").alias("begin"), "end")
+    return places.groupBy("id", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("places"))
 
 
 def remove_repeats(docs: DataFrame, cut: Cut = Cut(), texts: bool = True) -> DataFrame:
@@ -486,10 +516,10 @@ def remove_repeats(docs: DataFrame, cut: Cut = Cut(), texts: bool = True) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, begins, ends in zip(batch.column(1), batch.column(2), batch.column(3)):
+            for text, places in zip(batch.column(1), batch.column(2)):
                 text, kept, b = text.as_py(), b"", []
-                if begins.is_valid:
-                    b, e = union(begins.values.to_numpy().astype(np.int64), ends.values.to_numpy().astype(np.int64))
+                if places.is_valid:
+                    b, e = union(*(places.values.field(i).to_numpy().astype(np.int64) for i in range(2)))
                     stays = zip([0, *e.tolist()], [*b.tolist(), len(text)])
                     kept = b"".join(text[i:j] for i, j in stays)
                 else:
@@ -498,6 +528,6 @@ def remove_repeats(docs: DataFrame, cut: Cut = Cut(), texts: bool = True) -> Dat
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]], names)
 
-    joined = keyed(docs).join(places, ["id", "digest"], "left").select("doc_id", "text", "begins", "ends")
+    joined = keyed(docs).join(places, ["id", "digest"], "left").select("doc_id", "text", "places")
     return joined.mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
