@@ -32,6 +32,7 @@ BRAND_LINK = "/brand/"
 
 # Deadline wording.
 EXPIRES_IN = "hết hạn trong"
+DAY, WEEK, MONTH = "ngày", "tuần", "tháng"
 DEADLINE_PREFIX = "Hạn nộp hồ sơ: "
 
 # Most postings taken per group in one crawl.

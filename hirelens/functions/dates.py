@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelens.fixed_values import DEADLINE_PREFIX, EXPIRES_IN
+from hirelens.fixed_values import DAY, DEADLINE_PREFIX, EXPIRES_IN, MONTH, WEEK
 from hirelens.functions.text import strip
 
 
@@ -32,9 +32,9 @@ def resolve_relative_deadline(c: Column, crawl_date: Column) -> Column:
     count = F.when(F.abs(number) <= 4_000_000, number).cast("int")
     unit = F.regexp_extract(rest, pattern, 2)
     day = (
-        F.when(unit.contains("ngày"), F.date_add(crawl_date, count))
-        .when(unit.contains("tuần"), F.date_add(crawl_date, count * 7))
-        .when(unit.contains("tháng"), F.add_months(crawl_date, count))
+        F.when(unit.contains(DAY), F.date_add(crawl_date, count))
+        .when(unit.contains(WEEK), F.date_add(crawl_date, count * 7))
+        .when(unit.contains(MONTH), F.add_months(crawl_date, count))
     )
     written = F.when(F.year(day).between(1, 9999), F.date_format(day, "dd/MM/yyyy"))
     resolved = F.concat(F.lit(DEADLINE_PREFIX), written)

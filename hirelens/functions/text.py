@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hirelens.fixed_values import ELSEWHERE, OTHER
+
 # White space as Unicode text handling understands it, with the four ASCII separators that
 # Java's \s leaves out even in Unicode mode. Use SPACE together with the flag (?U).
 SPACE = r"[\s\x1c-\x1f]"
@@ -80,12 +82,12 @@ def split_sentences(c: Column) -> Column:
 def split_cities(c: Column) -> Column:
     """Array of the places a location names; parts that say "elsewhere" are left out."""
     parts = F.transform(F.split(F.coalesce(c, F.lit("")), "[,&]| và "), strip)
-    return F.filter(parts, lambda p: (p != "") & ~F.lower(p).contains("khác"))
+    return F.filter(parts, lambda p: (p != "") & ~F.lower(p).contains(OTHER))
 
 
 def is_single_city(c: Column) -> Column:
     """True where the location names one place only. Null stays null."""
-    return ~c.rlike("[&,]") & ~F.lower(c).contains("nơi khác")
+    return ~c.rlike("[&,]") & ~F.lower(c).contains(ELSEWHERE)
 
 
 def first_number(c: Column) -> Column:

@@ -1,4 +1,8 @@
-"""The same results in plain SQL for DuckDB, written without the library."""
+"""The same results in plain SQL for DuckDB.
+
+The logic is written without the library. The long lists that both sides must share (skill terms, bullets, white space,
+constraints of the model) are taken from it.
+"""
 
 from __future__ import annotations
 
