@@ -191,15 +191,14 @@ def fit(labelled: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, how
     Counts of words and expected counts of pieces are summed by Spark; the driver gets one number per language and piece.
     """
     known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(how.sample)) / F.col("n"))
+    prior = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
+    languages = sorted(prior)
+    # The share to draw comes as a literal map: a join on the language would send all texts to a few tasks.
+    shares = F.create_map(*[F.lit(x) for lang, n in prior.items() for x in (lang, min(1.0, how.sample / n))]) if prior else None
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.join(sizes.select(F.col("lang").alias("_lang"), share.alias("share")), F.col("lang") == F.col("_lang")).filter(
-        drawn < F.col("share")).select("lang", "text")
+    sample = known.filter(drawn < F.try_element_at(shares, F.col("lang")) if prior else F.lit(False)).select("lang", "text")
     count = scratch.keep(
         sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    languages = [r.lang for r in sizes.orderBy("lang").collect()]
-    prior = {r.lang: r.n for r in sizes.collect()}
     names = pieces_of(vocabulary, how.longest)
     pieces = Pieces.of(names, how.longest)
     p = np.full((pieces.n + 2, len(languages)), 1.0 / (pieces.n + 1))
