@@ -112,7 +112,7 @@ def occurrences(docs: DataFrame, of_items: DataFrame, scratch: Scratch, shape: S
     passed = scratch.keep(candidates(docs, tokens, widths, shape), "passed")
     rows = passed.filter("token is null").select("doc_id", "digest", "n_words")
     hits = passed.filter("token is not null")
-    counts = hits.join(tokens, ["width", "token"]).groupBy("width", "token").agg(F.count(F.lit(1)).alias("n"))
+    counts = hits.groupBy("width", "token").agg(F.count(F.lit(1)).alias("n")).join(tokens, ["width", "token"])
     prefixes = offsets.join(counts, ["width", "token"]).groupBy("window", "length").agg(
         F.min(F.struct("n", "token", "offset", "width")).alias("p")).select(
         "window", "length", "p.offset", "p.width", "p.token")
@@ -147,8 +147,9 @@ def contamination(docs: DataFrame, items: DataFrame, shape: Shape = Shape()) ->
         "doc_id", "digest").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     key = ["doc_id", "digest"]
     result = _beside(_beside(rows, hit, key), found, key)
-    return result.select("doc_id", "digest", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-                         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return scratch.finish(result.select(
+        "doc_id", "digest", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 
 def _beside(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
