@@ -197,7 +197,7 @@ def near_duplicates(docs: DataFrame, search: Search = Search()) -> DataFrame:
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(least, "root").select("fp", "root", "component_id")
-    return prints.join(classes, "fp").select("doc_id", "digest", "fp", "root", "component_id")
+    return scratch.finish(prints.join(classes, "fp").select("doc_id", "digest", "fp", "root", "component_id"))
 
 
 def representatives(docs: DataFrame, search: Search = Search()) -> DataFrame:
