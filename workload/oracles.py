@@ -492,6 +492,9 @@ ORACLES: dict[str, str] = {
     # search
     "facet_groups": star("SELECT name FROM groups"),
     "facet_skills": star("SELECT name FROM skill_dim WHERE regexp_matches(name, '^[A-Za-zÀ-ỹ0-9 ]+$')"),
+    "facet_order": star("""SELECT 'group' AS facet, name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS position FROM groups
+        UNION ALL SELECT 'skill', name, CAST(row_number() OVER (ORDER BY name) AS INTEGER) FROM skill_dim
+        WHERE regexp_matches(name, '^[A-Za-zÀ-ỹ0-9 ]+$')"""),
     "facet_locations": sql(f"SELECT DISTINCT location FROM postings WHERE {one_city('location')}", "postings"),
     "facet_experience": sql("SELECT DISTINCT experience FROM postings", "postings"),
     "salary_buckets": sql(

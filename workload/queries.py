@@ -540,11 +540,22 @@ def search_jobs(spark, d):
         model_tables(spark, d), group="BUILDING", skill="Git", location="Hà Nội", salary="10 - 20 triệu", keyword="job"))
 
 
+def _positions(found: DataFrame, column: str) -> DataFrame:
+    """The place of every row in a result, as it comes."""
+    placed = found.select(column, F.monotonically_increasing_id().alias("_at"))
+    return placed.select(column, F.row_number().over(Window.orderBy("_at")).alias("position"))
+
+
 @query
 def search_order(spark, d):
-    """The place of every job in the result, as it comes."""
-    found = search.search(model_tables(spark, d), group="MACHINERY").select("id", F.monotonically_increasing_id().alias("_at"))
-    return found.select("id", F.row_number().over(Window.orderBy("_at")).alias("position"))
+    return _positions(search.search(model_tables(spark, d), group="MACHINERY"), "id")
+
+
+@query
+def facet_order(spark, d):
+    tables = model_tables(spark, d)
+    groups = _positions(search.facet_groups(tables), "name").withColumn("facet", F.lit("group"))
+    return groups.unionByName(_positions(search.facet_skills(tables), "name").withColumn("facet", F.lit("skill")))
 
 
 @query
