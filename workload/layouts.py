@@ -41,10 +41,43 @@ SECOND_SAYS = """SELECT doc_id AS page_id, p.url AS link, concat(@1@, ' ', @2@,
   concat(@3@, chr(10), @4@) AS requirements, concat('- ', @4@, chr(10), '- ', @2@, chr(10)) AS benefits,
   @3@ AS work_location_detail, @4@ AS working_time, 'Hạn nộp hồ sơ: 21/10/2025' AS deadline"""
 
+# The same layouts around whole texts: every line an element of its own, short pieces only in titles.
+FIRST_WHOLE = """concat('<title>T | example.com</title><h1 class="b job-detail__info--title">', @1@, '</h1>',
+  '<div class="job-description__item"><h3>Mô tả công việc</h3><div class="job-description__item--content">', @PARAGRAPHS@, '<div>x<div>y</div></div>end</div></div>',
+  '<div class="job-description__item"><h3>Yêu cầu ứng viên</h3><div class="job-description__item--content">start<ul>', @ITEMS@, '</ul></div></div>',
+  '<div class="job-detail__information-detail--actions-label">Hết hạn trong ', CAST(d.doc_id % 30 AS STRING), ' ngày</div>')"""
+
+FIRST_WHOLE_SAYS = """SELECT doc_id AS page_id, p.url AS link, @1@ AS title, '' AS salary, '' AS location, '' AS experience,
+  concat(@LINES@, chr(10), 'x', chr(10), 'y', chr(10), 'end') AS description, concat('start', chr(10), @LINES@) AS requirements,
+  '' AS benefits, '' AS work_location_detail, '' AS working_time,
+  concat('Hạn nộp hồ sơ: ', strftime(DATE '2025-10-07' + CAST(d.doc_id % 30 AS INTEGER), '%d/%m/%Y')) AS deadline"""
+
+SECOND_WHOLE = """concat('<h1>Logo</h1><h1 class="sc-ab270149-0 hAejeW">', @1@, '</h1>',
+  '<span class="sc-ab270149-0 ePOHWr">Hết hạn trong 2 tuần</span><div class="sc-a137b890-1 joxJgK"><div>', @3@, '</div></div>',
+  '<h2 class="sc-1671001a-5 cjuZti">Mô tả công việc</h2><div>', @PARAGRAPHS@, '<div>end</div></div>',
+  '<h2 class="sc-1671001a-5 cjuZti">Yêu cầu công việc</h2><span>skip</span><div>start<ul>', @ITEMS@, '</ul></div>',
+  '<div class="sc-c683181c-2 fGxLZh"><div>start', @PARAGRAPHS@, '</div></div><div class="sc-c683181c-2 fGxLZh">', @2@, '</div>',
+  '<label>NGÀY LÀM VIỆC</label><p>', @4@, '</p>')"""
+
+SECOND_WHOLE_SAYS = """SELECT doc_id AS page_id, p.url AS link, @1@ AS title, 'N/A' AS salary, @3@ AS location, '' AS experience,
+  concat(@LINES@, chr(10), 'end') AS description, concat('start', chr(10), @LINES@) AS requirements,
+  concat('- start', chr(10), @LINES@, chr(10), '- ', @2@, chr(10)) AS benefits,
+  @3@ AS work_location_detail, @4@ AS working_time, 'Hạn nộp hồ sơ: 21/10/2025' AS deadline"""
+
+# A text in HTML, and its lines without the white space around their ends.
+ESCAPED = "replace(replace(replace(coalesce(d.text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+WHOLE = {
+    "@PARAGRAPHS@": f"concat('<p>', replace({ESCAPED}, chr(10), '</p><p>'), '</p>')",
+    "@ITEMS@": f"concat('<li>', replace({ESCAPED}, chr(10), '</li><li>'), '</li>')",
+    "@LINES@": r"regexp_replace(regexp_replace(coalesce(d.text, ''), '[ \t\r]*\n[ \t\r\n]*', chr(10), 'g'), '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g')",
+}
+
 
 def filled(sql: str, part: str) -> str:
     for i in range(1, 5):
         sql = sql.replace(f"@{i}@", part.format(at=40 * i - 39))
+    for mark, whole in WHOLE.items():
+        sql = sql.replace(mark, whole)
     return sql
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions.text import BULLETS, SPACE_CHARS
 from hirelens.schemas import FLAT_FIELDS, FOREIGN_KEYS, JOB_FIELDS, MAX_LENGTHS, REQUIRED, UNIQUE_KEYS
-from workload.layouts import FIRST_SAYS, SECOND_SAYS, layout_sql
+from workload.layouts import FIRST_SAYS, FIRST_WHOLE_SAYS, SECOND_SAYS, SECOND_WHOLE_SAYS, layout_sql
 from workload.postings import CRAWL_DATE, duckdb_view
 from workload.queries import SECTION_WORDS, WORDS
 
@@ -412,6 +412,8 @@ ORACLES: dict[str, str] = {
     "page_titles": f"SELECT page_id, {title_of('html')} AS title FROM pages",
     "first_layout": layout_sql(FIRST_SAYS),
     "second_layout": layout_sql(SECOND_SAYS),
+    "first_layout_whole": layout_sql(FIRST_WHOLE_SAYS),
+    "second_layout_whole": layout_sql(SECOND_WHOLE_SAYS),
     "page_sections": f"""SELECT page_id, {', '.join(f"{picked('pairs', f, SECTION_WORDS, 1, 2)} AS {f}" for f in SECTION_WORDS)}
         FROM (SELECT page_id, {both(SECTION)} AS pairs FROM pages)""",
     "page_lists": f"SELECT page_id, {bullets('html')} AS bullets FROM pages",

@@ -20,7 +20,7 @@ from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
 from hirelens.sources import blocks, flat, keyvalue, tables
 from hirelens.streaming.ingest import ingest_stream
 from hirelens.workspace import new_dir, stage
-from workload.layouts import FIRST, SECOND, layout_pages
+from workload.layouts import FIRST, FIRST_WHOLE, SECOND, SECOND_WHOLE, layout_pages
 from workload.postings import (
     CRAWL_DATE, cleaned_postings, crawl_blocks, derive_postings, flat_postings, model_tables, raw_postings, table,
 )
@@ -260,6 +260,16 @@ def second_layout(spark, d):
     return page_postings(layout_pages(spark, d, SECOND), layouts.second_layout("example.com"), F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
 
 
+@query
+def first_layout_whole(spark, d):
+    return page_postings(layout_pages(spark, d, FIRST_WHOLE), layouts.first_layout("example.com"), F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+
+
+@query
+def second_layout_whole(spark, d):
+    return page_postings(layout_pages(spark, d, SECOND_WHOLE), layouts.second_layout("example.com"), F.to_date(F.lit(CRAWL_DATE)), keep=["page_id"])
+
+
 @query
 def page_sections(spark, d):
     pairs = table(spark, d, "pages").select("page_id", pages.labelled_pairs(F.col("html"), SECTION).alias("pairs"))
