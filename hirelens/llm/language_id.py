@@ -37,25 +37,23 @@ LONG_WORD = 32
 
 @dataclass(frozen=True)
 class Fit:
-    """About `sample` labelled documents of each language are learnt from, in `rounds` rounds; pieces have at
-    most `longest` characters; `smoothing` is added to the count of every piece and `unknown` is the weight of a
+    """About `sample` labelled documents of each language are learnt from, in `rounds` rounds; `smoothing` is added to the count of every piece and `unknown` is the weight of a
     letter outside the vocabulary. A task remembers the scores of `remembered` words."""
 
     sample: int = 1500
     rounds: int = 3
-    longest: int = 8
     smoothing: float = 0.05
     unknown: float = 0.01
     remembered: int = 300_000
 
 
-def pieces_of(path: str, longest: int) -> list[str]:
-    """The vocabulary's pieces that consist of letters, in lower case, with or without the mark of a word's start."""
+def pieces_of(path: str) -> list[str]:
+    """All of the vocabulary's pieces that consist of letters, in lower case, with or without the mark of a word's start."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
-    return sorted(p for p in every if len(p) <= longest and (p == START or p.removeprefix(START).isalpha()))
+    return sorted(p for p in every if p == START or p.removeprefix(START).isalpha())
 
 
 def hashes(letters: np.ndarray, width: int, shorter: np.ndarray | None) -> np.ndarray:
@@ -101,7 +99,7 @@ class Pieces:
         return found
 
 
-def forward(numbers: list[np.ndarray], size: int, p: np.ndarray, every: int = 16) -> tuple[np.ndarray, np.ndarray]:
+def forward(numbers: list[np.ndarray], size: int, p: np.ndarray, every: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Sums over the segmentations of all beginnings, one row per word, for each column of p.
 
     Comes with the logarithm of the scale, which is moved there after so many letters, before long words underflow.
@@ -199,8 +197,8 @@ def fit(labelled: DataFrame, scratch: Scratch, vocabulary: str = VOCABULARY, how
     sample = known.filter(drawn < F.try_element_at(shares, F.col("lang")) if prior else F.lit(False)).select("lang", "text")
     count = scratch.keep(
         sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
-    names = pieces_of(vocabulary, how.longest)
-    pieces = Pieces.of(names, how.longest)
+    names = pieces_of(vocabulary)
+    pieces = Pieces.of(names, max(map(len, names)))
     p = np.full((pieces.n + 2, len(languages)), 1.0 / (pieces.n + 1))
     p[-1] = 0
     for _ in range(how.rounds if languages else 0):

@@ -78,3 +78,24 @@ def test_awkward_tables(spark):
     assert len(found) == len(rows(texts())) and all(0 <= r.score <= 1 for r in found)
     assert {r.lang_pred for r in lid.identify(documents(spark), F.lit(False)).collect()} == {"und"}
     assert lid.identify(nothing(spark), F.lit(True)).count() == 0
+
+
+def test_every_letter_piece_of_the_vocabulary_is_used():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=lid.VOCABULARY)
+    every = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    names = lid.pieces_of(lid.VOCABULARY)
+    assert set(names) == {x for x in every if x == lid.START or x.removeprefix(lid.START).isalpha()}
+    longest = max(map(len, names))
+    pieces = lid.Pieces.of(names, longest)
+    assert longest > 8 and sum(len(known) for known, _ in pieces.tables) == len(names)
+    p = np.full((len(names) + 2, 1), 1e-9)
+    p[names.index("▁information")], p[-1] = 0.5, 0
+    assert lid.word_scores(["information"], pieces, p)[0, 0] == pytest.approx(log(0.5), abs=1e-6)
+
+
+def test_rare_letters_between_scalings_do_not_underflow():
+    p, pieces = np.full((len(PIECES) + 2, 1), 1e-11), lid.Pieces.of(PIECES, 16)
+    p[-1] = 0
+    assert np.isfinite(lid.word_scores(["x" * 200], pieces, p)).all()
