@@ -31,8 +31,8 @@ START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNDECIDED = "und"
-#: Longer words are scored but not learnt from: their probability is too small for sums without a scale.
-LONG_WORD = 32
+#: Letters after which the sums over a word are scaled, before they underflow.
+EVERY = 8
 
 
 @dataclass(frozen=True)
@@ -99,24 +99,33 @@ class Pieces:
         return found
 
 
-def forward(numbers: list[np.ndarray], size: int, p: np.ndarray, every: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def forward(numbers: list[np.ndarray], size: int, p: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Sums over the segmentations of all beginnings, one row per word, for each column of p.
 
-    Comes with the logarithm of the scale, which is moved there after so many letters, before long words underflow.
-    The last row of p is 0.
+    Comes with the logarithms of the scale, first and after every EVERY letters: the last is that of the whole word, `logs` applies
+    them to all beginnings. The last row of p is 0.
     """
     words, languages = len(numbers[0]), p.shape[1]
     sums = np.zeros((size + 1, words, languages))
-    sums[0], scale, longest = 1.0, np.zeros((words, languages)), len(numbers)
+    sums[0], scales, longest = 1.0, [np.zeros((words, languages))], len(numbers)
     for end in range(1, size + 1):
         for width in range(1, min(end, longest) + 1):
             sums[end] += sums[end - width] * p[numbers[width - 1][:, end - width]]
-        if end % every == 0:
+        if end % EVERY == 0:
             begin = max(0, end - longest + 1)
             top = sums[begin:end + 1].max(axis=0)
             sums[begin:end + 1] /= top
-            scale += np.log(top)
-    return sums, scale
+            scales.append(scales[-1] + np.log(top))
+    return sums, scales
+
+
+def logs(sums: np.ndarray, scales: list[np.ndarray], longest: int) -> np.ndarray:
+    """Logarithms of the sums of `forward`; a beginning has the scale of the last time that it was among the `longest` latest."""
+    with np.errstate(divide="ignore"):
+        out = np.log(sums)
+    for at in range(len(sums)):
+        out[at] += scales[min(at + longest - 1, len(sums) - 1) // EVERY]
+    return out
 
 
 def grouped(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -139,8 +148,8 @@ def word_scores(words: list[str], pieces: Pieces, p: np.ndarray) -> np.ndarray:
     out = np.zeros((len(words), p.shape[1]))
     for some, letters in grouped(words):
         size = letters.shape[1]
-        sums, scale = forward(pieces.numbers(letters), size, p)
-        out[some] = np.log(sums[size]) + scale
+        sums, scales = forward(pieces.numbers(letters), size, p)
+        out[some] = np.log(sums[size]) + scales[-1]
     return out
 
 
@@ -148,16 +157,13 @@ def expected_counts(words: list[str], times: np.ndarray, pieces: Pieces, p: np.n
     """How often each piece is expected in words that occur so many times, in one language; p has one column."""
     counts = np.zeros(pieces.n + 2)
     for some, letters in grouped(words):
-        if (size := letters.shape[1]) > LONG_WORD:
-            continue
-        numbers = pieces.numbers(letters)
-        before = forward(numbers, size, p, LONG_WORD + 1)[0][..., 0]
-        after = forward([n[:, ::-1] for n in numbers], size, p, LONG_WORD + 1)[0][..., 0]
-        weight = times[some] / before[size]
+        size, numbers = letters.shape[1], pieces.numbers(letters)
+        before = logs(*forward(numbers, size, p), len(numbers))[..., 0]
+        after = logs(*forward([n[:, ::-1] for n in numbers], size, p), len(numbers))[..., 0]
         for width, number in enumerate(numbers, 1):
             for begin in range(size - width + 1):
                 n = number[:, begin]
-                gain = before[begin] * p[n, 0] * after[size - begin - width] * weight
+                gain = np.exp(before[begin] + after[size - begin - width] - before[size]) * p[n, 0] * times[some]
                 counts += np.bincount(n, gain, len(counts))
     counts[-1] = 0
     return counts

@@ -99,3 +99,24 @@ def test_rare_letters_between_scalings_do_not_underflow():
     p, pieces = np.full((len(PIECES) + 2, 1), 1e-11), lid.Pieces.of(PIECES, 16)
     p[-1] = 0
     assert np.isfinite(lid.word_scores(["x" * 200], pieces, p)).all()
+
+
+def test_words_of_every_length_are_learnt_from():
+    p, pieces = weights(1, 1), lid.Pieces.of(PIECES, 3)
+    for word in ("abcabx" * 7, "a" * 31, "cab" * 2000):
+        counts = lid.expected_counts([word], np.array([2.0]), pieces, p)
+        letters = sum(c * len(x) for c, x in zip(counts, [*PIECES, "x"]))
+        assert letters == pytest.approx(2 * (len(word) + 1))
+    # Against plain sums, which 42 letters do not underflow.
+    text = "▁" + "abcabx" * 7
+    of = {x: p[i, 0] for i, x in enumerate(PIECES)}
+    part = lambda x: of.get(x, p[len(PIECES), 0] if x == "x" else 0.0)
+    before, after = [1.0] + [0.0] * len(text), [0.0] * len(text) + [1.0]
+    for end in range(1, len(text) + 1):
+        before[end] = sum(before[end - n] * part(text[end - n:end]) for n in (1, 2, 3) if n <= end)
+    for at in reversed(range(len(text))):
+        after[at] = sum(part(text[at:at + n]) * after[at + n] for n in (1, 2, 3) if at + n <= len(text))
+    found = lid.expected_counts(["abcabx" * 7], np.array([1.0]), pieces, p)
+    for i, x in enumerate(PIECES):
+        wanted = sum(before[at] * of[x] * after[at + len(x)] for at in range(len(text)) if text.startswith(x, at)) / before[-1]
+        assert found[i] == pytest.approx(wanted)
