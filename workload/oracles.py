@@ -215,6 +215,13 @@ JOBS = """SELECT job_id AS id, g.id AS group_id, title, link, location, experien
     working_time, deadline, salary_raw, salary_normalized, currency_unit FROM cleaned JOIN groups g ON g.name = grp"""
 
 
+# The posting as a JSON object of its columns in the order of their names.
+KEY_COLUMNS = sorted({"group", "source", "crawl_date", "skills", *JOB_FIELDS})
+KEY_VALUES = {"group": "grp", "crawl_date": "strftime(crawl_date, '%Y-%m-%d')", "work_location_detail": "location"}
+KEY_PARTS = " || ',' || ".join(f"""'"{c}":' || coalesce(CAST(to_json({KEY_VALUES.get(c, c)}) AS VARCHAR), 'null')""" for c in KEY_COLUMNS)
+JOB_KEY_ROWS = f"""SELECT DISTINCT md5('{{' || {KEY_PARTS} || '}}') AS job_id, grp AS "group", link, title, salary FROM postings"""
+
+
 def one_line(x: str) -> str:
     return strip(f"replace(replace(coalesce({x}, ''), chr(10), ' '), chr(13), ' ')")
 
@@ -465,6 +472,11 @@ ORACLES: dict[str, str] = {
     "job_keys": sql(
         """SELECT grp AS "group", count(*) AS jobs FROM (SELECT DISTINCT grp, link, title, salary FROM postings) GROUP BY 1""",
         "postings"),
+    "job_key_rows": sql(JOB_KEY_ROWS, "postings"),
+    "read_ungrouped": sql(f"""SELECT CAST(NULL AS VARCHAR) AS "group", {', '.join(JOB_FIELDS)}
+        FROM (SELECT *, location AS work_location_detail FROM postings)""", "postings"),
+    "broken_blocks": sql("""SELECT DISTINCT strftime(date_trunc('year', crawl_date), '%Y-%m-%d') AS crawl_date, source, true AS has_record
+        FROM postings WHERE source = 'board_b'""", "postings"),
     "star_rejoin": star(REJOINED),
     "load_star_again": star(REJOINED),
     "star_ids_stay": star("SELECT 'skill_groups' AS kind, name, true AS stays FROM groups UNION ALL SELECT 'skills', name, true FROM skill_dim"),

@@ -385,6 +385,13 @@ def job_keys(spark, d):
     return star.with_job_ids(rows).groupBy("group").agg(F.countDistinct("job_id").alias("jobs"))
 
 
+@query
+def job_key_rows(spark, d):
+    """The key of every different posting, hashed from all of its columns."""
+    rows = raw_postings(spark, d).drop("job_id").withColumn("crawl_date", F.col("crawl_date").cast("string"))
+    return star.with_job_ids(rows).select("job_id", "group", "link", "title", "salary")
+
+
 @query
 def star_rejoin(spark, d):
     path = new_dir(spark, "star")
@@ -604,6 +611,25 @@ def read_blocks(spark, d):
     return blocks.read_blocks(spark, path).withColumn("crawl_date", F.col("crawl_date").cast("string"))
 
 
+@query
+def read_ungrouped(spark, d):
+    path = new_dir(spark, "plain")
+    raw_postings(spark, d).select(*JOB_FIELDS).write.json(path)
+    return blocks.read_ungrouped(spark, path, multi_line=False).drop("source")
+
+
+@query
+def broken_blocks(spark, d):
+    """Files of one source end in the middle."""
+    path = new_dir(spark, "broken")
+    block = F.to_json(F.collect_list(F.struct("group", "jobs")))
+    half = F.when(F.col("source") == "board_b", F.expr("left(value, length(value) div 2)")).otherwise(F.col("value"))
+    (crawl_blocks(spark, d, "year").groupBy("crawl_date", "source").agg(block.alias("value")).withColumn("value", half)
+     .write.partitionBy("crawl_date", "source").text(path))
+    place = [F.regexp_extract("file", f"{name}=([^/]+)/", 1).alias(name) for name in ("crawl_date", "source")]
+    return blocks.broken_blocks(spark, path).select(*place, (F.length("record") > 0).alias("has_record"))
+
+
 @query
 def merge_sources(spark, d):
     totals = blocks.merged_totals(crawl_blocks(spark, d, "day"), SOURCES)
