@@ -92,4 +92,36 @@ SELECT doc_id, size, source_size, target,
     CAST(size * (epochs + CASE WHEN rest > 0 AND middle <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
 
-ORACLES = {"op3_decontamination": OP3, "op4_quality_rules": OP4, "op6_mixing": OP6}
+OP12 = r"""
+WITH crc AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+words AS MATERIALIZED (SELECT r, unnest(w) AS w FROM d),
+hexed AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM words UNION SELECT w FROM b)),
+bucket AS MATERIALIZED (
+    SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) % 10000 AS k FROM hexed, crc),
+s AS (SELECT k, count(*) AS s FROM words JOIN bucket USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN bucket USING (w) GROUP BY k),
+gain AS (
+    SELECT k, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (coalesce((SELECT sum(s) FROM s), 0)::DOUBLE + 10000)
+        / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0)::DOUBLE + 10000))))::BIGINT AS g
+    FROM s FULL JOIN t USING (k)),
+w AS (SELECT r, sum(g)::BIGINT AS weight FROM words JOIN bucket USING (w) JOIN gain USING (k) GROUP BY r),
+h AS (
+    SELECT r, doc_id, len(d.w) AS n, coalesce(weight, 0) AS weight,
+        CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+    FROM d LEFT JOIN w USING (r)),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST, n, weight) AS place,
+        10 * count(*) OVER (PARTITION BY n >= 20) // 100 AS drawn FROM scored)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN n >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op4_quality_rules": OP4, "op6_mixing": OP6, "op12_importance": OP12}

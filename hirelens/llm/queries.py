@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import (
-    chat, decontamination, language_id, language_model, mixing, personal_data, quality_classifier, quality_rules, simhash, substrings,
+    chat, decontamination, importance, language_id, language_model, mixing, personal_data, quality_classifier, quality_rules, simhash,
+    substrings,
 )
 from hirelens.llm.base import remainder
 
@@ -72,6 +73,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_model, op2_quality_classifier, op3_decontamination, op4_quality_rules, op5_chat, op6_mixing,
-    op7_personal_data, op8_simhash, op9_substrings, op10_language_id)}
+    op7_personal_data, op8_simhash, op9_substrings, op10_language_id, op12_importance)}
