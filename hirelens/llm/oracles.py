@@ -92,6 +92,16 @@ SELECT doc_id, size, source_size, target,
     CAST(size * (epochs + CASE WHEN rest > 0 AND middle <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
 
+OP11 = r"""
+WITH e AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.r AS q, q.vec_id AS query_id, e.vec_id, list_dot_product(q.v, e.v)::BIGINT AS score
+    FROM e AS q JOIN e ON q.r <> e.r WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5
+"""
+
 OP12 = r"""
 WITH crc AS MATERIALIZED (
     SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
@@ -124,4 +134,26 @@ ranked AS (
 SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN n >= 20 AND place <= drawn THEN place END AS rank FROM ranked
 """
 
-ORACLES = {"op3_decontamination": OP3, "op4_quality_rules": OP4, "op6_mixing": OP6, "op12_importance": OP12}
+OP13 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS MATERIALIZED (
+    SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS a FROM w, unnest(range(1, 5)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i) GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM f WHERE a >= 30),
+cuts AS (
+    SELECT o.lang, o.p, o.k, o.a, c, x.a AS l, y.a AS r, ((2000000::HUGEINT * o.a) // (x.a + y.a))::BIGINT AS score
+    FROM often o, unnest(range(1, o.k)) AS s(c) JOIN often x ON x.lang = o.lang AND x.p = o.p[1:c] JOIN often y ON y.lang = o.lang AND y.p = o.p[c + 1:]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+held AS (
+    SELECT lang, o.p[i:i + m - 1] AS p, max(a) AS held FROM often o, unnest(range(2, o.k)) AS s(m), unnest(range(1, o.k - m + 2)) AS t(i) GROUP BY ALL),
+ranked AS (
+    SELECT b.*, array_to_string(b.p, ' ') AS phrase FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.p = b.p
+    WHERE held IS NULL OR 100 * held < 80 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op3_decontamination": OP3, "op4_quality_rules": OP4, "op6_mixing": OP6, "op11_topk": OP11, "op12_importance": OP12, "op13_collocations": OP13}

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.llm import (
-    chat, decontamination, importance, language_id, language_model, mixing, personal_data, quality_classifier, quality_rules, simhash,
-    substrings,
+    chat, collocations, decontamination, importance, language_id, language_model, metric_tree, mixing, personal_data, quality_classifier,
+    quality_rules, simhash, substrings,
 )
 from hirelens.llm.base import remainder
 
@@ -73,11 +73,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = metric_tree.usable(table(spark, sf_dir, "embeddings"), "embedding").select(F.col("vec_id").alias("id"), "v")
+    queries = points.filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+    return metric_tree.search(points, queries).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("row.doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_model, op2_quality_classifier, op3_decontamination, op4_quality_rules, op5_chat, op6_mixing,
-    op7_personal_data, op8_simhash, op9_substrings, op10_language_id, op12_importance)}
+    op7_personal_data, op8_simhash, op9_substrings, op10_language_id, op11_topk, op12_importance, op13_collocations)}
