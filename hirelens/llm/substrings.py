@@ -18,8 +18,9 @@ as far as such strings reach, in these steps:
 A k-mer with more than `most` tuples is not held in memory: all its different runs go on, and if these are more than `most`,
 too, each of their strings becomes a tuple of its own, which step 2 settles.
 
-Nulls and empty texts have no bytes; a text shorter than `size` loses none. A null id is larger than all others. Rows with equal id are no
-earlier documents of each other; rows with equal id and text share one result. An empty table gives an empty result.
+Nulls and empty texts have no bytes; a text shorter than `size` loses none. A null id is larger than all others; ids are
+whole numbers or anything that Spark can order. Rows with equal id are no earlier documents of each other, however many there are; rows with
+equal id and text share one result. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,16 +35,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm.base import Scratch
+from hirelens.llm.ordering import positions
 
 KMER = 16
 LAST = (1 << 63) - 1
 #: Bytes handled at once; a place within them must fit in PLACE bits.
 PART, PLACE = 1_500_000, 24
-RUNS = "k long, c long, id long, packed long, spans binary"
+RUNS = "k long, c long, id long, row long, packed long, spans binary"
 #: k: the k-mer's hash (39 bits), that of the bytes right of it (12), that of the bytes left of it (12), 0 where a run has no
-#: string with as many. packed: hash of the text (20 bits), place of the k-mer in its first string (6), strings less one (6),
+#: string with as many. id, row and the 20 bits of packed tell a document (see keyed). packed: hash of the text (20 bits), place of the k-mer in its first string (6), strings less one (6),
 #: first byte (31).
-SPAN = "kind int, k long, id long, packed long, end long"
+SPAN = "kind int, k long, id long, row long, packed long, end long"
 SIDE = 12
 
 
@@ -182,9 +184,9 @@ def ordered_id(ids: pa.Array) -> np.ndarray:
 def sample(docs: DataFrame, size: int) -> DataFrame:
     """Tuples of the sampled suffixes; and what a task settles itself, as rows with `spans` (begin, end, begin, end, ...)."""
 
-    names = ["k", "c", "id", "packed", "spans"]
+    names = ["k", "c", "id", "row", "packed", "spans"]
 
-    def tuples(found: list, ids: np.ndarray, digests: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def tuples(found: list, ids: np.ndarray, numbers: np.ndarray, digests: np.ndarray) -> Iterator[pa.RecordBatch]:
         """What some parts have, in order of ids: tuples of the smallest documents, spans of the later ones."""
         k, c, text, begin, more, at = (np.concatenate(x) for x in zip(*found))
         id_ = ids[text]
@@ -198,23 +200,23 @@ def sample(docs: DataFrame, size: int) -> DataFrame:
         for i in range(0, len(keep), 100_000):
             own = keep[i:i + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[own]) for x in (k, c, id_, packed)] + [pa.nulls(len(own), pa.binary())], names=names)
+                [pa.array(x[own]) for x in (k, c, id_, numbers[text], packed)] + [pa.nulls(len(own), pa.binary())], names=names)
         if not len(gone):
             return
         rows = []
         for own in np.split(gone, np.flatnonzero(text[gone][1:] != text[gone][:-1]) + 1):
             b, e = union(begin[own], begin[own] + more[own] + size)
-            rows.append((int(k[own[0]]), int(id_[own[0]]), int(digests[text[own[0]]]) << 43, np.stack([b, e], axis=1).tobytes()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.nulls(len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.binary())], names=names)
+            doc = text[own[0]]
+            rows.append((int(k[own[0]]), None, int(ids[doc]), int(numbers[doc]), int(digests[doc]) << 43, np.stack([b, e], axis=1).tobytes()))
+        types = [pa.int64()] * 5 + [pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             constants = _constants()
             for batch in batches:
-                ids, digests, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
-                found = []
+                ids, numbers, digests = (batch.column(i).to_numpy() for i in range(3))
+                texts, found = batch.column(3).to_pylist(), []
                 for part in parts(texts, np.argsort(ids, kind="stable"), size):
                     sizes = np.array([e - b for _, b, e in part])
                     ends = np.cumsum(sizes)
@@ -225,17 +227,18 @@ def sample(docs: DataFrame, size: int) -> DataFrame:
                     text, begin = np.array([i for i, _, _ in part])[own], np.array([b for _, b, _ in part])[own]
                     found.append((k.view(np.int64), c.view(np.int64), text, first - starts[own] + begin, more, at))
                     if len(found) == 6:
-                        yield from tuples(found, ids, digests)
+                        yield from tuples(found, ids, numbers, digests)
                         found = []
                 if found:
-                    yield from tuples(found, ids, digests)
+                    yield from tuples(found, ids, numbers, digests)
 
     return docs.mapInArrow(run, RUNS)
 
 
-def spans(kind: int, k: np.ndarray, id_: np.ndarray, packed: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+def spans(kind: int, k: np.ndarray, id_: np.ndarray, row: np.ndarray, packed: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(k), kind, np.int32)), *[pa.array(x, pa.int64()) for x in (k, id_, packed, end)]], names=["kind", "k", "id", "packed", "end"])
+        [pa.array(np.full(len(k), kind, np.int32)), *[pa.array(x, pa.int64()) for x in (k, id_, row, packed, end)]],
+        names=["kind", "k", "id", "row", "packed", "end"])
 
 
 def settled(tuples: DataFrame, cut: Cut) -> DataFrame:
@@ -247,7 +250,7 @@ def settled(tuples: DataFrame, cut: Cut) -> DataFrame:
         _, _, more, begin = unpack(packed)
         return begin + more + size
 
-    def whole(k: np.ndarray, c: np.ndarray, id_: np.ndarray, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def whole(k: np.ndarray, c: np.ndarray, id_: np.ndarray, number: np.ndarray, packed: np.ndarray) -> Iterator[pa.RecordBatch]:
         """All tuples of some k-mers."""
         if not len(k):
             return
@@ -255,7 +258,7 @@ def settled(tuples: DataFrame, cut: Cut) -> DataFrame:
         run = np.cumsum(new) - 1
         removed = id_ > id_[new][run]
         if removed.any():
-            yield spans(0, k[removed], id_[removed], packed[removed], ends(packed[removed]))
+            yield spans(0, k[removed], id_[removed], number[removed], packed[removed], ends(packed[removed]))
         shared = np.zeros(int(run[-1]) + 1, bool)
         side = (1 << SIDE) - 1
         for own, key in (((k[new] >> SIDE) & side, k[new] >> SIDE), (k[new] & side, k[new] >> bits << SIDE | k[new] & side)):
@@ -263,29 +266,30 @@ def settled(tuples: DataFrame, cut: Cut) -> DataFrame:
             shared |= (n[which] > 1) & (own > 0)
         asked = ~removed & shared[run]
         if asked.any():
-            yield spans(1, k[asked], id_[asked], packed[asked], np.zeros(int(asked.sum()), np.int64))
+            yield spans(1, k[asked], id_[asked], number[asked], packed[asked], np.zeros(int(asked.sum()), np.int64))
 
     def part(rows: list[np.ndarray], last: tuple[int, int, int] | None) -> tuple[list[pa.RecordBatch], tuple[int, int, int]]:
         """Some tuples of one k-mer; `last` has k, c and least id of the run before."""
-        k, c, id_, packed = rows
+        k, c, id_, number, packed = rows
         new = np.r_[last is None or (k[0], c[0]) != last[:2], (k[1:] != k[:-1]) | (c[1:] != c[:-1])]
         least = np.r_[last[2] if last else 0, id_[new]][np.cumsum(new)]
         gone, stay = np.flatnonzero(id_ > least), np.flatnonzero(id_ <= least)
-        out = [spans(0, k[gone], id_[gone], packed[gone], ends(packed[gone])), spans(1, k[stay], id_[stay], packed[stay], np.zeros(len(stay), np.int64))]
+        out = [spans(0, k[gone], id_[gone], number[gone], packed[gone], ends(packed[gone])),
+               spans(1, k[stay], id_[stay], number[stay], packed[stay], np.zeros(len(stay), np.int64))]
         return out, (int(k[-1]), int(c[-1]), int(least[-1]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # tuples of a k-mer that may go on
         last = None  # the last run of a k-mer with too many tuples
         for batch in batches:
-            there = batch.column(4).is_valid()
+            there = batch.column(5).is_valid()
             handed = batch.filter(there)
-            for k, id_, packed, data in zip(*(handed.column(i).to_pylist() for i in (0, 2, 3, 4))):
+            for k, id_, number, packed, data in zip(*(handed.column(i).to_pylist() for i in (0, 2, 3, 4, 5))):
                 begin, end = np.frombuffer(data, np.int64).reshape(-1, 2).T
                 same = np.ones(len(begin), np.int64)
-                yield spans(0, same * k, same * id_, packed + begin, end)
-            rest = batch.filter(batch.column(4).is_null()) if handed.num_rows else batch
-            rows = [rest.column(i).to_numpy() for i in range(4)]
+                yield spans(0, same * k, same * id_, same * number, packed + begin, end)
+            rest = batch.filter(batch.column(5).is_null()) if handed.num_rows else batch
+            rows = [rest.column(i).to_numpy() for i in range(5)]
             if held is not None:
                 rows, held = [np.concatenate(x) for x in zip(held, rows)], None
             if last is not None and len(rows[0]):
@@ -384,31 +388,31 @@ def induced(k: np.ndarray, id_: np.ndarray, at: np.ndarray, more: np.ndarray, te
     return removed
 
 
-CONTEXT = "k long, id long, packed long, bytes binary"
+CONTEXT = "k long, id long, row long, packed long, bytes binary"
 
 
 def contexts(docs: DataFrame, asked: DataFrame, size: int) -> DataFrame:
     """The bytes of runs that need a closer look, from their documents."""
-    places = asked.select(F.shiftright("k", 2 * SIDE).alias("k"), "id", "packed", (F.shiftright("packed", 43)).alias("digest")).groupBy("id", "digest").agg(
-        F.collect_list(F.struct("k", "packed")).alias("runs"))
+    runs_of_row = F.collect_list(F.struct("k", "packed")).alias("runs")
+    places = asked.select(F.shiftright("k", 2 * SIDE).alias("k"), "id", "row", "packed", F.shiftright("packed", 43).alias("digest")).groupBy(*DOCUMENT).agg(runs_of_row)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, runs = batch.column(0).to_pylist(), batch.column(1), batch.column(2)
+            ids, numbers, texts, runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
             made, n = [], 0
-            for i, id_ in enumerate(ids):
+            for i, (id_, number) in enumerate(zip(ids, numbers)):
                 text, own = texts[i].as_py(), runs[i].values
                 packed = own.field("packed").to_numpy()
                 _, _, more, begin = unpack(packed)
-                made.append((own.field("k").to_numpy(), np.full(len(packed), id_), packed, [text[b:b + m + size] for b, m in zip(begin.tolist(), more.tolist())]))
+                made.append((own.field("k").to_numpy(), np.full(len(packed), id_), np.full(len(packed), number), packed, [text[b:b + m + size] for b, m in zip(begin.tolist(), more.tolist())]))
                 n += len(packed)
                 if n >= 20_000 or i == len(ids) - 1:
-                    k, id_, packed = (pa.array(np.concatenate([m[j] for m in made]), pa.int64()) for j in range(3))
+                    columns = [pa.array(np.concatenate([m[j] for m in made]), pa.int64()) for j in range(4)]
                     yield pa.RecordBatch.from_arrays(
-                        [k, id_, packed, pa.array([x for m in made for x in m[3]], pa.binary())], names=["k", "id", "packed", "bytes"])
+                        [*columns, pa.array([x for m in made for x in m[4]], pa.binary())], names=["k", "id", "row", "packed", "bytes"])
                     made, n = [], 0
 
-    met = docs.join(places, ["id", "digest"]).select("id", "text", "runs")
+    met = docs.join(places, DOCUMENT).select("id", "row", "text", "runs")
     return met.mapInArrow(run, CONTEXT)
 
 
@@ -418,15 +422,15 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
     size = cut.size
 
     def matrix(held: pa.RecordBatch) -> tuple:
-        k, id_, packed = (held.column(i).to_numpy() for i in range(3))
-        data = held.column(3).to_pylist()
+        k, id_, number, packed = (held.column(i).to_numpy() for i in range(4))
+        data = held.column(4).to_pylist()
         length = np.array([len(x) for x in data])
         wide = int(length.max())
         text = np.frombuffer(b"".join(x.ljust(wide, b"\0") for x in data), np.uint8).reshape(len(data), wide)
-        return k, id_, packed, text, length
+        return k, id_, number, packed, text, length
 
     def block(held: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        k, id_, packed, text, length = matrix(held)
+        k, id_, number, packed, text, length = matrix(held)
         digest, at, more, begin = unpack(packed)
         removed = induced(k, id_, at, more, text, length, size)
         run, left = np.nonzero(removed)
@@ -434,10 +438,10 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
             end = np.flatnonzero(np.r_[(run[1:] != run[:-1]) | (left[1:] != left[:-1] + 1), True])
             n = np.diff(np.r_[-1, end])
             run, first = run[end], begin[run[end]] + at[run[end]] - left[end]
-            yield spans(0, k[run], id_[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), first + n - 1 + size)
+            yield spans(0, k[run], id_[run], number[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), first + n - 1 + size)
 
     def strings(held: pa.RecordBatch, constants: tuple) -> Iterator[pa.RecordBatch]:
-        k, id_, packed, text, _ = matrix(held)
+        k, id_, number, packed, text, _ = matrix(held)
         digest, _, more, begin = unpack(packed)
         flat = Hashes(np.ascontiguousarray(text).ravel(), constants)
         run = np.repeat(np.arange(len(k)), more + 1)
@@ -445,7 +449,7 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
         start = run * text.shape[1] + place
         whole, part = flat.between(start, start + size), flat.between(start, start + size - 1)
         first = begin[run] + place
-        yield spans(3, whole.view(np.int64), id_[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), part.view(np.int64))
+        yield spans(3, whole.view(np.int64), id_[run], number[run], pack(digest[run], np.zeros_like(first), np.zeros_like(first), first), part.view(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -484,32 +488,49 @@ def look_closer(runs: DataFrame, cut: Cut) -> DataFrame:
 # Removal --------------------------------------------------------------------------------------------------
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """id (null last), digest (20 bits of the text's hash) and text as bytes."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id"), F.expr("xxhash64(text) & 1048575").alias("digest"),
+DOCUMENT = ["id", "row", "digest"]
+
+
+def keyed(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """id (a long in the order of the ids, null last), row and digest (84 bits of hashes of the text), doc_id, and text as bytes.
+
+    `row` is needed only where several rows have one id, and zero elsewhere. Ids that are no whole numbers are numbered in their order.
+    """
+    whole = docs.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    known = docs.select("doc_id", "text")
+    if whole:
+        known = known.withColumn("id", F.col("doc_id").cast("long"))
+    else:
+        placed = scratch.keep(positions(docs.select("doc_id").na.drop().distinct(), [F.col("doc_id")], "id", scratch, "places-of-ids"), "ids")
+        known = known.join(placed, "doc_id", "left")
+    known = known.withColumn("id", F.coalesce("id", F.lit(LAST)))
+    again = scratch.keep(known.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.lit(True).alias("again")), "again")
+    row = F.when(F.col("again"), F.xxhash64(F.lit(1), "text")).otherwise(0)
+    return known.join(again, "id", "left").select(
+        "id", row.alias("row"), F.expr("xxhash64(text) & 1048575").alias("digest"),
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"), "doc_id")
 
 
-def repeated(docs: DataFrame, scratch: Scratch, cut: Cut = Cut()) -> DataFrame:
-    """id, digest and `places` (begin, end) to remove of the documents that lose bytes."""
-    texts = keyed(docs).drop("doc_id")
+def repeated(texts: DataFrame, scratch: Scratch, cut: Cut = Cut()) -> DataFrame:
+    """id, row, digest and `places` (begin, end) to remove of the documents that lose bytes, for the result of `keyed`."""
+    texts = texts.drop("doc_id")
     found = scratch.keep(settled(sample(texts, cut.size), cut), "settled")
     runs = scratch.keep(contexts(texts, found.filter("kind = 1"), cut.size), "contexts")
     closer = scratch.keep(look_closer(runs, cut), "closer")
     scratch.drop("contexts")
-    single = closer.filter("kind = 3").select("k", F.col("end").alias("c"), "id", "packed", F.lit(None).cast("binary").alias("spans"))
+    single = closer.filter("kind = 3").select("k", F.col("end").alias("c"), "id", "row", "packed", F.lit(None).cast("binary").alias("spans"))
     rest = scratch.keep(settled(single, cut), "single")
     gone = found.unionByName(closer).unionByName(rest).filter("kind = 0")
-    places = gone.select("id", F.shiftright("packed", 43).alias("digest"), F.expr("packed & 2147483647").alias("begin"), "end")
-    return places.groupBy("id", "digest").agg(F.collect_list(F.struct("begin", "end")).alias("places"))
+    places = gone.select("id", "row", F.shiftright("packed", 43).alias("digest"), F.expr("packed & 2147483647").alias("begin"), "end")
+    return places.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("begin", "end")).alias("places"))
 
 
 def remove_repeats(docs: DataFrame, cut: Cut = Cut(), texts: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and `kept` (the bytes that stay; null without `texts`) of every row."""
     scratch = Scratch(docs.sparkSession, "substrings")
-    places = scratch.keep(repeated(docs, scratch, cut), "places")
-    scratch.close("places")
+    texts_ = keyed(docs, scratch)
+    places = scratch.keep(repeated(texts_, scratch, cut), "places")
+    scratch.close("places", "ids", "again")
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
 
@@ -528,6 +549,6 @@ def remove_repeats(docs: DataFrame, cut: Cut = Cut(), texts: bool = True) -> Dat
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]], names)
 
-    joined = keyed(docs).join(places, ["id", "digest"], "left").select("doc_id", "text", "places")
+    joined = texts_.join(places, DOCUMENT, "left").select("doc_id", "text", "places")
     return joined.mapInArrow(
         run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -62,3 +62,25 @@ def test_long_texts_are_cut(spark, monkeypatch):
 
 def test_nothing(spark):
     assert run(nothing(spark)) == []
+
+
+def test_many_rows_of_one_id(spark):
+    # half of thousands of rows without an id, and of rows with one id, hold a string of an earlier document
+    planted = "a string of sixty bytes that stands in the first document ok."
+    rng = random.Random(3)
+    some = [(1, planted)]
+    for k in range(8000):
+        own = "".join(rng.choices("abcdefghijklmnop", k=60))
+        some.append((None if k % 2 else 5, own + (planted if k % 4 < 2 else "")))
+    docs = spark.createDataFrame(some, "doc_id long, text string").repartition(4)
+    found = run(docs)
+    assert found == brute(some)
+    assert sum(r[2] > 0 for r in found) == 4000
+
+
+def test_text_ids(spark):
+    some = [(f"d{i}", t) for i, t in enumerate(alike(2))] + [(None, alike(2)[3])]
+    numbered = {name: k for k, name in enumerate(sorted(i for i, _ in some if i))}
+    expected = brute([(None if i is None else numbered[i], t) for i, t in some])
+    docs = spark.createDataFrame(some, "doc_id string, text string").repartition(3)
+    assert sorted(((None if r[0] is None else numbered[r[0]], *r[1:]) for r in run(docs)), key=str) == expected
