@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as fixed
 from hirelens.functions.dates import resolve_relative_deadline
-from hirelens.functions.pages import (
-    bullet_elements, bullet_text, contained_pairs, headed_pairs, labelled_pairs, opening, pick_field, posting_title, rendered,
-    text_of_first,
-)
+from hirelens.functions.pages import Page, bullet_text, labelled_pairs, opening, page_pieces, page_tags, pick_field, posting_title, rendered
 from hirelens.operators.links import not_blocked
 from hirelens.schemas import JOB_FIELDS
 
@@ -62,6 +59,11 @@ class PageLayout:
     copies: Mapping[str, str] = field(default_factory=dict)
     missing: str = ""
 
+    def tags(self) -> list[str]:
+        """All opening tags that a page is searched for."""
+        blocks = [t for p in self.pairs if isinstance(p, Blocks) for t in (p.container, p.label, p.value) if t]
+        return list(dict.fromkeys([self.headline, *self.elements.values(), *blocks, *self.items.values()]))
+
 
 def first_layout(site: str) -> PageLayout:
     """Pages that name every field in a heading beside it."""
@@ -97,28 +99,29 @@ def extract_postings(pages: DataFrame, layout: PageLayout, crawl_date: Column, k
     """One raw posting per page (url, html) that was not blocked, after the columns in `keep`.
 
     Deadlines given as "expires in N days" are counted from the crawl date. The whole page is read, elements
-    nested to any depth included; nothing is shuffled.
+    nested to any depth included, and its tags are numbered and paired once for all fields; nothing is shuffled.
     """
     html = F.col("html")
-    found = not_blocked(pages)
-    columns: dict[str, Column] = {"link": F.col("url"), "title": posting_title(html, layout.site, layout.headline)}
+    found = not_blocked(pages).withColumn("_pieces", page_pieces(html)).withColumn("_tags", page_tags(F.col("_pieces"), layout.tags()))
+    page = Page(F.col("_pieces"), F.col("_tags"), layout.tags())
+    columns: dict[str, Column] = {"link": F.col("url"), "title": posting_title(html, layout.site, page.first(layout.headline))}
     for i, pairs in enumerate(layout.pairs):
         if isinstance(pairs, Pairs):
             both = labelled_pairs(html, pairs.pattern, pairs.label, pairs.value)
         elif pairs.container:
-            both = contained_pairs(html, pairs.container, pairs.label, pairs.value)
+            both = page.contained_pairs(pairs.container, pairs.label, pairs.value)
         else:
-            both = headed_pairs(html, pairs.label, pairs.value)
+            both = page.headed_pairs(pairs.label, pairs.value)
         # Its own column, so that the pairs are worked out once for all their fields.
         found = found.withColumn(f"_pairs{i}", both)
         exact = isinstance(pairs, Blocks) and pairs.exact
         columns |= {name: pick_field(F.col(f"_pairs{i}"), name, pairs.keywords, exact) for name in pairs.keywords}
     columns |= {name: bullet_text(html, item) for name, item in layout.lists.items()}
-    columns |= {name: bullet_elements(html, tag) for name, tag in layout.items.items()}
+    columns |= {name: page.bullets(tag) for name, tag in layout.items.items()}
     for name, pattern in layout.fields.items():
         value = rendered(F.regexp_extract(html, pattern, 1))
         columns[name] = F.when(html.rlike(pattern), value).otherwise(F.lit(layout.missing))
-    columns |= {name: F.coalesce(text_of_first(html, tag), F.lit(layout.missing)) for name, tag in layout.elements.items()}
+    columns |= {name: F.coalesce(page.first(tag), F.lit(layout.missing)) for name, tag in layout.elements.items()}
     for name, source in layout.copies.items():
         columns[name] = columns[source]
     columns["deadline"] = resolve_relative_deadline(columns.get("deadline", F.lit("")), crawl_date)

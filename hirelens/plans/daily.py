@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.operators.links import new_links
+from hirelens.operators.links import first_per_key, link_key
 from hirelens.plans.clean import clean_postings
 from hirelens.schemas import CLEANED, JOB_FIELDS
-from hirelens.sources.blocks import broken_layout, flatten, read_layout
-from hirelens.workspace import stage, unstage
+from hirelens.sources.blocks import broken_layout, flatten, load_layout_files, read_layout
+from hirelens.sources.link_index import KEY, LinkIndex
+from hirelens.workspace import exists, stage, unstage
 
 TARGET = T.StructType(
     [T.StructField("source", T.StringType())] + CLEANED.fields + [T.StructField("crawl_date", T.DateType())])
@@ -23,6 +24,25 @@ def read_target(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(TARGET).parquet(target)
 
 
+def link_index(spark: SparkSession, target: str) -> LinkIndex:
+    """The index of the links that each day of the target has, built now if the target is older than it."""
+    index = LinkIndex(spark, f"{target}/_links")
+    if exists(spark, target) and not exists(spark, index.path):
+        index.build(read_target(spark, target))
+    return index
+
+
+def _order(postings: DataFrame) -> DataFrame:
+    """One posting per link, with its key: the first in the order of source, file and place in the block."""
+    return first_per_key(postings.withColumn(KEY, link_key()), ["source", "_file", "pos", *JOB_FIELDS], [KEY])
+
+
+def _readable(blocks: DataFrame, day: datetime.date) -> None:
+    broken = [row.file for row in broken_layout(blocks).select("file").limit(3).collect()]
+    if broken:
+        raise ValueError(f"unreadable on {day}: {', '.join(broken)}")
+
+
 def ingest_day(
     spark: SparkSession, raw: str, target: str, day: datetime.date, sources: Sequence[str], multi_line: bool = False
 ) -> None:
@@ -33,24 +53,49 @@ def ingest_day(
     on the day the first one stays, in the order of source, file and place in the block. The day's rows replace what the target
     had for it, also if there are none now; running a day again gives the same result. `multi_line` is that
     of `read_layout`. Files that cannot be read raise an error that names some of them; `broken_layout` lists all.
+
+    Of other days only those buckets of the link index are read that may hold a link of this one.
     """
     # The empty write only makes sure that the folder is there.
     spark.createDataFrame([], TARGET).write.mode("ignore").partitionBy("crawl_date").parquet(target)
-    other = read_target(spark, target).filter(F.col("crawl_date") != F.lit(day))
     blocks = read_layout(spark, raw, multi_line).filter((F.col("crawl_date") == F.lit(day)) & F.col("source").isin(*sources))
-    broken = [row.file for row in broken_layout(blocks).select("file").limit(3).collect()]
-    if broken:
-        raise ValueError(f"unreadable on {day}: {', '.join(broken)}")
+    _readable(blocks, day)
     # Looks at one block of each source, where grouping the day would read all of it twice.
     if any(blocks.filter(F.col("source") == source).isEmpty() for source in sources):
         return
-    postings = new_links(
-        flatten(blocks.withColumn("_file", F.col("_metadata.file_path"))), other, order=["source", "_file", "pos", *JOB_FIELDS])
-    found = stage(clean_postings(postings, keep=["source", "crawl_date"]), "day")
+    index = link_index(spark, target)
+    fresh = stage(_order(flatten(blocks.withColumn("_file", F.col("_metadata.file_path")))), "fresh")
+    postings = fresh.join(index.known(fresh, day), KEY, "left_anti")
+    found = stage(clean_postings(postings, keep=["source", "crawl_date", KEY]), "day")
+    # The index first: a link it has too early is only missing until this day is run again.
+    index.put(day, found)
     if found.isEmpty():
         # A dynamic overwrite would leave the old rows of a day without new ones.
-        found.drop("crawl_date").write.mode("overwrite").parquet(f"{target}/crawl_date={day.isoformat()}")
+        found.drop("crawl_date", KEY).write.mode("overwrite").parquet(f"{target}/crawl_date={day.isoformat()}")
     else:
-        (found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (found.drop(KEY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("crawl_date").parquet(target))
-    unstage(found)
+    for df in (fresh, found):
+        unstage(df)
+
+
+def append_late(
+    spark: SparkSession, files: Sequence[str], raw: str, target: str, day: datetime.date, sources: Sequence[str], multi_line: bool = False
+) -> None:
+    """Add what late files of a day bring that no day has yet, without reading the day's other files again.
+
+    Postings that the target has stay, also where a late file has the same link in an earlier place. Of the target only the links
+    of the day are read, so a run that was cut off can be repeated.
+    """
+    blocks = load_layout_files(spark, files, raw, multi_line).filter((F.col("crawl_date") == F.lit(day)) & F.col("source").isin(*sources))
+    _readable(blocks, day)
+    index = link_index(spark, target)
+    fresh = stage(_order(flatten(blocks.withColumn("_file", F.col("_metadata.file_path")))), "fresh")
+    own = read_target(spark, target).filter(F.col("crawl_date") == F.lit(day)).select(link_key().alias(KEY))
+    postings = fresh.join(own, KEY, "left_anti").join(index.known(fresh, day), KEY, "left_anti")
+    found = stage(clean_postings(postings, keep=["source", "crawl_date", KEY]), "late")
+    if not found.isEmpty():
+        index.add(day, found)
+        found.drop(KEY).write.mode("append").partitionBy("crawl_date").parquet(target)
+    for df in (fresh, found):
+        unstage(df)

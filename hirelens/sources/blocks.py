@@ -89,8 +89,14 @@ def read_layout(spark: SparkSession, root: str, multi_line: bool = False) -> Dat
     `multi_line` reads files of one indented JSON array each, as crawlers write them. What cannot be read has null
     fields and its text in `CORRUPT`, see `broken_layout`.
     """
+    return load_layout_files(spark, [root], root, multi_line)
+
+
+def load_layout_files(spark: SparkSession, files: Sequence[str], root: str, multi_line: bool = False) -> DataFrame:
+    """The same for some files or folders of the layout below `root`."""
     schema = T.StructType(BLOCK.fields + [T.StructField(CORRUPT, T.StringType())] + LAYOUT)
-    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(root, multiLine=multi_line)
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("basePath", root)
+    return reader.json(list(files), multiLine=multi_line)
 
 
 def broken_layout(layout: DataFrame) -> DataFrame:

@@ -45,12 +45,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file(spark: SparkSession, name: str) -> tuple:
+    """The file system of a file or folder, and its path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    files, path = _file(spark, name)
+    return files.exists(path)
+
+
+def listed(spark: SparkSession, name: str) -> list[str]:
+    """Names of what a folder holds; none if it is not there."""
+    files, path = _file(spark, name)
+    return [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Remove a file or folder, if it is there."""
+    files, path = _file(spark, name)
+    files.delete(path, True)
+
+
 def unstage(staged: DataFrame) -> None:
     """Remove the table behind a frame that `stage` returned, once nothing reads it any more."""
-    spark = staged.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(staged.sparkSession, folder)
 
 
 def at_once(jobs: Iterable[Callable[[], object]]) -> list:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from workload.postings import table
 
-# Words of a document; only this differs between the engines.
-SPARK_PART = "coalesce(nullif(trim(regexp_replace(substr(d.text, {at}, 40), '[^A-Za-z]+', ' ')), ''), 'none')"
-DUCKDB_PART = "coalesce(nullif(trim(regexp_replace(substr(d.text, {at}, 40), '[^A-Za-z]+', ' ', 'g')), ''), 'none')"
+# Words of one quarter of a document; only this differs between the engines.
+QUARTER = "substr(d.text, {before} * CAST(ceil(length(d.text) / 4.0) AS INT) + 1, CAST(ceil(length(d.text) / 4.0) AS INT))"
+SPARK_PART = f"coalesce(nullif(trim(regexp_replace({QUARTER}, '[^A-Za-z]+', ' ')), ''), 'none')"
+DUCKDB_PART = f"coalesce(nullif(trim(regexp_replace({QUARTER}, '[^A-Za-z]+', ' ', 'g')), ''), 'none')"
 
 # Nested blocks, line ends, a headline of the site before that of the posting, and labels that only look alike.
 FIRST = """concat('<title>T | example.com</title><h1><a>Logo</a></h1><h1 class="b job-detail__info--title"><a>', @1@, ' <i>', @2@, '</i> (', @3@, ')</a></h1>',
@@ -41,7 +42,7 @@ SECOND_SAYS = """SELECT doc_id AS page_id, p.url AS link, concat(@1@, ' ', @2@,
   concat(@3@, chr(10), @4@) AS requirements, concat('- ', @4@, chr(10), '- ', @2@, chr(10)) AS benefits,
   @3@ AS work_location_detail, @4@ AS working_time, 'Hạn nộp hồ sơ: 21/10/2025' AS deadline"""
 
-# The same layouts around whole texts: every line an element of its own, short pieces only in titles.
+# The same layouts around the lines of a text, each an element of its own.
 FIRST_WHOLE = """concat('<title>T | example.com</title><h1 class="b job-detail__info--title">', @1@, '</h1>',
   '<div class="job-description__item"><h3>Mô tả công việc</h3><div class="job-description__item--content">', @PARAGRAPHS@, '<div>x<div>y</div></div>end</div></div>',
   '<div class="job-description__item"><h3>Yêu cầu ứng viên</h3><div class="job-description__item--content">start<ul>', @ITEMS@, '</ul></div></div>',
@@ -75,7 +76,7 @@ WHOLE = {
 
 def filled(sql: str, part: str) -> str:
     for i in range(1, 5):
-        sql = sql.replace(f"@{i}@", part.format(at=40 * i - 39))
+        sql = sql.replace(f"@{i}@", part.format(before=i - 1))
     for mark, whole in WHOLE.items():
         sql = sql.replace(mark, whole)
     return sql
