@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from hirelens.llm.base import Scratch
 
 #: Vectors of a tree, about; entries of a page; queries of a block; roots of a block.
-SHARD, PAGE, ASKED, ROOTS = 8192, 64, 1024, 1024
+SHARD, PAGE, ASKED, ROOTS = 8192, 512, 1024, 1024
 #: Pivots, and the sampled vectors from which they are chosen (both bounds; every vector is in a tree).
 PIVOTS, SAMPLE = 256, 4096
 #: Above this square norm products may not be exact in doubles.
@@ -98,12 +98,19 @@ class Tree:
     """A tree's pages as arrays."""
 
     def __init__(self, table: pa.Table, width: int) -> None:
-        rows = table.sort_by("page").to_pydict()
-        self.most = rows["most"][0]
+        whole = table.sort_by("page").combine_chunks()
+        flat = {name: whole.column(name).chunk(0).flatten().to_numpy(zero_copy_only=False) for name in ("vectors", "radius", "apart", "child")}
+        stops = np.cumsum([0, *whole.column("child").chunk(0).value_lengths().to_pylist()])
+        self.most = whole.column("most")[0].as_py()
         self.exact = self.most < EXACT
-        self.pages = [
-            (np.array(v, np.float64 if self.exact else object).reshape(-1, width), np.array(r), np.array(a), np.array(c, np.int64), i)
-            for v, r, a, c, i in zip(rows["vectors"], rows["radius"], rows["apart"], rows["child"], rows["ids"])]
+        vectors = flat["vectors"].reshape(-1, width)
+        self.vectors = vectors.astype(np.float64) if self.exact else vectors
+        self.pages = [(self.vectors[i:j], flat["radius"][i:j], flat["apart"][i:j], flat["child"][i:j]) for i, j in zip(stops[:-1], stops[1:])]
+        self.ids = whole.column("ids").chunk(0)
+
+    def ids_of(self, page: int, entries: np.ndarray) -> list[list]:
+        """The ids of some entries of a leaf."""
+        return self.ids[page].values.take(pa.array(entries)).to_pylist()
 
     def search(self, q: np.ndarray, k: int, least: int | None) -> list[tuple[int, object]]:
         """The `k` best (score, id) of a query, only scores of at least `least`."""
@@ -111,9 +118,10 @@ class Tree:
         square = float(q.astype(np.float64) @ q.astype(np.float64))
         if not self.exact or square >= EXACT:
             whole = q.astype(object)
-            for vectors, _, _, child, ids in self.pages:
+            for page, (vectors, _, _, child) in enumerate(self.pages):
                 if len(child) and child[0] < 0:
-                    best.add([max(-LONG - 1, min(LONG, sum(int(a) * b for a, b in zip(v, whole)))) for v in vectors], ids)
+                    products = [max(-LONG - 1, min(LONG, sum(int(a) * b for a, b in zip(v, whole)))) for v in vectors]
+                    best.add(products, self.ids_of(page, np.arange(len(child))))
             return best.found
         point = q.astype(np.float64)
         sum_ = square + self.most
@@ -128,7 +136,7 @@ class Tree:
             far = reach()
             if nearest > far:
                 break
-            vectors, radius, apart, child, ids = self.pages[page]
+            vectors, radius, apart, child = self.pages[page]
             near = np.arange(len(child))
             if to_centre >= 0:  # what the stored distances rule out needs no distance
                 near = near[np.abs(to_centre - apart) - radius <= far]
@@ -137,9 +145,11 @@ class Tree:
             products = vectors[near] @ point
             if child[0] < 0:
                 floor = -np.inf if best.least is None else best.least
-                hits = near[products >= floor]
-                if len(hits):
-                    best.add([int(s) for s in products[products >= floor]], [ids[i] for i in hits])
+                if len(products) > k:  # every entry has an id, so a page has no use beyond its k best
+                    floor = max(floor, np.partition(products, -k)[-k])
+                hits = products >= floor
+                if hits.any():
+                    best.add(products[hits].astype(np.int64).tolist(), self.ids_of(page, near[hits]))
                 continue
             to = np.sqrt(np.maximum(sum_ - 2 * products, 0))
             for d, i in zip(to, near):

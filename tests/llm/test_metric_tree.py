@@ -116,6 +116,7 @@ def test_pages_cover_what_lies_below(monkeypatch):
 
 
 def test_search_skips_most_of_a_clustered_tree(monkeypatch):
+    monkeypatch.setattr(metric_tree, "PAGE", 64)
     points = clouds(3000, 3, 4)
     x = np.array([v for _, v in points], np.int64)
     space = metric_tree.Space(x)
