@@ -29,7 +29,7 @@ def resolve_relative_deadline(c: Column, crawl_date: Column) -> Column:
     pattern = r"(?U)^([+-]?[0-9]+)\s+(\S+)"
     number = F.regexp_extract(rest, pattern, 1).try_cast("bigint")
     # More days than lie between the first and the last year lead out of them in any unit.
-    count = F.when(F.abs(number) <= 4_000_000, number).cast("int")
+    count = F.when(number.between(-4_000_000, 4_000_000), number).cast("int")
     unit = F.regexp_extract(rest, pattern, 2)
     day = (
         F.when(unit.contains(DAY), F.date_add(crawl_date, count))

@@ -102,7 +102,7 @@ def mentions_skill(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Colu
     return F.coalesce(text.rlike(lexicon_pattern(lexicon)), F.lit(False))
 
 
-def _collect(
+def collect(
     items: Column,
     state: dict[str, Column],
     step: Callable[[Column, Column], tuple[dict[str, Column], Column, Column]],
@@ -111,7 +111,7 @@ def _collect(
     """Walk over an array with a state and collect an array of `kind`.
 
     `step` gets the state and an item and returns the next state, whether to collect something
-    at this item, and what. A first walk only finds the state at the start of every chunk; then
+    at this item, and what. Of more than one chunk, a first walk only finds the state at the start of each; then
     each chunk collects for itself. The work grows with the length of the array, not its square.
     """
     def packed(columns: dict[str, Column]) -> Column:
@@ -139,7 +139,7 @@ def _collect(
 
     def join(chunks: Column) -> Column:
         starts = F.aggregate(chunks, packed({"now": start, "starts": no_starts}), advance, lambda acc: acc["starts"])
-        return F.flatten(F.zip_with(chunks, starts, of_chunk))
+        return F.when(F.size(chunks) == 1, of_chunk(F.get(chunks, F.lit(0)), start)).otherwise(F.flatten(F.zip_with(chunks, starts, of_chunk)))
 
     return bind(items, lambda items: bind(cut(items), join))
 
@@ -156,7 +156,11 @@ def _layer_spans(text: Column, pattern: str) -> Column:
         end = acc["at"] + F.char_length(part)
         return {"at": end, "hit": ~acc["hit"]}, acc["hit"], _span(acc["at"], end)
 
-    return _collect(F.split(marked, MARK), {"at": F.lit(0), "hit": F.lit(False)}, step, SPAN)
+    def spans(pieces: Column) -> Column:
+        found = collect(pieces, {"at": F.lit(0), "hit": F.lit(False)}, step, SPAN)
+        return F.when(F.size(pieces) > 1, found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+    return bind(F.split(marked, MARK), spans)
 
 
 def skill_spans(text: Column, lexicon: Sequence[str] = SKILL_LEXICON) -> Column:
@@ -172,7 +176,11 @@ def non_overlapping(spans: Column) -> Column:
         fits = span["start"] >= acc["last"]
         return {"last": F.when(fits, span["end"]).otherwise(acc["last"])}, fits, _span(span["start"], span["end"])
 
-    return _collect(F.sort_array(spans), {"last": F.lit(-1)}, step, SPAN)
+    def kept(spans: Column) -> Column:
+        # One span overlaps none.
+        return F.when(F.size(spans) < 2, spans).otherwise(collect(spans, {"last": F.lit(-1)}, step, SPAN))
+
+    return bind(F.sort_array(spans), kept)
 
 
 def span_texts(text: Column, spans: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import strip
-from hirelens.workspace import at_once, stage, unstage
+from hirelens.sources.versions import FOLDER, CommitConflict, Versions
+from hirelens.workspace import at_once, listed, remove, size_of, stage, unstage
 
 TABLES = ["skill_groups", "skills", "skill_details", "jobs", "job_details", "job_skills"]
 JOB_COLUMNS = [
@@ -45,7 +47,7 @@ def dense_ids(names: DataFrame, column: str = "name", after: int = 0) -> DataFra
     )
     # One row per partition of the sort: small for any amount of data.
     return placed.join(F.broadcast(offsets), "_part").select(
-        (F.col("_offset") + F.col("_index") + 1 + after).cast("int").alias("id"), column)
+        (F.col("_offset") + F.col("_index") + 1 + after).cast("bigint").alias("id"), column)
 
 
 def name_key(name: Column, case_blind: bool = False) -> Column:
@@ -177,60 +179,126 @@ def rejoin(tables: Mapping[str, DataFrame]) -> DataFrame:
     return whole.withColumn("skills", F.coalesce("skills", F.array().cast("array<string>")))
 
 
-def save_star(tables: Mapping[str, DataFrame], path: str, before: Sequence[str] = ()) -> str:
-    """Write all tables into a new folder and make it current, after the folders in `before`, only when all are written."""
+def _write(tables: Mapping[str, DataFrame], path: str) -> str:
+    """Write all tables into a new folder, which no version has yet; return its name."""
+    folder = uuid.uuid4().hex
+    at_once(lambda name=name: tables[name].write.parquet(f"{path}/{folder}/{name}") for name in TABLES)
+    return folder
+
+
+def _parts(spark: SparkSession, path: str, parts: Sequence[str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(*[f"{path}/{part}/{name}" for part in parts]) for name in TABLES}
+
+
+def save_star(tables: Mapping[str, DataFrame], path: str) -> str:
+    """Write all tables into a new folder and make it the whole model, only when all are written; return the folder."""
     spark = tables["jobs"].sparkSession
-    version = uuid.uuid4().hex
-    at_once(lambda name=name: tables[name].write.parquet(f"{path}/{version}/{name}") for name in TABLES)
-    entry = spark.createDataFrame([([*before, version],)], "parts array<string>").withColumn("committed_at", F.current_timestamp())
-    entry.write.mode("append").parquet(f"{path}/_versions")
-    return version
+    folder, versions = _write(tables, path), Versions(spark, path)
+    while True:  # it takes the place of any version
+        with contextlib.suppress(CommitConflict):
+            versions.commit(versions.last()[0], {"parts": [folder]})
+            return folder
 
 
 def current_parts(spark: SparkSession, path: str) -> list[str]:
     """The folders that make up the version committed last; half-written ones are never among them."""
-    log = spark.read.schema("parts array<string>, committed_at timestamp").parquet(f"{path}/_versions")
-    return list(log.orderBy(F.desc("committed_at")).first()["parts"])
+    return list(Versions(spark, path).last()[1]["parts"])
 
 
 def read_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of the version committed last."""
-    parts = current_parts(spark, path)
-    return {name: spark.read.parquet(*[f"{path}/{part}/{name}" for part in parts]) for name in TABLES}
+    return _parts(spark, path, current_parts(spark, path))
 
 
 def load_star(postings: DataFrame, path: str, case_blind: bool = False) -> dict[str, DataFrame]:
     """Write the postings out once, build the six tables from that copy, save and return them."""
     staged = stage(with_job_ids(postings), "postings")
-    save_star(build_star(staged, case_blind), path)
-    unstage(staged)
+    tables = build_star(staged, case_blind)
+    save_star(tables, path)
+    for df in (tables["skill_groups"], tables["skills"], staged):
+        unstage(df)
     return read_star(postings.sparkSession, path)
 
 
-def extend_star(postings: DataFrame, path: str, case_blind: bool = False) -> dict[str, DataFrame]:
-    """Add postings to a saved model and return it.
+def _added(staged: DataFrame, old: Mapping[str, DataFrame], case_blind: bool) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """What new postings add to each table of a model, and the staged frames that this reads."""
+    def missing(kind: str, names: DataFrame) -> DataFrame:
+        numbered = missing_names(old[kind], names, case_blind)
+        kept = stage(numbered, "names")
+        unstage(numbered)
+        return kept
 
-    Names and jobs that the model has keep their ids; only missing names, pairs and jobs are written, into a folder of
-    their own, and become visible together. Loading the same postings again adds nothing.
-    """
-    spark = postings.sparkSession
-    parts, old = current_parts(spark, path), read_star(spark, path)
-    staged = stage(with_job_ids(postings).join(old["jobs"].select(F.col("id").alias("job_id")), "job_id", "left_anti"), "postings")
-    new_groups, new_skills = (stage(df, "names") for df in at_once([
-        lambda: missing_names(old["skill_groups"], group_names(staged), case_blind),
-        lambda: missing_names(old["skills"], skill_names(staged), case_blind),
-    ]))
+    new_groups, new_skills = at_once([
+        lambda: missing("skill_groups", group_names(staged)), lambda: missing("skills", skill_names(staged))])
     groups = old["skill_groups"].select("id", "name").unionByName(new_groups)
     skills = old["skills"].select("id", "name").unionByName(new_skills)
     pairs = skill_details(staged, groups, skills, case_blind).join(old["skill_details"], ["skill_id", "group_id"], "left_anti")
-    save_star({
+    return {
         "skill_groups": new_groups,
         "skills": new_skills,
         "skill_details": pairs,
         "jobs": jobs(staged, groups, case_blind),
         "job_details": job_details(staged),
         "job_skills": job_skills(staged, skills, case_blind),
-    }, path, before=parts)
-    for df in (staged, new_groups, new_skills):
-        unstage(df)
-    return read_star(spark, path)
+    }, [new_groups, new_skills]
+
+
+def extend_star(postings: DataFrame, path: str, case_blind: bool = False, tries: int = 10) -> dict[str, DataFrame]:
+    """Add postings to a saved model and return it.
+
+    Names and jobs that the model has keep their ids; only missing names, pairs and jobs are written, into a folder of
+    their own, and become visible together. Loading the same postings again adds nothing. If another load commits in between, what is
+    missing is worked out again on top of it, up to `tries` times, so none of two loads is lost.
+    """
+    spark, versions = postings.sparkSession, Versions(postings.sparkSession, path)
+    given = stage(with_job_ids(postings), "given")
+    try:
+        for _ in range(tries):
+            number, entry = versions.last()
+            old = _parts(spark, path, entry["parts"])
+            staged = stage(given.join(old["jobs"].select(F.col("id").alias("job_id")), "job_id", "left_anti"), "postings")
+            added, scratch = _added(staged, old, case_blind)
+            folder = _write(added, path)
+            for df in (staged, *scratch):
+                unstage(df)
+            try:
+                versions.commit(number, {"parts": [*entry["parts"], folder]})
+                return read_star(spark, path)
+            except CommitConflict:
+                remove(spark, f"{path}/{folder}")
+    finally:
+        unstage(given)
+    raise CommitConflict(f"{tries} other loads of {path} came first")
+
+
+def compact_star(spark: SparkSession, path: str, most: int = 8, tries: int = 10) -> list[str]:
+    """Merge the small parts of a model once there are more than `most`; return the parts it then has.
+
+    A part with half of all bytes or more stays as it is, so the cost follows what was added. The tables hold the same rows before and
+    after. Folders of earlier versions stay for those who still read them, until `drop_unused`.
+    """
+    versions = Versions(spark, path)
+    for _ in range(tries):
+        number, entry = versions.last()
+        parts = entry["parts"]
+        if len(parts) <= most:
+            return list(parts)
+        sizes = {part: size_of(spark, f"{path}/{part}") for part in parts}
+        large = [part for part in parts if 2 * sizes[part] >= sum(sizes.values())]
+        small = [part for part in parts if part not in large]
+        folder = _write({name: df.hint("rebalance") for name, df in _parts(spark, path, small).items()}, path)
+        try:
+            versions.commit(number, {"parts": [*large, folder]})
+            return [*large, folder]
+        except CommitConflict:
+            remove(spark, f"{path}/{folder}")
+    raise CommitConflict(f"{tries} loads of {path} came first")
+
+
+def drop_unused(spark: SparkSession, path: str) -> list[str]:
+    """Remove the folders that the present version does not have; call it only while nobody loads or reads an earlier one."""
+    used = {*current_parts(spark, path), FOLDER}
+    gone = sorted(name for name in listed(spark, path) if name not in used)
+    for name in gone:
+        remove(spark, f"{path}/{name}")
+    return gone

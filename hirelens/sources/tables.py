@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 from collections.abc import Mapping
@@ -10,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.workspace import at_once
+from hirelens.sources.versions import CommitConflict, Versions
+from hirelens.workspace import at_once, remove
 
 SYSTEM_DATABASES = {"information_schema", "mysql", "performance_schema", "sys"}
-VERSIONS = "_versions"
+# Columns of a snapshot besides a table's own.
+HASH, PART = "_hash", "_part"
 
 
 def user_databases(spark: SparkSession) -> list[str]:
@@ -76,21 +79,52 @@ def _buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
     return int(told["Num Buckets"]), re.findall(r"`([^`]+)`", told["Bucket Columns"])
 
 
-def snapshot(spark: SparkSession, database: str, path: str) -> list[str]:
-    """Write every table of the database below `path` as a new version; return their names.
+def _hashed(df: DataFrame, parts: int) -> DataFrame:
+    """`df` with its row's hash and the part that it belongs to."""
+    # Hashes pass over nulls, so whether there is one is hashed, too.
+    told = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return df.withColumn(HASH, F.xxhash64(*told)).withColumn(PART, F.pmod(F.xxhash64(F.lit("part"), *told), F.lit(parts)))
 
-    Earlier versions stay as they are, and a version counts only once its list of tables, written last, is there. So a
-    snapshot that is cut off changes nothing.
+
+def _contents(df: DataFrame, parts: int) -> dict[str, str]:
+    """A hash of the rows of every part of a table, whatever their order."""
+    found = _hashed(df, parts).groupBy(PART).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(HASH).cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit("xor"), HASH)).alias("x"))
+    return {str(r[PART]): f"{r.n}:{r.s}:{r.x}" for r in found.collect()}  # one row per part
+
+
+def snapshot(spark: SparkSession, database: str, path: str, rows_per_part: int = 1_000_000) -> list[str]:
+    """Write the database below `path` as a new version; return the names of its tables.
+
+    Rows belong to parts by a hash of their values. The manifest of a version lists for every part a hash of its content and the folder that
+    has it, so a part that the last version has, too, is only listed again (`written` counts the others). A version counts only when
+    its manifest is there, and the one that commits last is the last one, whatever the clocks say. A snapshot that is cut off changes nothing.
     """
-    tables, version = read_tables(spark, database), uuid.uuid4().hex
-    at_once(lambda name=name, df=df: df.write.parquet(f"{path}/{version}/{name}") for name, df in tables.items())
-    rows = []
-    for name in sorted(tables):
-        count, columns = _buckets(spark, f"`{database}`.`{name}`") or (None, None)
-        rows.append((version, name, count, columns))
-    listed = spark.createDataFrame(rows, "version string, name string, buckets int, columns array<string>")
-    listed.withColumn("written", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/{VERSIONS}")
-    return sorted(tables)
+    tables, versions, folder = read_tables(spark, database), Versions(spark, path), uuid.uuid4().hex
+
+    def save(name: str, df: DataFrame, before: dict) -> dict:
+        columns = [f"{n} {t}" for n, t in df.dtypes]
+        same = before.get("columns") == columns
+        parts = before["parts"] if same else max(1, -(-df.count() // rows_per_part))
+        contents = _contents(df, parts)
+        known = before["content"] if same else {}
+        content = {k: known[k] if known.get(k, [None])[0] == told else [told, f"{folder}/{name}"] for k, told in contents.items()}
+        changed = [int(k) for k, (_, at) in content.items() if at.startswith(folder)]
+        if changed:
+            (_hashed(df, parts).filter(F.col(PART).isin(changed)).drop(HASH).repartition(PART)
+             .write.partitionBy(PART).parquet(f"{path}/{folder}/{name}"))
+        bucketed = _buckets(spark, f"`{database}`.`{name}`")
+        return {"columns": columns, "schema": df.schema.json(), "parts": parts, "content": content, "written": len(changed), "buckets": bucketed}
+
+    while True:
+        number, entry = versions.last()
+        before = (entry or {"tables": {}})["tables"]
+        done = dict(zip(tables, at_once(lambda n=n, df=df: save(n, df, before.get(n, {})) for n, df in tables.items())))
+        try:
+            versions.commit(number, {"tables": done})
+            return sorted(done)
+        except CommitConflict:  # compare with the new last one
+            remove(spark, f"{path}/{folder}")
 
 
 def restore(spark: SparkSession, path: str, database: str, location: str | None = None) -> list[str]:
@@ -99,16 +133,20 @@ def restore(spark: SparkSession, path: str, database: str, location: str | None
     All tables are loaded beside the present ones first, buckets included. Only then each takes the place of its
     predecessor, and tables that the snapshot does not have are dropped.
     """
-    versions = spark.read.parquet(f"{path}/{VERSIONS}")
-    last = versions.orderBy(F.desc("written"), "version").first().version
-    rows = versions.filter(F.col("version") == last).orderBy("name").collect()
+    told = Versions(spark, path).last()[1]["tables"]
     create_database(spark, database, location)
     new = f"_restored_{uuid.uuid4().hex}"
-    save_tables({f"{r.name}{new}": spark.read.parquet(f"{path}/{last}/{r.name}") for r in rows}, database,
-                {f"{r.name}{new}": (r.buckets, r["columns"]) for r in rows if r.buckets})
+
+    def load(entry: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        folders = [f"{path}/{at}/{PART}={part}" for part, (_, at) in sorted(entry["content"].items())]
+        return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+    save_tables({f"{name}{new}": load(entry) for name, entry in told.items()}, database,
+                {f"{name}{new}": tuple(entry["buckets"]) for name, entry in told.items() if entry["buckets"]})
     for name in read_tables(spark, database):
         if not name.endswith(new):
             spark.sql(f"DROP TABLE `{database}`.`{name}`")
-    for r in rows:
-        spark.sql(f"ALTER TABLE `{database}`.`{r.name}{new}` RENAME TO `{database}`.`{r.name}`")
-    return [r.name for r in rows]
+    for name in told:
+        spark.sql(f"ALTER TABLE `{database}`.`{name}{new}` RENAME TO `{database}`.`{name}`")
+    return sorted(told)

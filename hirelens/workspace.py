@@ -11,6 +11,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# The folder of a local session without the setting.
+_OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,9 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
     # `local-cluster` has executors in processes of their own.
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="hirelens-")
-    spark.conf.set(SETTING, path)
-    return path
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="hirelens-"))
+    return _OWN[0]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
@@ -62,6 +64,32 @@ def listed(spark: SparkSession, name: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(path)] if files.exists(path) else []
 
 
+def size_of(spark: SparkSession, name: str) -> int:
+    """Bytes of all files in a folder."""
+    files, path = _file(spark, name)
+    return files.getContentSummary(path).getLength()
+
+
+def read_text(spark: SparkSession, name: str) -> str:
+    """The whole of a small file."""
+    files, path = _file(spark, name)
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, name: str, text: str) -> None:
+    """Write a small file that must not be there yet."""
+    files, path = _file(spark, name)
+    stream = files.create(path, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, name: str) -> None:
     """Remove a file or folder, if it is there."""
     files, path = _file(spark, name)

@@ -184,3 +184,12 @@ def test_pages(evaluate):
     title = lambda c: pages.posting_title(c, "Example.com")
     assert evaluate(title, [PAGE, "<title>Jobs at example.com</title>", "<title>Cook</title>"]) == [
         "Data Engineer", "(no title)", "Cook"]
+
+
+def test_relative_deadline_of_any_number(evaluate):
+    from hirelens.functions.dates import resolve_relative_deadline
+
+    numbers = ["-9223372036854775808", "9223372036854775807", "-4000001", "99999999999999999999", "4000000"]
+    found = [f"hết hạn trong {n} {u}" for n in numbers for u in ("ngày", "tuần", "tháng")]
+    assert evaluate(lambda c: resolve_relative_deadline(c, F.to_date(F.lit("2025-10-07"))), found) == found
+    assert evaluate(lambda c: resolve_relative_deadline(c, F.to_date(F.lit("2025-10-07"))), ["hết hạn trong -3 ngày"]) == ["Hạn nộp hồ sơ: 04/10/2025"]

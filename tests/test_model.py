@@ -3,6 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hirelens import workspace
 from hirelens.operators import quality, search
 from hirelens.plans import star
 from hirelens.schemas import CLEANED
@@ -139,3 +140,59 @@ def test_checks_find_offenders(spark, tables):
     assert found[("foreign key", "job_skills.skill_id")] == 1
     assert found[("unique", "jobs(id)")] == 1
     assert found[("required", "jobs")] >= 1 and found[("length", "jobs")] >= 3
+
+
+def test_two_loads_at_once_keep_both(spark, postings, tmp_path, monkeypatch):
+    path = str(tmp_path / "star")
+    one = lambda title, skill: spark.createDataFrame([posting("Web", title, [skill])], CLEANED)
+    star.load_star(one("t1", "Python"), path)
+    write, inside = star._write, []
+
+    def interrupted(tables, where):
+        """While the first load writes, a second one runs from start to end."""
+        if not inside:
+            inside.append(True)
+            star.extend_star(one("t2", "Go"), path)
+        return write(tables, where)
+
+    monkeypatch.setattr(star, "_write", interrupted)
+    tables = star.extend_star(one("t3", "Rust").union(one("t1", "Python")), path)
+    assert values(tables["jobs"], "title") == [("t1",), ("t2",), ("t3",)]
+    assert values(tables["skills"], "id", "name") == [(1, "Python"), (2, "Go"), (3, "Rust")]
+    assert quality.violations(tables).agg(F.sum("offending_rows")).first()[0] == 0
+    # What the first load had written before the conflict is gone.
+    assert {p.name for p in (tmp_path / "star").iterdir()} == {*star.current_parts(spark, path), "_versions"}
+
+
+def test_a_load_gives_up_after_some_tries(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "star")
+    rows = spark.createDataFrame([posting("Web", "t1", ["a"])], CLEANED)
+    star.load_star(rows, path)
+    monkeypatch.setattr(star.Versions, "commit", lambda *_: (_ for _ in ()).throw(star.CommitConflict("taken")))
+    with pytest.raises(star.CommitConflict):
+        star.extend_star(rows, path, tries=2)
+
+
+def test_small_parts_are_merged(spark, tmp_path):
+    path = str(tmp_path / "star")
+    base = spark.createDataFrame([posting("Web", f"b{i}", ["Python"], description="text " * i) for i in range(3000)], CLEANED)
+    star.load_star(base, path)
+    (large,) = star.current_parts(spark, path)
+    for i in range(4):
+        star.extend_star(spark.createDataFrame([posting("Web", f"t{i}", [f"s{i}"])], CLEANED), path)
+    before = {name: sorted(map(str, df.collect())) for name, df in star.read_star(spark, path).items()}
+    assert len(star.compact_star(spark, path, most=5)) == 5  # few enough
+    parts = star.compact_star(spark, path, most=3)
+    assert len(parts) == 2 and parts[0] == large
+    after = {name: sorted(map(str, df.collect())) for name, df in star.read_star(spark, path).items()}
+    assert after == before
+    assert len(star.drop_unused(spark, path)) == 4
+    assert {name: df.count() for name, df in star.read_star(spark, path).items()} == {name: len(rows) for name, rows in before.items()}
+
+
+def test_scratch_of_a_load_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "shared_dir", lambda _: str(tmp_path / "shared"))
+    rows = spark.createDataFrame([posting("Web", "t1", ["a"])], CLEANED)
+    star.load_star(rows, str(tmp_path / "star"))
+    star.extend_star(spark.createDataFrame([posting("Web", "t2", ["b"])], CLEANED), str(tmp_path / "star"))
+    assert list((tmp_path / "shared").iterdir()) == []

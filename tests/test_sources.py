@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from hirelens.plans.clean import clean_postings
 from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
+from hirelens.sources.versions import CommitConflict, Versions
 from hirelens.sources import blocks, flat, keyvalue, tables
 
 
@@ -144,3 +145,46 @@ def test_snapshot_and_restore(spark, tmp_path):
     tables.snapshot(spark, "first_db", snap)
     tables.restore(spark, snap, "second_db")
     assert spark.table("second_db.one").count() == 9
+
+
+def written(spark, snap):
+    return {name: (told["written"], len(told["content"])) for name, told in Versions(spark, snap).last()[1]["tables"].items()}
+
+
+def test_a_snapshot_writes_only_what_changed(spark, tmp_path):
+    tables.create_database(spark, "grown_db", str(tmp_path / "db"))
+    rows = spark.range(2000).selectExpr("id", "if(id % 3 = 0, null, id) AS a", "if(id % 5 = 0, null, id) AS b", "array(id, null) AS l")
+    tables.save_tables({"one": rows, "two": rows.limit(0)}, "grown_db")
+    snap = str(tmp_path / "snap")
+    tables.snapshot(spark, "grown_db", snap, rows_per_part=100)
+    assert written(spark, snap) == {"one": (20, 20), "two": (0, 0)}
+    # The same rows in other files and another order.
+    tables.save_tables({"one": rows.orderBy(F.desc("id")).repartition(3)}, "grown_db")
+    tables.snapshot(spark, "grown_db", snap, rows_per_part=100)
+    assert written(spark, snap)["one"] == (0, 20)
+    # One more row, and one whose null moved to the other column.
+    moved = rows.filter("id <> 3").union(spark.sql("SELECT 3L, 3L, NULL, array(3L, NULL)")).union(spark.sql("SELECT 9000L, 1L, 2L, array()"))
+    tables.save_tables({"one": moved}, "grown_db")
+    tables.snapshot(spark, "grown_db", snap, rows_per_part=100)
+    assert 1 <= written(spark, snap)["one"][0] <= 3
+    assert tables.restore(spark, snap, "grown_again", str(tmp_path / "again")) == ["one", "two"]
+    back = spark.table("grown_again.one")
+    assert back.exceptAll(moved).isEmpty() and moved.exceptAll(back).isEmpty() and spark.table("grown_again.two").columns == rows.columns
+    # Another column: everything is new.
+    tables.save_tables({"one": moved.withColumn("c", F.lit(1))}, "grown_db")
+    tables.snapshot(spark, "grown_db", snap, rows_per_part=100)
+    assert written(spark, snap)["one"][0] == written(spark, snap)["one"][1]
+
+
+def test_versions_are_numbered_and_conflicts_are_told(spark, tmp_path):
+    versions = Versions(spark, str(tmp_path))
+    assert versions.last() == (0, None)
+    assert versions.commit(0, {"a": 1}) == 1 and versions.commit(1, {"a": "é"}) == 2
+    for after in (0, 1):
+        with pytest.raises(CommitConflict):
+            versions.commit(after, {"a": 3})
+    assert versions.last() == (2, {"a": "é"})
+    (tmp_path / "_versions" / "000000000003.json").write_text('{"a"')  # still being written
+    assert versions.last() == (2, {"a": "é"})
+    with pytest.raises(CommitConflict):
+        versions.commit(2, {"a": 3})

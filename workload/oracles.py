@@ -154,8 +154,8 @@ CTES = {
         CASE WHEN salary_normalized IS NOT NULL THEN 'VND' END AS currency_unit,
         {skill_list('skills')} AS skills FROM flat""",
     "skill_rows": "SELECT DISTINCT job_id, grp, unnest(skills) AS name FROM cleaned",
-    "groups": "SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS id, name FROM (SELECT DISTINCT grp AS name FROM cleaned)",
-    "skill_dim": "SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS id, name FROM (SELECT DISTINCT name FROM skill_rows)",
+    "groups": "SELECT row_number() OVER (ORDER BY name) AS id, name FROM (SELECT DISTINCT grp AS name FROM cleaned)",
+    "skill_dim": "SELECT row_number() OVER (ORDER BY name) AS id, name FROM (SELECT DISTINCT name FROM skill_rows)",
     "city_rows": f"SELECT grp, experience, salary_normalized, unnest({cities_of('location')}) AS city FROM flat",
     "blocks": """SELECT crawl_date, source, grp, job_id // 500 AS part, count(*) AS n FROM postings GROUP BY ALL""",
     "block_years": """SELECT strftime(date_trunc('year', crawl_date), '%Y-%m-%d') AS crawl_year, p.*,
@@ -199,6 +199,31 @@ def token_spans(table: str, key: str, text: str) -> str:
       word_spans AS ({' UNION '.join(tests)})"""
 
 
+def tokens_of(text: str) -> str:
+    return f"regexp_extract_all({text}, '{WORD}+|[^\\p{{L}}\\p{{N}}_]+')"
+
+
+def spans_by_tokens(texts: str, terms: str) -> str:
+    """Spans of terms as runs of whole tokens: every run of every text against every term."""
+    return f"""WITH texts AS ({texts}), terms AS (SELECT DISTINCT list_transform({tokens_of('term')}, lambda t: lower(t)) AS term FROM ({terms}) WHERE length(term) > 0),
+      cut AS (SELECT r, doc_id, list_transform(t, lambda x: lower(x)) AS low, list_prepend(0, list_transform(range(1, len(t) + 1), lambda i: length(array_to_string(t[1:i], '')))) AS ats
+              FROM (SELECT row_number() OVER () AS r, doc_id, {tokens_of('text')} AS t FROM texts)),
+      runs AS (SELECT r, doc_id, i, n, low[i:i + n - 1] AS run FROM cut, (SELECT DISTINCT len(term) AS n FROM terms), unnest(range(1, len(low) - n + 2)) AS s(i))
+      SELECT doc_id, CAST(ats[i] AS INTEGER) AS start_at, CAST(ats[i + n] AS INTEGER) AS end_at FROM runs JOIN terms ON term = run JOIN cut USING (r, doc_id)
+      WHERE (regexp_matches(run[1], '^{WORD}') OR i > 1) AND (regexp_matches(run[-1], '^{WORD}') OR i + n <= len(low))"""
+
+
+PLANTED = """array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: x || ' ' || {terms}[(((i - 1) * 7 + doc_id) % {n}) + 1]
+    || CASE WHEN (i - 1) % 3 = 0 THEN '.' ELSE ' ' END), chr(10))"""
+ALL_TERMS = "[" + ", ".join(quoted(t) for t in SKILL_LEXICON) + "]"
+LEXICON_IN_DOCUMENTS = spans_by_tokens(
+    f"SELECT doc_id, {PLANTED.format(terms=ALL_TERMS, n=len(SKILL_LEXICON))} AS text FROM documents", f"SELECT unnest({ALL_TERMS}) AS term")
+ITEM_WORDS = "SELECT string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ') AS w FROM benchmark"
+LEXICON_TABLE = spans_by_tokens(
+    "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
+    f"SELECT unnest(w) AS term FROM ({ITEM_WORDS}) UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM ({ITEM_WORDS}), unnest(range(1, len(w))) AS s(i) WHERE w[i] <> w[i + 1]")
+
+
 def sql(body: str, *ctes: str, extra: str = "") -> str:
     """A statement with the shared tables it needs, given in the order they build on each other."""
     parts = [f"{name} AS ({CTES[name]})" for name in ctes]
@@ -405,6 +430,8 @@ ORACLES: dict[str, str] = {
           lambda kept, one: CASE WHEN one[1].s >= kept[-1].e THEN list_concat(kept, one) ELSE kept END)) AS t
           FROM word_spans GROUP BY key)""",
         "texts", extra=token_spans("texts", "doc_id", "cleaned")),
+    "lexicon_in_documents": LEXICON_IN_DOCUMENTS,
+    "lexicon_table": LEXICON_TABLE,
     "label_sentences": sql(
         "SELECT key AS text, CAST(s AS INTEGER) AS start_at, CAST(e AS INTEGER) AS end_at, 'SKILL' AS label FROM word_spans",
         "texts", "sentence_rows",
@@ -455,9 +482,9 @@ ORACLES: dict[str, str] = {
     "dim_groups": star("SELECT id, name FROM groups"),
     "dim_skills": star("SELECT id, name FROM skill_dim"),
     "dim_skills_case_blind": star(
-        """SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS id, name
+        """SELECT row_number() OVER (ORDER BY name) AS id, name
         FROM (SELECT min(name) AS name FROM skill_rows GROUP BY lower(name))"""),
-    "dim_parts": """SELECT CAST(row_number() OVER (ORDER BY name) AS INTEGER) AS id, name
+    "dim_parts": """SELECT row_number() OVER (ORDER BY name) AS id, name
         FROM (SELECT DISTINCT p_name || ' ' || p_type AS name FROM part)""",
     "skill_details": star(
         """SELECT DISTINCT s.id AS skill_id, g.id AS group_id FROM skill_rows r
@@ -467,7 +494,7 @@ ORACLES: dict[str, str] = {
     "job_skills": star("SELECT job_id, s.id AS skill_id FROM skill_rows r JOIN skill_dim s ON s.name = r.name"),
     "upsert_dimension": star(
         """SELECT id, name FROM skill_dim UNION ALL
-        SELECT CAST((SELECT max(id) FROM skill_dim) + row_number() OVER (ORDER BY name) AS INTEGER), name
+        SELECT (SELECT max(id) FROM skill_dim) + row_number() OVER (ORDER BY name), name
         FROM (SELECT DISTINCT p_brand AS name FROM part WHERE p_brand NOT IN (SELECT name FROM skill_dim))"""),
     "job_keys": sql(
         """SELECT grp AS "group", count(*) AS jobs FROM (SELECT DISTINCT grp, link, title, salary FROM postings) GROUP BY 1""",

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions import dates, pages, salary, skills, text
-from hirelens.operators import analyses, labels, links, profile, quality, search
+from hirelens.operators import analyses, labels, lexicon, links, profile, quality, search
 from hirelens.operators import pages as layouts
 from hirelens.operators.pages import PageLayout, Pairs
 from hirelens.operators.pages import extract_postings as page_postings
@@ -203,6 +204,34 @@ def non_overlapping_spans(spark, d):
     )
 
 
+# Terms of the shipped lexicon put between the lines of a document, so that it meets many different texts.
+PLANTED = "array_join(transform(split(d.text, '\n'), (x, i) -> concat(x, ' ', element_at({terms}, cast((i * 7 + d.doc_id) % {n} as int) + 1), if(i % 3 = 0, '.', ' '))), '\n')"
+
+
+def planted_texts(spark, d) -> DataFrame:
+    """doc_id and text of the documents, a term of the lexicon at the end of each line."""
+    terms = "array(" + ", ".join("'" + t + "'" for t in SKILL_LEXICON) + ")"
+    return spark.sql(f"SELECT d.doc_id, {PLANTED.format(terms=terms, n=len(SKILL_LEXICON))} AS text FROM {{d}} d", d=table(spark, d, "documents"))
+
+
+@query
+def lexicon_in_documents(spark, d):
+    found = planted_texts(spark, d).select("doc_id", F.explode(skills.skill_spans(F.col("text"))).alias("s"))
+    return found.select("doc_id", F.col("s.start").alias("start_at"), F.col("s.end").alias("end_at"))
+
+
+@query
+def lexicon_table(spark, d):
+    """Words and pairs of different neighbouring words of all benchmark items, looked for in all documents."""
+    words = F.split(F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " ")
+    places = F.filter(F.slice(F.sequence(F.lit(1), F.size(words)), F.lit(1), F.size(words) - 1), lambda i: F.get(words, i - 1) != F.get(words, i))
+    pairs = F.transform(places, lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
+    terms = table(spark, d, "benchmark").select(F.explode(F.concat(words, pairs)).alias("term"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    found = docs.join(lexicon.lexicon_spans(docs, terms), "text").select("doc_id", F.explode("spans").alias("s"))
+    return found.select("doc_id", F.col("s.start").alias("start_at"), F.col("s.end").alias("end_at"))
+
+
 @query
 def label_sentences(spark, d):
     labelled = labels.label_sentences(table(spark, d, "documents"), F.col("text"), WORDS)
