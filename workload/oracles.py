@@ -203,25 +203,31 @@ def tokens_of(text: str) -> str:
     return f"regexp_extract_all({text}, '{WORD}+|[^\\p{{L}}\\p{{N}}_]+')"
 
 
-def spans_by_tokens(texts: str, terms: str) -> str:
-    """Spans of terms as runs of whole tokens: every run of every text against every term."""
-    return f"""WITH texts AS ({texts}), terms AS (SELECT DISTINCT list_transform({tokens_of('term')}, lambda t: lower(t)) AS term FROM ({terms}) WHERE length(term) > 0),
-      cut AS (SELECT r, doc_id, list_transform(t, lambda x: lower(x)) AS low, list_prepend(0, list_transform(range(1, len(t) + 1), lambda i: length(array_to_string(t[1:i], '')))) AS ats
-              FROM (SELECT row_number() OVER () AS r, doc_id, {tokens_of('text')} AS t FROM texts)),
-      runs AS (SELECT r, doc_id, i, n, low[i:i + n - 1] AS run FROM cut, (SELECT DISTINCT len(term) AS n FROM terms), unnest(range(1, len(low) - n + 2)) AS s(i))
-      SELECT doc_id, CAST(ats[i] AS INTEGER) AS start_at, CAST(ats[i + n] AS INTEGER) AS end_at FROM runs JOIN terms ON term = run JOIN cut USING (r, doc_id)
-      WHERE (regexp_matches(run[1], '^{WORD}') OR i > 1) AND (regexp_matches(run[-1], '^{WORD}') OR i + n <= len(low))"""
+def spans_by_tokens(texts: str, terms: str, most: int) -> str:
+    """Spans of terms of up to `most` tokens as runs of whole tokens: every run of every text against every term."""
+    runs = " UNION ALL ".join(
+        f"SELECT doc_id, place, first, {' || '.join(['t0', *[f't{k}' for k in range(1, n)]])} AS run, {f't{n - 1}'} AS last, t{n} AS beyond FROM wide"
+        for n in range(1, most + 1))
+    leads = ", ".join(f"lead(low, {k}) OVER w AS t{k}" for k in range(1, most + 1))
+    return f"""WITH texts AS ({texts}), terms AS (SELECT DISTINCT lower(term) AS term FROM ({terms}) WHERE length(term) > 0),
+      tokens AS (SELECT r, doc_id, unnest(t) AS t, generate_subscripts(t, 1) AS i
+        FROM (SELECT row_number() OVER () AS r, doc_id, {tokens_of('text')} AS t FROM texts)),
+      wide AS (SELECT doc_id, low AS t0, {leads}, sum(length(low)) OVER w - length(low) AS place, i = 1 AS first
+        FROM (SELECT r, doc_id, i, lower(t) AS low FROM tokens) WINDOW w AS (PARTITION BY r ORDER BY i)),
+      runs AS ({runs})
+      SELECT doc_id, CAST(place AS INTEGER) AS start_at, CAST(place + length(run) AS INTEGER) AS end_at FROM runs JOIN terms ON term = run
+      WHERE (regexp_matches(run, '^{WORD}') OR NOT first) AND (regexp_matches(last, '^{WORD}') OR beyond IS NOT NULL)"""
 
 
 PLANTED = """array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: x || ' ' || {terms}[(((i - 1) * 7 + doc_id) % {n}) + 1]
     || CASE WHEN (i - 1) % 3 = 0 THEN '.' ELSE ' ' END), chr(10))"""
 ALL_TERMS = "[" + ", ".join(quoted(t) for t in SKILL_LEXICON) + "]"
 LEXICON_IN_DOCUMENTS = spans_by_tokens(
-    f"SELECT doc_id, {PLANTED.format(terms=ALL_TERMS, n=len(SKILL_LEXICON))} AS text FROM documents", f"SELECT unnest({ALL_TERMS}) AS term")
+    f"SELECT doc_id, {PLANTED.format(terms=ALL_TERMS, n=len(SKILL_LEXICON))} AS text FROM documents", f"SELECT unnest({ALL_TERMS}) AS term", 5)
 ITEM_WORDS = "SELECT string_split(trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')), ' ') AS w FROM benchmark"
 LEXICON_TABLE = spans_by_tokens(
     "SELECT doc_id, text FROM documents WHERE text IS NOT NULL",
-    f"SELECT unnest(w) AS term FROM ({ITEM_WORDS}) UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM ({ITEM_WORDS}), unnest(range(1, len(w))) AS s(i) WHERE w[i] <> w[i + 1]")
+    f"SELECT unnest(w) AS term FROM ({ITEM_WORDS}) UNION ALL SELECT w[i] || ' ' || w[i + 1] FROM ({ITEM_WORDS}), unnest(range(1, len(w))) AS s(i) WHERE lower(w[i]) <> lower(w[i + 1])", 3)
 
 
 def sql(body: str, *ctes: str, extra: str = "") -> str:

@@ -224,7 +224,7 @@ def lexicon_in_documents(spark, d):
 def lexicon_table(spark, d):
     """Words and pairs of different neighbouring words of all benchmark items, looked for in all documents."""
     words = F.split(F.trim(F.regexp_replace("text", "[^A-Za-z0-9]+", " ")), " ")
-    places = F.filter(F.slice(F.sequence(F.lit(1), F.size(words)), F.lit(1), F.size(words) - 1), lambda i: F.get(words, i - 1) != F.get(words, i))
+    places = F.filter(F.slice(F.sequence(F.lit(1), F.size(words)), F.lit(1), F.size(words) - 1), lambda i: F.lower(F.get(words, i - 1)) != F.lower(F.get(words, i)))
     pairs = F.transform(places, lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)))
     terms = table(spark, d, "benchmark").select(F.explode(F.concat(words, pairs)).alias("term"))
     docs = table(spark, d, "documents").select("doc_id", "text")
