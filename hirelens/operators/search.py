@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from hirelens.fixed_values import NO_TEXT, SALARY_BANDS
 from hirelens.functions.salary import in_band, salary_band
 from hirelens.functions.text import is_single_city
+from hirelens.workspace import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -76,7 +78,7 @@ def jobs_with_skill(tables: Tables, skill: str) -> DataFrame:
     return tables["job_skills"].join(wanted, "skill_id", "left_semi").select("job_id")
 
 
-def search(
+def search_ids(
     tables: Tables,
     group: str | None = None,
     skill: str | None = None,
@@ -86,10 +88,9 @@ def search(
     keyword: str | None = None,
     ignore_accents: bool = False,
 ) -> DataFrame:
-    """Jobs that meet every given criterion, earliest deadline first, no deadline before any.
+    """(id, deadline) of the jobs that meet every given criterion; a criterion left out does not filter.
 
-    `salary` names a band of SALARY_BANDS. A criterion left out does not filter. The result has
-    the posting's texts and its sorted skill names, an empty array for none.
+    `salary` names a band of SALARY_BANDS. Texts are read for a keyword only, and none is carried on.
     """
     jobs = tables["jobs"]
     groups = tables["skill_groups"].select(F.col("id").alias("group_id"), F.col("name").alias("group_name"))
@@ -103,26 +104,61 @@ def search(
         jobs = jobs.filter(in_band(F.col("salary_normalized"), *SALARY_BANDS[salary]))
     if skill is not None:
         jobs = jobs.join(jobs_with_skill(tables, skill), F.col("id") == F.col("job_id"), "left_semi")
-
-    details = tables["job_details"].select(
-        F.col("job_id").alias("id"), "description", "requirements", "benefits")
-    jobs = jobs.join(groups, "group_id")
-    found = jobs.select(*JOB_COLUMNS, "group_name").join(details, "id", "left")
+    jobs = jobs.join(groups, "group_id", "left_semi")
     if keyword:
-        found = search_keyword(found, keyword, ignore_accents)
+        details = tables["job_details"].select(F.col("job_id").alias("id"), "description")
+        jobs = search_keyword(jobs.select("id", "deadline", "title").join(details, "id", "left"), keyword, ignore_accents)
+    return jobs.select("id", "deadline")
+
 
-    if keyword or any(c is not None for c in (group, skill, location, experience, salary)):
-        # Only the skills of jobs that can still be in the result are worth grouping.
-        wanted = (found if keyword else jobs).select(F.col("id").alias("job_id"))
-        tables = {**tables, "job_skills": tables["job_skills"].join(wanted, "job_id", "left_semi")}
-    lists = job_skill_lists(tables).withColumnRenamed("job_id", "id")
+def fetch(tables: Tables, ids: DataFrame) -> DataFrame:
+    """The jobs with these ids: their columns and group, texts, and sorted skill names, an empty array for none."""
+    wanted = ids.select("id")
+    groups = tables["skill_groups"].select(F.col("id").alias("group_id"), F.col("name").alias("group_name"))
+    details = tables["job_details"].select(F.col("job_id").alias("id"), "description", "requirements", "benefits").join(wanted, "id", "left_semi")
+    # Only the skills of these jobs are worth grouping.
+    skills = tables["job_skills"].join(wanted.withColumnRenamed("id", "job_id"), "job_id", "left_semi")
+    lists = job_skill_lists({**tables, "job_skills": skills}).withColumnRenamed("job_id", "id")
+    found = tables["jobs"].join(wanted, "id", "left_semi").join(groups, "group_id").select(*JOB_COLUMNS, "group_name")
     return (
-        found.join(lists, "id", "left")
+        found.join(details, "id", "left").join(lists, "id", "left")
         .withColumn("skills", F.coalesce("skills", F.array().cast("array<string>")))
-        .orderBy(F.asc_nulls_first("deadline"), "id")
     )
 
 
+def _in_order(found: DataFrame) -> DataFrame:
+    return found.orderBy(F.asc_nulls_first("deadline"), "id")
+
+
+def search(tables: Tables, **criteria) -> DataFrame:
+    """Jobs that meet every given criterion of `search_ids`, earliest deadline first, no deadline before any.
+
+    The result has the posting's texts and its sorted skill names. Who shows a page at a time had better use `search_page`.
+    """
+    if all(value is None or value in ("", False) for value in criteria.values()):
+        return _in_order(fetch(tables, tables["jobs"]))
+    ids = search_ids(tables, **criteria)
+    # With a keyword the texts are read for the ids once, and not again for each table.
+    return _in_order(fetch(tables, stage(ids, "ids") if criteria.get("keyword") else ids))
+
+
+def search_page(tables: Tables, size: int = 20, after: tuple[datetime.date | None, object] | None = None, **criteria) -> DataFrame:
+    """The next `size` jobs of `search` behind the job with the given (deadline, id), from the start without.
+
+    Ids and deadlines are found and cut to the page first; texts and skills are fetched for the page only, and no job before
+    it is sorted again.
+    """
+    found = search_ids(tables, **criteria)
+    if after is not None:
+        day, last = after
+        if day is None:
+            found = found.filter(F.col("deadline").isNotNull() | (F.col("id") > last))
+        else:
+            found = found.filter((F.col("deadline") > F.lit(day)) | ((F.col("deadline") == F.lit(day)) & (F.col("id") > last)))
+    page = stage(_in_order(found).limit(size), "page")
+    return _in_order(fetch(tables, page))
+
+
 def as_shown(found: DataFrame) -> DataFrame:
     """Search result with missing texts named as such and the skills in one text."""
     texts = {c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(NO_TEXT))

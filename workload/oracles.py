@@ -566,6 +566,9 @@ ORACLES: dict[str, str] = {
     "search_band": found_jobs("salary_normalized >= 10000000 AND salary_normalized < 20000000"),
     "search_skill": found_jobs("""(title ILIKE '%1-urgent%' OR description ILIKE '%1-urgent%')
         AND EXISTS (SELECT 1 FROM skill_rows r WHERE r.job_id = c.job_id AND r.name = 'Git')"""),
+    "search_pages": found_jobs("c.grp = 'MACHINERY' AND salary_normalized >= 10000000 AND salary_normalized < 20000000"),
+    "keyword_lists": star("SELECT job_id, title FROM cleaned WHERE title ILIKE '%1-urgent%' OR description ILIKE '%1-urgent%'"),
+    "keyword_lists_pattern": star("SELECT job_id, title FROM cleaned WHERE title ILIKE '%_rder o%high%' OR description ILIKE '%_rder o%high%'"),
     # sources and sinks
     "flatten_blocks": sql(BLOCK_ROWS, "postings", "block_years"),
     "read_blocks": sql(BLOCK_ROWS, "postings", "block_years"),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions import dates, pages, salary, skills, text
-from hirelens.operators import analyses, labels, lexicon, links, profile, quality, search
+from hirelens.operators import analyses, keyword_index, labels, lexicon, links, profile, quality, search
 from hirelens.operators import pages as layouts
 from hirelens.operators.pages import PageLayout, Pairs
 from hirelens.operators.pages import extract_postings as page_postings
@@ -619,6 +619,35 @@ def search_skill(spark, d):
     return _result(search.search(model_tables(spark, d), skill="Git", keyword="1-urgent"))
 
 
+@query
+def search_pages(spark, d):
+    """All jobs of a band and group, page after page."""
+    tables, after, shown = model_tables(spark, d), None, []
+    size = max(1, -(-search.search_ids(tables, group="MACHINERY", salary="10 - 20 triệu").count() // 4))
+    for _ in range(4):
+        page = search.search_page(tables, size, after, group="MACHINERY", salary="10 - 20 triệu")
+        shown.append(page)
+        last = page.select("deadline", "id").collect()[-1:]  # one page
+        after = (last[0].deadline, last[0].id) if last else after
+    return _result(reduce(DataFrame.unionByName, shown))
+
+
+def _indexed(spark, d, keyword: str) -> DataFrame:
+    tables, path = model_tables(spark, d), new_dir(spark, "keywords")
+    keyword_index.build_index(tables, path)
+    return keyword_index.jobs_with_keyword(tables, path, keyword).withColumnRenamed("id", "job_id")
+
+
+@query
+def keyword_lists(spark, d):
+    return _indexed(spark, d, "1-URgent")
+
+
+@query
+def keyword_lists_pattern(spark, d):
+    return _indexed(spark, d, "_rder o%high")
+
+
 # ---- sources and sinks
 
 
