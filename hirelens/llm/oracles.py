@@ -45,25 +45,28 @@ ratios AS (
     UNION ALL SELECT r, lang, 'repeats', n_repeat_words, n_words FROM c
     UNION ALL SELECT r, lang, 'capitals', n_capitals, word_chars FROM c
     UNION ALL SELECT r, lang, 'shouts', n_shouts, n_words FROM c),
+path AS (SELECT rule, t, floor(middle * pow(2, (16 - t) / 4.0::DOUBLE)) AS cut
+    FROM (VALUES ('symbols', 100), ('dup_lines', 300), ('repeats', 200), ('capitals', 250), ('shouts', 50)) AS v(rule, middle), unnest(range(0, 33)) AS s(t)),
 steps AS (SELECT r, coalesce(lang, '') AS lang, rule, CASE WHEN b > 0 THEN least((a * 1000 + b - 1) // b, 20000) ELSE 0 END AS pos FROM ratios),
-hist AS (
-    SELECT steps.lang, rule, pos, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality <> 1) AS bad
-    FROM steps JOIN c USING (r) JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY ALL),
+levels AS (SELECT r, lang, min(coalesce(t, 33)) AS level
+    FROM (SELECT steps.r, steps.lang, steps.rule, min(t) AS t FROM steps LEFT JOIN path ON path.rule = steps.rule AND cut < pos GROUP BY ALL) GROUP BY ALL),
+holdouts AS (SELECT levels.lang, level, quality FROM levels JOIN c USING (r) JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+langs AS (SELECT lang, count(*) FILTER (quality = 1) AS n FROM holdouts GROUP BY lang),
+strata AS (SELECT lang, CASE WHEN pow(0.95, n) > 0.05 / (SELECT count(*) FROM langs) THEN '(pool)' ELSE lang END AS stratum FROM langs),
+hist AS (SELECT stratum, level, count(*) FILTER (quality = 1) AS good, count(*) FILTER (quality <> 1) AS bad FROM holdouts JOIN strata USING (lang) GROUP BY ALL),
 tails AS (
-    SELECT lang, rule, pos, sum(good) OVER every AS n_good, sum(bad) OVER every AS n_bad,
-        coalesce(sum(good) OVER above, 0) AS good_out, coalesce(sum(bad) OVER above, 0) AS bad_out
-    FROM hist WINDOW every AS (PARTITION BY lang, rule),
-        above AS (PARTITION BY lang, rule ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-totals AS (SELECT lang, sum(good) AS n FROM hist WHERE rule = 'symbols' GROUP BY lang),
+    SELECT stratum, level, sum(good) OVER every AS n_good, sum(bad) OVER every AS n_bad, sum(good) OVER upto AS good_out, sum(bad) OVER upto AS bad_out
+    FROM hist WINDOW every AS (PARTITION BY stratum), upto AS (PARTITION BY stratum ORDER BY level)),
+totals AS (SELECT stratum, sum(good) AS n FROM hist GROUP BY stratum),
 cdf AS (
-    SELECT lang, i, sum(exp(lgamma(n + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(n - i + 1)
-        + i * ln(0.01) + (n - i) * ln(0.99))) OVER (PARTITION BY lang ORDER BY i) AS p
-    FROM totals, unnest(range(0, CAST(floor(n * 0.01) AS BIGINT) + 1)) AS s(i)),
-limits AS (SELECT lang, max(i) AS k FROM cdf WHERE p <= 0.05 / (5 * (SELECT count(*) FROM totals)) GROUP BY lang),
-gains AS (SELECT lang, rule, pos, bad_out / n_bad - good_out / n_good AS gain
-    FROM tails JOIN limits USING (lang) WHERE good_out <= k AND n_bad > 0),
-cuts AS (SELECT lang, rule, arg_max(pos, (gain, pos)) AS cut FROM gains WHERE gain > 0 GROUP BY lang, rule),
-broken AS (SELECT DISTINCT r FROM steps JOIN cuts USING (lang, rule) WHERE pos > cut)
+    SELECT stratum, i, sum(exp(lgamma(n + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(n - i + 1)
+        + i * ln(0.05) + (n - i) * ln(0.95))) OVER (PARTITION BY stratum ORDER BY i) AS p
+    FROM totals, unnest(range(0, CAST(floor(n * 0.05) AS BIGINT) + 1)) AS s(i)),
+limits AS (SELECT stratum, max(i) AS k FROM cdf WHERE p <= 0.05 / (SELECT count(*) FROM langs) GROUP BY stratum),
+gains AS (SELECT stratum, level, bad_out / greatest(n_bad, 1) - good_out / greatest(n_good, 1) AS gain
+    FROM tails JOIN limits USING (stratum) WHERE good_out <= k AND level < 33),
+cuts AS (SELECT stratum, arg_min(level, (-gain, level)) AS cut FROM gains WHERE gain > 0 GROUP BY stratum),
+broken AS (SELECT r FROM levels JOIN strata USING (lang) JOIN cuts USING (stratum) WHERE level <= cut)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND broken.r IS NULL AS kept

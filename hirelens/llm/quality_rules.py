@@ -1,15 +1,17 @@
 """Quality rules with cutoffs that labelled holdouts certify.
 
-Every rule is a ratio of two counts of a text, in steps of a fixed grid. For each stratum and rule
-the good holdouts say how many of them a cutoff rejects. With n good holdouts, the exact binomial
-test allows a cutoff that rejects at most k of them, where k is the largest count with
-P(Bin(n, limit) <= k) <= error: were the true false rejection above the limit, so few rejections
-would be that unlikely. Cutoffs are tested from the most lenient one on, so that the tests of one
-rule need no further correction; strata and rules share limit and error evenly (Bonferroni). Among
-the certified cutoffs the one that parts bad from good holdouts best is taken, or none.
+Every rule is a ratio of two counts of a text, in steps of a fixed grid. The cutoffs of all rules go together along one
+path of levels that is fixed beforehand, from lenient to strict; a text's level is the first at which some rule rejects it. For each stratum the
+good holdouts say how many of them a level rejects. With n good holdouts, the exact binomial test allows a level that
+rejects at most k of them, where k is the largest count with P(Bin(n, limit) <= k) <= error: were the true false
+rejection above the limit, so few rejections would be that unlikely. Levels are tested from the most lenient one on, up to the first
+that fails, so the tests of one path need no further correction (fixed sequence), and the limit holds for all rules together. Strata share
+the error evenly (Bonferroni). Among the certified levels the one that parts bad from good holdouts best is taken, or none.
+
+Strata with too few good holdouts to certify anything are pooled into one, for which the limit then holds as a whole.
 
 Nulls and empty texts have no words: all counts are 0. A stratum may be null and is then one of its
-own. Too few holdouts, or none, certify no cutoff, and the rule stays off. Repeated rows are
+own. If even the pool has too few holdouts, or there are none, its rules stay off. Repeated rows are
 judged row by row; a label row counts for every document row with its id.
 """
 
@@ -35,11 +37,15 @@ RULES = {
     "capitals": ("n_capitals", "word_chars"),
     "shouts": ("n_shouts", "n_words"),
 }
+#: The ratios in thousandths at the middle of the path, and its levels: four of them halve all cutoffs.
+MIDDLE = {"symbols": 100, "dup_lines": 300, "repeats": 200, "capitals": 250, "shouts": 50}
+LEVELS = 33
+PATH = {rule: [int(m * 2 ** ((LEVELS // 2 - t) / 4)) for t in range(LEVELS)] for rule, m in MIDDLE.items()}
 
 
 @dataclass(frozen=True)
 class Risk:
-    """`limit`: false rejections allowed in a stratum, as a share of its good documents; `error`: the
+    """`limit`: false rejections of all rules together allowed in a stratum, as a share of its good documents; `error`: the
     chance that any of these promises fails; `steps`: grid steps in 1; `highest`: last step of the grid."""
 
     limit: float = 0.05
@@ -120,44 +126,52 @@ def allowed(n: Column, limit: float, error: Column) -> Column:
     return F.aggregate(steps, state, advance, lambda a: a["k"])
 
 
+def levels(risk: Risk) -> dict[str, Column]:
+    """For each rule the first level of the path that rejects the text, LEVELS if none does."""
+    def first(rule: str) -> Column:
+        at = step(rule, risk)
+        return F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in PATH[rule]]), lambda c: c >= at))
+
+    return {rule: first(rule) for rule in RULES}
+
+
 def cutoffs(holdouts: DataFrame, stratum: str, good: str = "good", risk: Risk = Risk()) -> DataFrame:
-    """One row per stratum with the certified cutoff of each rule, in grid steps; null where a rule is off.
+    """(stratum, level): the certified level of each stratum that has holdouts; null where its rules are off.
 
-    `holdouts` has the columns of COUNTS, the stratum and a boolean. Its rows are counted per step
-    before anything is shuffled, so a row group of the result is at most a grid long.
+    `holdouts` has the columns of COUNTS, the stratum and a boolean. Its rows are counted per level
+    before anything is shuffled, so a row group of the result is at most a path long.
     """
-    tests = F.explode(F.create_map(*[x for r in RULES for x in (F.lit(r), step(r, risk))])).alias("rule", "at")
-    seen = holdouts.filter(F.col(good).isNotNull()).select(F.col(stratum).alias("stratum"), good, tests).groupBy(
-        "stratum", "rule", "at").agg(
+    seen = holdouts.filter(F.col(good).isNotNull()).select(
+        F.col(stratum).alias("stratum"), good, F.least(*levels(risk).values()).alias("at")).groupBy("stratum", "at").agg(
         F.count_if(F.col(good)).alias("good"), F.count_if(~F.col(good)).alias("bad"))
-    whole = Window.partitionBy("stratum", "rule")
-    above = whole.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
-    tails = seen.select(
-        "stratum", "rule", "at", F.sum("good").over(whole).alias("n_good"), F.sum("bad").over(whole).alias("n_bad"),
-        F.coalesce(F.sum("good").over(above), F.lit(0)).alias("good_out"),
-        F.coalesce(F.sum("bad").over(above), F.lit(0)).alias("bad_out"))
-    totals = seen.filter(F.col("rule") == next(iter(RULES))).groupBy("stratum").agg(F.sum("good").alias("n"))
-    strata = totals.agg(F.count(F.lit(1)).alias("strata"))
-    share = risk.limit / len(RULES)
-    limits = totals.withColumn("_error", F.lit(risk.error) / (strata.scalar() * len(RULES))).select(
-        F.col("stratum").alias("_stratum"), allowed(F.col("n"), share, F.col("_error")).alias("allowed"))
+    totals = seen.groupBy("stratum").agg(F.sum("good").alias("n"))
+    totals = totals.withColumn("error", F.lit(risk.error) / totals.agg(F.count(F.lit(1)).alias("strata")).scalar())
+    # Null is a stratum, too, so the pool is told by a column of its own.
+    pooled = totals.select(F.col("stratum").alias("_own"), "error", (allowed(F.col("n"), risk.limit, F.col("error")) < 0).alias("pooled"))
+    counted = seen.join(pooled, F.col("stratum").eqNullSafe(F.col("_own"))).withColumn(
+        "name", F.when(~F.col("pooled"), F.col("stratum"))).groupBy("pooled", "name", "error", "at").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    whole = Window.partitionBy("pooled", "name")
+    upto = whole.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    tails = counted.select(
+        "pooled", "name", "error", "at", F.sum("good").over(whole).alias("n_good"), F.sum("bad").over(whole).alias("n_bad"),
+        F.sum("good").over(upto).alias("good_out"), F.sum("bad").over(upto).alias("bad_out"))
     share_of = lambda part, all_: F.col(part) / F.greatest(F.col(all_), F.lit(1))
     gain = share_of("bad_out", "n_bad") - share_of("good_out", "n_good")
-    best = tails.join(limits, F.col("stratum").eqNullSafe(F.col("_stratum"))).filter(
-        (F.col("good_out") <= F.col("allowed")) & (F.col("n_bad") > 0)).select("stratum", "rule", "at", gain.alias("gain"))
-    chosen = best.filter(F.col("gain") > 0).groupBy("stratum", "rule").agg(
-        F.max(F.struct("gain", "at"))["at"].alias("cutoff"))
-    return chosen.groupBy("stratum").agg(*[
-        F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES])
+    # Rejections grow along the path, so the levels up to the first that fails are those within the bound.
+    best = tails.filter((F.col("at") < LEVELS) & (F.col("good_out") <= allowed(F.col("n_good"), risk.limit, F.col("error"))) & (gain > 0)).groupBy(
+        "pooled", "name").agg(F.min(F.struct((-gain).alias("loss"), "at"))["at"].alias("level"))
+    own, found = pooled.withColumn("name", F.when(~F.col("pooled"), F.col("_own"))), best.withColumnsRenamed({"pooled": "_pooled", "name": "_name"})
+    return own.join(found, (F.col("pooled") == F.col("_pooled")) & F.col("name").eqNullSafe(F.col("_name")), "left").select(
+        F.col("_own").alias("stratum"), "level")
 
 
 def verdicts(counted: DataFrame, cuts: DataFrame, stratum: str, risk: Risk = Risk()) -> DataFrame:
     """Add `base_failed`, `rejected_by` (names of the rules above their cutoff) and `kept`."""
-    joined = counted.join(cuts.withColumnRenamed("stratum", "_stratum"), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-    broken = F.array_compact(F.array(*[F.when(step(r, risk) > F.col(f"cut_{r}"), F.lit(r)) for r in RULES]))
+    joined = counted.join(cuts.withColumnsRenamed({"stratum": "_stratum", "level": "_level"}), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    broken = F.array_compact(F.array(*[F.when(at <= F.col("_level"), F.lit(r)) for r, at in levels(risk).items()]))
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return joined.withColumn("base_failed", base).withColumn("rejected_by", broken).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("_stratum", *[f"cut_{r}" for r in RULES])
+        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("_stratum", "_level")
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: Risk = Risk()) -> DataFrame:

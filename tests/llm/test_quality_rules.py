@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 from math import comb
@@ -54,3 +55,49 @@ def test_without_labels_or_documents(spark):
     judged = quality_rules.judge(documents(spark), none).collect()
     assert len(judged) == len(rows(texts())) and not any(r.rejected_by for r in judged)
     assert quality_rules.judge(nothing(spark), none).count() == 0
+
+
+def holdouts(spark, rows):
+    """(stratum, thousandths of symbols, good) as texts of 1,000 words."""
+    zero = [F.lit(0).cast("long").alias(c) for c in quality_rules.COUNTS if c not in ("n_words", "n_symbols")]
+    return spark.createDataFrame(rows, "lang string, n_symbols long, good boolean").select(
+        "*", F.lit(1000).cast("long").alias("n_words"), *zero)
+
+
+def test_the_limit_holds_in_simulations(spark):
+    """Many strata, each a draw of 150 good holdouts: seldom has the level taken a true false rejection above the limit."""
+    rng, strata, n, path = random.Random(4), 400, 150, quality_rules.PATH["symbols"]
+    tops = [60 + 10 * (k % 40) for k in range(strata)]  # good texts have 0 to `top` symbols, all equally likely
+    rows = [(f"s{k:03d}", rng.randint(0, tops[k]), True) for k in range(strata) for _ in range(n)]
+    rows += [(f"s{k:03d}", 3000 + rng.randint(0, 5), False) for k in range(strata) for _ in range(3)]
+    rows += [(f"s{k:03d}", rng.randint(0, tops[k]), False) for k in range(strata) for _ in range(40)]
+    risk = quality_rules.Risk(limit=0.05, error=0.1 * strata)  # a tenth for each stratum
+    found = {r.stratum: r.level for r in quality_rules.cutoffs(holdouts(spark, rows), "lang", risk=risk).collect()}
+    wrong = sum(found[f"s{k:03d}"] is not None and max(0, top - path[found[f"s{k:03d}"]]) / (top + 1) > 0.05 for k, top in enumerate(tops))
+    assert len(found) == strata and all(v is not None for v in found.values())
+    assert wrong <= 0.1 * strata + 3 * (strata * 0.09) ** 0.5
+
+
+def test_levels_follow_the_path(spark):
+    rows = [("x", v, True) for v in (0, 3, 6, 7, 100, 101, 1600, 1601, 19_000)]
+    at = quality_rules.levels(quality_rules.Risk())["symbols"]
+    found = {r.n_symbols: r.at for r in holdouts(spark, rows).select("n_symbols", at.alias("at")).collect()}
+    path = quality_rules.PATH["symbols"]
+    assert found == {v: next((t for t, c in enumerate(path) if v > c), quality_rules.LEVELS) for _, v, _ in rows}
+    assert path == sorted(path, reverse=True) and (path[0], path[16], path[32]) == (1600, 100, 6)
+
+
+def test_small_strata_are_pooled(spark):
+    rows = [(lang, 0, True) for lang in ("a", "b", None) for _ in range(40)] + [("c", 0, True)] * 200
+    rows += [(lang, 900, False) for lang in ("a", None, "c", "d") for _ in range(5)]
+    found = {r.stratum: r.level for r in quality_rules.cutoffs(holdouts(spark, rows), "lang").collect()}
+    # 40 good holdouts certify nothing alone, 120 do; `d` has none and is part of the pool.
+    assert found == dict.fromkeys(["a", "b", "c", "d", None], 4)
+    few = {r.stratum: r.level for r in quality_rules.cutoffs(holdouts(spark, rows).filter("lang in ('a', 'd')"), "lang").collect()}
+    assert few == {"a": None, "d": None}
+
+
+def test_good_holdouts_stop_the_path(spark):
+    rows = [("a", 120, True)] * 30 + [("a", 0, True)] * 270 + [("a", 110, False)] * 50 + [("a", 800, False)] * 3
+    (r,) = quality_rules.cutoffs(holdouts(spark, rows), "lang").collect()
+    assert quality_rules.PATH["symbols"][r.level] >= 120

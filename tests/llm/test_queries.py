@@ -52,6 +52,12 @@ def test_language_model_beats_the_base_on_held_out_rows(spark):
     assert r[0] > r[1]
 
 
+def test_quality_rules_act_beyond_the_base(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op4_quality_rules"](spark, MIDDLE).filter("not kept and not base_failed").join(docs, "doc_id")
+    assert found.count() > 0 and found.select("lang").distinct().count() > 1
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "decontamination", "personal_data", "mixing"]
