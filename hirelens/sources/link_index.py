@@ -10,13 +10,14 @@ of the new keys with rows of 36 bytes, which say which buckets of which days may
 from __future__ import annotations
 
 import datetime
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators.links import link_key
-from hirelens.workspace import exists, listed, remove, stage, unstage
+from hirelens.workspace import exists, listed, read_text, remove, stage, unstage, write_new
 
 KEY = "_key"
 WORDS = ["w0", "w1", "w2", "w3"]
@@ -42,19 +43,28 @@ def _masks() -> list[Column]:
 class LinkIndex:
     """The index below `path`.
 
-    `buckets` and `blocks` hold for the index's whole life; a block should get about 16 keys of a day. More keys only make more
-    buckets look as if they held one: what is known is decided by the keys themselves.
+    `buckets` and `blocks` are those given when the index is made, for its whole life; a bucket should get some thousand keys of a day, and
+    a block about 16. More keys only make more buckets look as if they held one: what is known is decided by the keys themselves.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, blocks: int = 1 << 14) -> None:
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16, blocks: int = 1 << 14) -> None:
         if blocks % buckets:
             raise ValueError("blocks must be a multiple of buckets")
         self.spark, self.path, self.buckets, self.blocks = spark, path, buckets, blocks
+        self.made = exists(spark, self._settings())
+        if self.made:
+            self.buckets, self.blocks = json.loads(read_text(spark, self._settings()))
+
+    def _settings(self) -> str:
+        return f"{self.path}/settings.json"
 
     def _folder(self, kind: str, day: datetime.date) -> str:
         return f"{self.path}/{kind}/crawl_date={day.isoformat()}"
 
     def _write(self, day: datetime.date, keys: DataFrame, mode: str) -> None:
+        if not self.made:
+            write_new(self.spark, self._settings(), json.dumps([self.buckets, self.blocks]))
+            self.made = True
         placed = stage(keys.select(KEY).distinct().withColumn("block", _place(self.blocks)), "keys")
         filters = placed.select("block", *[m.alias(w) for m, w in zip(_masks(), WORDS)]).groupBy("block").agg(*[F.bit_or(w).alias(w) for w in WORDS])
         # The filters follow the keys: a run that is cut off in between is repeated by its caller.

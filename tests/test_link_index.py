@@ -70,6 +70,8 @@ def test_a_day_is_replaced_extended_and_left_out(spark, tmp_path):
     assert known("d") == [] and index.has_day(DAY)
     with pytest.raises(ValueError):
         LinkIndex(spark, "x", buckets=3, blocks=64)
+    again = LinkIndex(spark, index.path, buckets=32, blocks=128)
+    assert (again.buckets, again.blocks) == (4, 64)  # as it was made
 
 
 def test_crowded_blocks_lose_nothing(spark, tmp_path):
