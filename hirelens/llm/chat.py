@@ -242,9 +242,9 @@ def left(joints: dict[int, Joint], rows: list) -> dict[int, Joint]:
 
     `told` has, for each state after its last turn in the block, the state before its first one; then the best state to end in.
     """
-    out, before = dict(joints), -1
+    out, before, firsts = dict(joints), -1, {r["block"]: r for r in rows if r["first"]}
     for block in sorted(joints, reverse=True):
-        first = next(r for r in rows if r["block"] == block and r["first"])
+        first = firsts[block]
         if out[block].going_on:
             out[block] = replace(out[block], leave=before)
         ends_in = out[block].leave if first["only"] and out[block].going_on else int(first["told"][4])

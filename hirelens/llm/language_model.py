@@ -189,17 +189,20 @@ class Counts:
 
 
 def frequent(counts: DataFrame, shape: Shape) -> Counts:
-    """The words above the least count that at most `common` words reach, found on a scale of 16 steps per doubling."""
+    """The `common` most frequent words, ties in the order of their bytes; their least count is found on a scale of 16 steps per doubling."""
     words = counts.filter("word is not null")
     step = F.floor(F.log2("n") * 16).cast("int")
     scale = words.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).orderBy(F.desc("step")).collect()
-    reached, least = 0, 1 << 30
+    reached, least, cut = 0, 1 << 30, None
     for r in scale:
         if reached + r.k > shape.common:
+            cut = r.step
             break
         reached, least = reached + r.k, r.step
     ends = next((r.n for r in counts.filter("word is null").collect()), 0)
     rows = words.filter(step >= least).collect()  # at most `common`
+    if cut is not None:  # the rest from the step that does not fit as a whole
+        rows += words.filter(step == cut).orderBy(F.desc("n"), "word").limit(shape.common - reached).collect()
     common = dict(sorted(((bytes(r.word), r.n) for r in rows), key=lambda x: (-x[1], x[0])))
     of_words, types = sum(r.n for r in scale), sum(r.k for r in scale)
     head = list(common.values())[:shape.head]
@@ -244,7 +247,7 @@ def train(scratch: Scratch, seen: dict[str, np.ndarray], shape: Shape) -> Weight
     contexts = scratch.keep(_numbers(spark, pairs, seen["context"].ravel()[pairs]), "contexts")
     weights = Weights.zero(shape)
     for _ in range(shape.updates if len(pairs) else 0):
-        sent = spark.sparkContext.broadcast(weights)
+        sent = spark.sparkContext.broadcast(dict(vars(weights)))  # arrays only, so workers need no copy of this package
         expected = collected(summed(contexts.mapInArrow(_expected(sent, shape), SCHEMA)), {k: sizes[k] for k in ("bias", "bigram", "skip", "trigram")})
         sent.unpersist()
         # The word table needs no contexts: how often each class follows a row is known.
@@ -265,7 +268,7 @@ def _numbers(spark, at: np.ndarray, n: np.ndarray) -> DataFrame:
 
 def _expected(sent, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, sums = sent.value, None
+        w, sums = Weights(**sent.value), None
         for batch in batches:
             if sums is None:
                 sums = {k: np.zeros(s) for k, s in Weights.shapes(shape).items() if k not in ("word", "within")}
@@ -304,10 +307,11 @@ SCORED = "row long, doc_id {kind}, n_tokens long, n_known long, base_score doubl
 def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most `common` words and the weights
+    # At most `common` words and the weights, as plain values and arrays.
+    sent = docs.sparkSession.sparkContext.broadcast([dict(vars(part)) for part in (model.shape, model.counts, model.weights)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model = Model(*(kind(**part) for kind, part in zip((Shape, Counts, Weights), sent.value)))
         shape, seen, number = model.shape, model.counts, model.number
         base_of = {w: float(np.log10((n + 0.5) / (seen.total + 0.5 * (seen.types + 1)))) for w, n in seen.common.items()}
         base_end = float(np.log10((seen.ends + 0.5) / (seen.total + 0.5 * (seen.types + 1))))

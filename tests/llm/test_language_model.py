@@ -1,5 +1,9 @@
+import os
+import subprocess
+import sys
 from collections import Counter
 from math import log10
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -112,3 +116,31 @@ def test_awkward_tables(spark):
     assert {r.train_tokens for r in found} == {0} and all(r.n_known == 0 for r in found)
     assert all(r.base_score == pytest.approx(0) for r in found)
     assert lm.score_all(nothing(spark), F.lit(True), SMALL).count() == 0
+
+
+def test_equal_counts_fill_the_head(spark):
+    docs = spark.createDataFrame([(" ".join(f"w{i:02d}" for i in range(60)) + " top top",)], "text string")
+    counts = lm.count_words(docs)
+    seen = lm.frequent(counts, lm.Shape(head=32, size=8, trigrams=64, rows=16, common=50, updates=1))
+    assert list(seen.common) == [b"top", *(f"w{i:02d}".encode() for i in range(49))]
+    assert (seen.total, seen.types, seen.other_types) == (63, 62, 61 - 32)
+    assert len(lm.frequent(counts, SMALL).common) == 40
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession, functions as F
+from hirelens.llm import language_model as lm
+spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate())
+docs = spark.createDataFrame([(i, "a b c a b d e " * (i + 1)) for i in range(10)], "doc_id long, text string")
+shape = lm.Shape(head=8, size=4, trigrams=16, rows=8, common=3, updates=2)
+print("rows:", lm.score_all(docs, F.col("doc_id") > 2, shape).filter("score < 0").count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    (tmp_path / "run.py").write_text(ELSEWHERE.format(repo=str(Path(__file__).resolve().parents[2])))
+    done = subprocess.run([sys.executable, "run.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows: 10" in done.stdout, done.stderr[-3000:]
