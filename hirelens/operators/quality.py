@@ -44,29 +44,37 @@ def too_long(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return df.filter(is_too_long(limits))
 
 
-def violations(tables: Tables) -> DataFrame:
-    """(rule, subject, offending_rows) for every constraint of the model."""
-    parts = []
+def counted(rule: str, subject: str, bad: DataFrame) -> DataFrame:
+    """(rule, subject, offending_rows) of one constraint."""
+    return (bad.agg(F.count("*").alias("offending_rows"))
+            .select(F.lit(rule).alias("rule"), F.lit(subject).alias("subject"), "offending_rows"))
 
-    def add(rule: str, subject: str, bad: DataFrame) -> None:
-        parts.append(bad.agg(F.count("*").alias("offending_rows"))
-                     .select(F.lit(rule).alias("rule"), F.lit(subject).alias("subject"), "offending_rows"))
 
-    for table, keys in UNIQUE_KEYS.items():
-        for key in keys:
-            add("unique", f"{table}({', '.join(key)})", duplicate_keys(tables[table], key))
-    for child, column, parent, _ in FOREIGN_KEYS:
-        add("foreign key", f"{child}.{column}", orphans(tables[child], column, tables[parent]))
+def row_violations(tables: Tables) -> list[DataFrame]:
+    """(rule, subject, offending_rows) of the constraints on single rows, one frame and one pass per table."""
+    parts = []
     for table, columns in REQUIRED.items():
-        # All rules on single rows of a table in one pass.
         rules = {"required": lacks_value(columns)}
         if table in MAX_LENGTHS:
             rules["length"] = is_too_long(MAX_LENGTHS[table])
-        counted = tables[table].agg(F.array(*[
+        counts = tables[table].agg(F.array(*[
             F.struct(F.lit(rule).alias("rule"), F.lit(table).alias("subject"), F.count_if(bad).alias("offending_rows"))
             for rule, bad in rules.items()]).alias("counts"))
-        parts.append(counted.select(F.inline("counts")))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(counts.select(F.inline("counts")))
+    return parts
+
+
+def unique_subject(table: str, key: Sequence[str]) -> str:
+    return f"{table}({', '.join(key)})"
+
+
+def violations(tables: Tables) -> DataFrame:
+    """(rule, subject, offending_rows) for every constraint of the model."""
+    unique = [counted("unique", unique_subject(table, key), duplicate_keys(tables[table], key))
+              for table, keys in UNIQUE_KEYS.items() for key in keys]
+    foreign = [counted("foreign key", f"{child}.{column}", orphans(tables[child], column, tables[parent]))
+               for child, column, parent, _ in FOREIGN_KEYS]
+    return reduce(DataFrame.unionByName, [*unique, *foreign, *row_violations(tables)])
 
 
 def delete_rows(tables: Tables, table: str, gone: DataFrame) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import strip
+from hirelens.plans.guard import ConstraintError, Guard
 from hirelens.sources.versions import FOLDER, CommitConflict, Versions
 from hirelens.workspace import at_once, listed, remove, size_of, stage, unstage
 
@@ -20,6 +21,8 @@ JOB_COLUMNS = [
     "salary_raw", "salary_normalized", "currency_unit",
 ]
 TEXT_COLUMNS = ["description", "requirements", "benefits"]
+# The folder of a saved model that holds the indexes of its keys.
+KEYS = "_keys"
 
 # monotonically_increasing_id() keeps the number of the partition above this many bits.
 ROW_BITS = 33
@@ -243,12 +246,20 @@ def _added(staged: DataFrame, old: Mapping[str, DataFrame], case_blind: bool) ->
     }, [new_groups, new_skills]
 
 
-def extend_star(postings: DataFrame, path: str, case_blind: bool = False, tries: int = 10) -> dict[str, DataFrame]:
+def guard(spark: SparkSession, path: str) -> Guard:
+    """The checks of what is added to a saved model; their indexes lie in the folder `_keys` of the model."""
+    return Guard(spark, f"{path}/{KEYS}", lambda part: _parts(spark, path, [part]))
+
+
+def extend_star(
+    postings: DataFrame, path: str, case_blind: bool = False, tries: int = 10, check: bool = False
+) -> dict[str, DataFrame]:
     """Add postings to a saved model and return it.
 
     Names and jobs that the model has keep their ids; only missing names, pairs and jobs are written, into a folder of
     their own, and become visible together. Loading the same postings again adds nothing. If another load commits in between, what is
-    missing is worked out again on top of it, up to `tries` times, so none of two loads is lost.
+    missing is worked out again on top of it, up to `tries` times, so none of two loads is lost. With `check` a load that would break a
+    constraint of the model raises ConstraintError and adds nothing; of the model only buckets of keys are read for that.
     """
     spark, versions = postings.sparkSession, Versions(postings.sparkSession, path)
     given = stage(with_job_ids(postings), "given")
@@ -262,8 +273,13 @@ def extend_star(postings: DataFrame, path: str, case_blind: bool = False, tries:
             for df in (staged, *scratch):
                 unstage(df)
             try:
+                if check:
+                    guard(spark, path).check(_parts(spark, path, [folder]), entry["parts"])
                 versions.commit(number, {"parts": [*entry["parts"], folder]})
                 return read_star(spark, path)
+            except ConstraintError:
+                remove(spark, f"{path}/{folder}")
+                raise
             except CommitConflict:
                 remove(spark, f"{path}/{folder}")
     finally:
@@ -297,8 +313,10 @@ def compact_star(spark: SparkSession, path: str, most: int = 8, tries: int = 10)
 
 def drop_unused(spark: SparkSession, path: str) -> list[str]:
     """Remove the folders that the present version does not have; call it only while nobody loads or reads an earlier one."""
-    used = {*current_parts(spark, path), FOLDER}
+    parts = current_parts(spark, path)
+    used = {*parts, FOLDER, KEYS}
     gone = sorted(name for name in listed(spark, path) if name not in used)
+    guard(spark, path).forget(parts)
     for name in gone:
         remove(spark, f"{path}/{name}")
     return gone

@@ -1,110 +1,48 @@
-"""A stored index of the links that every day brought, so that a new day reads only what it may share with others.
-
-    <path>/keys/crawl_date=D/bucket=B/     the keys that belong to the day, in hash buckets
-    <path>/filters/crawl_date=D/           (block, w0, w1, w2, w3): Bloom filters of the same keys, 256 bits a block
-
-A key's hash gives its block, and the block its bucket. All eight bits of a key lie in one block, so probing is one join
-of the new keys with rows of 36 bytes, which say which buckets of which days may hold one. Only these are read.
-"""
+"""The key index of the links that every day brought, so that a new day reads only what it may share with others."""
 
 from __future__ import annotations
 
 import datetime
-import json
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators.links import link_key
-from hirelens.workspace import exists, listed, read_text, remove, stage, unstage, write_new
-
-KEY = "_key"
-WORDS = ["w0", "w1", "w2", "w3"]
-PROBES = 8
-
-
-def _place(blocks: int) -> Column:
-    return F.pmod(F.xxhash64(KEY), F.lit(blocks)).cast("int")
-
-
-def _masks() -> list[Column]:
-    """The words of a block with the key's bits set."""
-    bits = F.xxhash64(F.lit("bits"), KEY)
-    words: list[list[Column]] = [[] for _ in WORDS]
-    for i in range(PROBES):
-        at = F.shiftrightunsigned(bits, 8 * i).bitwiseAND(F.lit(255)).cast("int")
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)))
-        for w, terms in enumerate(words):
-            terms.append(F.when(F.shiftright(at, 6) == w, one).otherwise(F.lit(0).cast("long")))
-    return [reduce(lambda a, b: a.bitwiseOR(b), terms) for terms in words]
+from hirelens.sources.key_index import KEY, KeyIndex
 
 
 class LinkIndex:
-    """The index below `path`.
-
-    `buckets` and `blocks` are those given when the index is made, for its whole life; a bucket should get some thousand keys of a day, and
-    a block about 16. More keys only make more buckets look as if they held one: what is known is decided by the keys themselves.
-    """
+    """The index below `path`, with one entry a day; `buckets` and `blocks` are those of `KeyIndex`."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 16, blocks: int = 1 << 14) -> None:
-        if blocks % buckets:
-            raise ValueError("blocks must be a multiple of buckets")
-        self.spark, self.path, self.buckets, self.blocks = spark, path, buckets, blocks
-        self.made = exists(spark, self._settings())
-        if self.made:
-            self.buckets, self.blocks = json.loads(read_text(spark, self._settings()))
-
-    def _settings(self) -> str:
-        return f"{self.path}/settings.json"
-
-    def _folder(self, kind: str, day: datetime.date) -> str:
-        return f"{self.path}/{kind}/crawl_date={day.isoformat()}"
-
-    def _write(self, day: datetime.date, keys: DataFrame, mode: str) -> None:
-        if not self.made:
-            write_new(self.spark, self._settings(), json.dumps([self.buckets, self.blocks]))
-            self.made = True
-        placed = stage(keys.select(KEY).distinct().withColumn("block", _place(self.blocks)), "keys")
-        filters = placed.select("block", *[m.alias(w) for m, w in zip(_masks(), WORDS)]).groupBy("block").agg(*[F.bit_or(w).alias(w) for w in WORDS])
-        # The filters follow the keys: a run that is cut off in between is repeated by its caller.
-        (placed.withColumn("bucket", F.col("block") % self.buckets).repartition("bucket").sortWithinPartitions("bucket", KEY)
-         .select(KEY, "bucket").write.mode(mode).partitionBy("bucket").parquet(self._folder("keys", day)))
-        filters.sort("block").write.mode(mode).parquet(self._folder("filters", day))
-        unstage(placed)
+        self.path = path
+        self.index = KeyIndex(spark, path, buckets, blocks, "crawl_date")
+        self.buckets, self.blocks = self.index.buckets, self.index.blocks
 
     def put(self, day: datetime.date, keys: DataFrame) -> None:
         """Let the day have just these keys (column `_key`)."""
-        remove(self.spark, self._folder("filters", day))
-        self._write(day, keys, "overwrite")
+        self.index.put(day.isoformat(), keys)
 
     def add(self, day: datetime.date, keys: DataFrame) -> None:
         """Give the day these keys, too; adding keys again changes nothing."""
-        self._write(day, keys, "append")
+        self.index.add(day.isoformat(), keys)
 
     def has_day(self, day: datetime.date) -> bool:
-        return exists(self.spark, self._folder("filters", day))
+        return day.isoformat() in self.index.entries()
 
     def last_day(self) -> datetime.date | None:
         """The last day that has an entry; only folders are listed."""
-        days = [name.split("=", 1)[1] for name in listed(self.spark, f"{self.path}/filters") if name.startswith("crawl_date=")]
-        return datetime.date.fromisoformat(max(days)) if days else None
+        days = self.index.entries()
+        return datetime.date.fromisoformat(days[-1]) if days else None
 
     def segments(self, keys: DataFrame, day: datetime.date) -> list[tuple[datetime.date, int]]:
         """(day, bucket) of all buckets of other days that may hold one of the keys."""
-        if not exists(self.spark, f"{self.path}/filters"):
-            return []
-        schema = f"block int, {', '.join(f'{w} long' for w in WORDS)}, crawl_date date"
-        filters = self.spark.read.schema(schema).parquet(f"{self.path}/filters").filter(F.col("crawl_date") != F.lit(day))
-        probes = keys.select(_place(self.blocks).alias("block"), *[m.alias(f"m{i}") for i, m in enumerate(_masks())]).distinct()
-        held = reduce(lambda a, b: a & b, (F.col(w).bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}") for i, w in enumerate(WORDS)))
-        found = filters.join(probes, "block").filter(held).select("crawl_date", (F.col("block") % self.buckets).alias("bucket")).distinct()
-        return sorted((r.crawl_date, r.bucket) for r in found.collect())  # bounded by the number of folders
+        others = [entry for entry in self.index.entries() if entry != day.isoformat()]
+        return [(datetime.date.fromisoformat(entry), bucket) for entry, bucket in self.index.segments(keys, others)]
 
     def read(self, segments: list[tuple[datetime.date, int]]) -> DataFrame:
         """The keys of some buckets."""
-        paths = [p for d, b in segments if exists(self.spark, p := f"{self._folder('keys', d)}/bucket={b}")]
-        return self.spark.read.schema(f"{KEY} string").parquet(*paths) if paths else self.spark.createDataFrame([], f"{KEY} string")
+        return self.index.read([(day.isoformat(), bucket) for day, bucket in segments])
 
     def known(self, keys: DataFrame, day: datetime.date) -> DataFrame:
         """Those of the keys that belong to another day."""
