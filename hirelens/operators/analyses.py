@@ -150,28 +150,43 @@ def run(name: str, postings: DataFrame) -> DataFrame:
 CUBE_KEYS = ["group", "city", "experience"]
 
 
-def market_cube(postings: DataFrame) -> DataFrame:
-    """Postings and mean salary for every combination of group, city and experience.
+def _cells(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.count("salary_normalized").alias("paid"),
+        F.sum(F.col("salary_normalized").cast("double")).alias("total"),
+    )
 
-    `level` is the grouping id: a set bit means the column is summed over. A posting in several cities counts in each of
-    them, but once where cities are summed over. Rows are first aggregated to the finest cells, so that cells are
-    expanded and not postings.
-    """
-    def cells(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(
-            F.count("*").alias("n"),
-            F.count("salary_normalized").alias("paid"),
-            F.sum(F.col("salary_normalized").cast("double")).alias("total"),
-        )
 
+def city_cells(postings: DataFrame) -> DataFrame:
+    """(group, city, experience, n, paid, total): the finest cells; a posting counts in each of its cities."""
+    return _cells(postings.withColumn("city", F.explode_outer(split_cities(F.col("location")))), *CUBE_KEYS)
+
+
+def whole_cells(postings: DataFrame) -> DataFrame:
+    """(group, experience, n, paid, total): the cells where cities are summed over; a posting counts once."""
+    return _cells(postings, "group", "experience")
+
+
+def cube_of(by_city: DataFrame, over_cities: DataFrame) -> DataFrame:
+    """The cube from `city_cells` and `whole_cells`; a cell may stand on several rows, which are summed up."""
     measures = [F.sum("n").alias("postings"), F.try_divide(F.sum("total"), F.sum("paid")).alias("avg_salary_vnd")]
-    by_city = cells(postings.withColumn("city", F.explode_outer(split_cities(F.col("location")))), *CUBE_KEYS)
     group, city, experience = (F.col(k) for k in CUBE_KEYS)
     in_cities = by_city.groupingSets(
         [[group, city, experience], [group, city], [city, experience], [city]], group, city, experience,
     ).agg(F.grouping_id().cast("int").alias("level"), *measures)
     # Two bits, of group and experience, with the set bit of the city put between them.
     pair = F.grouping_id().cast("int")
-    over_cities = cells(postings, "group", "experience").cube("group", "experience").agg(
+    summed = over_cities.cube("group", "experience").agg(
         (F.floor(pair / 2) * 4 + 2 + pair % 2).cast("int").alias("level"), *measures)
-    return in_cities.unionByName(over_cities.withColumn("city", F.lit(None).cast("string")))
+    return in_cities.unionByName(summed.withColumn("city", F.lit(None).cast("string")))
+
+
+def market_cube(postings: DataFrame) -> DataFrame:
+    """Postings and mean salary for every combination of group, city and experience.
+
+    `level` is the grouping id: a set bit means the column is summed over. A posting in several cities counts in each of
+    them, but once where cities are summed over. Rows are first aggregated to the finest cells, so that cells are
+    expanded and not postings.
+    """
+    return cube_of(city_cells(postings), whole_cells(postings))
