@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,6 +18,7 @@ from hirelens.operators.pages import PageLayout, Pairs
 from hirelens.operators.pages import extract_postings as page_postings
 from hirelens.plans import clean, star
 from hirelens.plans.daily import ingest_day, read_target
+from hirelens.plans.kept_cube import KeptCube
 from hirelens.schemas import FLAT_FIELDS, JOB_FIELDS
 from hirelens.sources import blocks, flat, keyvalue, tables
 from hirelens.streaming.ingest import ingest_stream
@@ -27,6 +29,7 @@ from workload.postings import (
 )
 
 SOURCES = ["board_a", "board_b"]
+FIRST_YEAR = 1992
 # A lexicon that occurs in the test documents, with terms that overlap each other.
 WORDS = ["the", "of", "of the", "and", "in", "de", "la", "de la", "der", "und", "que", "les", "el", "en el"]
 SECTION_WORDS = {"description": "the", "requirements": "de", "benefits": "der"}
@@ -71,6 +74,36 @@ def market_cube(spark, d):
     return analyses.market_cube(flat_postings(spark, d))
 
 
+def _kept_cube(spark, d) -> KeptCube:
+    """A cube kept by day, in which years of the postings stand for days, three a month.
+
+    The first day first gets the rows of another one, and the last day is put after its month was folded without it.
+    """
+    postings = flat_postings(spark, d).withColumn("_year", F.year("crawl_date") - FIRST_YEAR)
+    cube, n = KeptCube(spark, new_dir(spark, "cube")), postings.agg(F.max("_year")).first()[0] + 1
+    cube.put_day(_day_of(0), postings.filter(F.col("_year") == 1))
+    for year in range(n - 1):
+        cube.put_day(_day_of(year), postings.filter(F.col("_year") == year))
+    cube.fold()
+    cube.put_day(_day_of(n - 1), postings.filter(F.col("_year") == n - 1))
+    return cube
+
+
+def _day_of(year: int) -> datetime.date:
+    return datetime.date(2025, 1 + year // 3, 1 + year % 3)
+
+
+@query
+def kept_cube(spark, d):
+    return _kept_cube(spark, d).cube()
+
+
+@query
+def kept_cube_range(spark, d):
+    """The cube of a range of days that starts in the middle of a month."""
+    return _kept_cube(spark, d).cube(_day_of(1), _day_of(5))
+
+
 # ---- profile
 
 
@@ -487,6 +520,23 @@ def check_model(spark, d):
     return quality.violations(model)
 
 
+@query
+def check_added(spark, d):
+    """The constraints on an addition: the jobs with odd ids, those with even ids of one group again, no Python skills."""
+    model = model_tables(spark, d)
+    ids = {"jobs": "id", "job_details": "job_id", "job_skills": "job_id"}
+    python = F.lower("name").contains("python")
+    even = {name: df.filter(F.col(ids[name]) % 2 == 0) if name in ids else df for name, df in model.items()}
+    odd = {name: df.filter(F.col(ids[name]) % 2 == 1) if name in ids else df.limit(0) for name, df in model.items()}
+    gone = model["skills"].filter(python).select(F.col("id").alias("skill_id"))
+    even |= {"skills": model["skills"].filter(~python), "skill_details": model["skill_details"].limit(0),
+             "job_skills": even["job_skills"].join(gone, "skill_id", "left_anti")}
+    odd |= {"skill_details": model["skill_details"], "jobs": odd["jobs"].unionByName(even["jobs"].filter(F.col("group_id") == 1))}
+    path = new_dir(spark, "star")
+    star.save_star(even, path)
+    return star.guard(spark, path).violations(odd, star.current_parts(spark, path))
+
+
 def _sizes(found: dict[str, DataFrame]) -> DataFrame:
     counts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
               for name, df in found.items()]
