@@ -1,19 +1,21 @@
 """Language-model scores from a hashed maximum-entropy model.
 
-A text is its words in lower case (A-Z) and an end. The `head` most frequent words, in classes of equal size,
-the end and "any other word" are the outcomes. The probability of a word is that of its class given the two
-tokens before, times that of the word in its class given the token before:
+A text is its words in lower case (A-Z) and an end. The `head` most frequent words have a number each; every other word, seen or
+not, has a bucket by its hash, and buckets count as tokens. The probability of a word is that of its class given the two
+tokens before, times that of the word in its class:
 
 * class: a softmax over weights of the class itself, of the token before (bigram), of the one before that (skip), and of
-  both together (trigram); the last are hashed into a table of fixed size;
-* word: a softmax within the class over weights of the word and of the token before, hashed likewise;
-* a word outside the head has the probability of "any other word" times its smoothed share of those words.
+  both together (trigram, hashed). Head words are in classes of equal size, the end in one of its own, all other words in `bands` classes by their hash;
+* a head word: a softmax within the class over weights of the word and of the token before, hashed likewise;
+* any other word: its smoothed share of the words of its class.
+
+So every word has features, as a context and through its class. The number of buckets and the rows of the trigram table follow the
+square root of the number of different words learnt from, so the model grows with the corpus.
 
 The gradient of the likelihood is observed minus expected feature counts. Observed counts, and how often each context
-occurs, are summed over all texts learnt from, once. Every update is then a Spark job over the different contexts:
+occurs, are summed over all texts learnt from, once. Every update is then a Spark job over the table of different contexts:
 tasks compute expected counts under the present weights, Spark adds them up, and the driver, which holds the weights only, moves
-them along the gradient. Array sizes follow from the parameters alone; what grows with the corpus (words and their counts)
-stays in Spark.
+them along the gradient. Words, contexts and their counts stay in Spark.
 
 Texts are scored in numpy batches, one softmax per different context of a batch. Counts of the most frequent words, at most `common`,
 travel with the tasks; all others meet their counts in a join, so every word counts, however rare.
@@ -25,8 +27,10 @@ scores are those of an empty count table.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
+from math import isqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -42,39 +46,55 @@ LOG10 = float(np.log(10))
 
 @dataclass(frozen=True)
 class Shape:
-    """`head` words in classes of `size`; rows of the trigram and the word table; words whose counts travel; updates
+    """`head` words in classes of `size`; least number of buckets of other words (`tail`), and of rows of the trigram table; classes of
+    other words (`bands`, which divides `tail`); rows of the word table; words whose counts travel; updates
     of the weights, their `ridge`, and the longest step of a weight in one update."""
 
     head: int = 1024
     size: int = 32
-    trigrams: int = 8192
+    tail: int = 64
+    bands: int = 16
+    trigrams: int = 512
     rows: int = 1024
     common: int = 100_000
     updates: int = 12
     ridge: float = 1.0
     stride: float = 1.0
 
+    def grown(self, types: int) -> Shape:
+        """The shape for so many different words: one bucket for every two of their square root, in powers of two, and eight trigram rows a bucket."""
+        tail = max(self.tail, 1 << (max(isqrt(types) // 2, 1) - 1).bit_length())
+        return replace(self, tail=tail, trigrams=max(self.trigrams, 8 * tail))
+
     @property
     def classes(self) -> int:
-        """Classes of words, then that of other words and that of the end."""
-        return self.head // self.size + 2
+        """Classes of head words, then that of the end, then those of other words."""
+        return self.head // self.size + 1 + self.bands
 
     @property
     def tokens(self) -> int:
-        """Head words, other words, the end, and the place before a text."""
-        return self.head + 3
+        """Head words, the end, the place before a text, and the buckets of other words."""
+        return self.head + 2 + self.tail
 
     @property
-    def other(self) -> int:
+    def end(self) -> int:
         return self.head
 
     @property
-    def end(self) -> int:
+    def begin(self) -> int:
         return self.head + 1
 
-    @property
-    def begin(self) -> int:
-        return self.head + 2
+
+class Codes(dict):
+    """Token of every word: of those it holds, and of any other by its hash."""
+
+    def __init__(self, common: Iterable[bytes], shape: Shape) -> None:
+        super().__init__()
+        self.first, self.tail = shape.begin + 1, shape.tail
+        self.update((w, i if i < shape.head else self[w]) for i, w in enumerate(common))
+
+    def __missing__(self, word: bytes) -> int:
+        return self.first + crc32(word) % self.tail
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -82,7 +102,9 @@ def tokens_of(text: bytes | None) -> list[bytes]:
 
 
 def class_of(tokens: np.ndarray, shape: Shape) -> np.ndarray:
-    return np.where(tokens < shape.head, tokens // shape.size, tokens - shape.head + shape.head // shape.size)
+    """Class of every token; the band of a bucket is that of the words' hash, since `bands` divides `tail`."""
+    words = shape.head // shape.size
+    return np.where(tokens < shape.head, tokens // shape.size, np.where(tokens > shape.begin, words + 1 + (tokens - shape.begin - 1) % shape.bands, words))
 
 
 def hashed(a: np.ndarray, b: np.ndarray | int, rows: int) -> np.ndarray:
@@ -128,15 +150,15 @@ class Weights:
         return softmax((self.word + self.within[rows]).reshape(len(rows), -1, size)).reshape(len(rows), -1)
 
 
-def sequences(texts: list[bytes | None], number: dict[bytes, int], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sequences(texts: list[bytes | None], codes: Codes, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of many texts in one row, with the token before each and the one before that."""
     flat: list[int] = []
-    other, get, sizes = shape.other, number.get, []
+    sizes = []
     for t in texts:
         ws = tokens_of(t)
-        flat += (shape.begin, shape.begin, *[get(w, other) for w in ws], shape.end)
+        flat += (shape.begin, shape.begin, *[codes[w] for w in ws], shape.end)
         sizes.append(len(ws) + 1)
-    every = np.array(flat, np.int32)
+    every = np.array(flat, np.int64)
     starts = np.cumsum([0] + [n + 2 for n in sizes[:-1]]) if sizes else np.zeros(0, int)
     real = np.ones(len(every), bool)
     real[starts] = real[starts + 1] = False
@@ -178,14 +200,15 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Counts:
-    """Total tokens and different ones; the same of words outside the head; frequent words with their counts, most frequent first."""
+    """Total tokens and different ones; frequent words with their counts, most frequent first; for each band of the words outside
+    the head, their total and how many are different."""
 
     total: int
     types: int
     ends: int
     common: dict[bytes, int]
-    other: int
-    other_types: int
+    other: list[int]
+    other_types: list[int]
 
 
 def frequent(counts: DataFrame, shape: Shape) -> Counts:
@@ -205,54 +228,84 @@ def frequent(counts: DataFrame, shape: Shape) -> Counts:
         rows += words.filter(step == cut).orderBy(F.desc("n"), "word").limit(shape.common - reached).collect()
     common = dict(sorted(((bytes(r.word), r.n) for r in rows), key=lambda x: (-x[1], x[0])))
     of_words, types = sum(r.n for r in scale), sum(r.k for r in scale)
-    head = list(common.values())[:shape.head]
-    return Counts(of_words + ends, types + (ends > 0), ends, common, of_words - sum(head), types - len(head))
+    other, other_types = [0] * shape.bands, [0] * shape.bands
+    for r in words.groupBy(_band(shape).alias("band")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect():
+        other[r.band], other_types[r.band] = r.n, r.k
+    for w in list(common)[:shape.head]:
+        other[crc32(w) % shape.bands] -= common[w]
+        other_types[crc32(w) % shape.bands] -= 1
+    return Counts(of_words + ends, types + (ends > 0), ends, common, other, other_types)
 
 
-def observed(docs: DataFrame, number: dict[bytes, int], shape: Shape) -> dict[str, np.ndarray]:
-    """Feature counts and context counts over all texts, summed by Spark; their size depends on the shape only."""
-    t, c = shape.tokens, shape.classes
-    sizes = {"pair": (t, t), "context": (t, t), "skip": (t, c), "trigram": (shape.trigrams, c)}
+def _band(shape: Shape) -> Column:
+    return (F.crc32("word") % shape.bands).cast("int")
+
+
+#: Rows of sums as in `arrays`, or a context and how often it occurs.
+OBSERVED = f"{SCHEMA}, at long, times long"
+_CONTEXTS = pa.schema([("name", pa.string()), ("block", pa.int32()), ("salt", pa.int32()), ("n", pa.list_(pa.float64())), ("at", pa.int64()), ("times", pa.int64())])
+
+
+def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> tuple[dict[str, np.ndarray], DataFrame]:
+    """Feature counts over all texts, summed by Spark to arrays of the shape's size, and the table (at, n) of different contexts."""
+    t, c, common = shape.tokens, shape.classes, docs.sparkSession.sparkContext.broadcast(list(seen.common))
+    sizes = {k: s for k, s in Weights.shapes(shape).items() if k not in ("bias", "word")}
+
+    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        at, place = np.unique(np.concatenate([a for a, _ in held]), return_inverse=True)
+        return at, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+
+    def rows(at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(at), 100_000):
+            k = len(at[i:i + 100_000])
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(k, f.type) for f in list(_CONTEXTS)[:4]], pa.array(at[i:i + k]), pa.array(n[i:i + k])], schema=_CONTEXTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes(common.value, shape)
         sums = {name: np.zeros(int(np.prod(size))) for name, size in sizes.items()}
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in portions(texts):
-                now, before, before2 = (x.astype(np.int64) for x in sequences(texts[a:b], number, shape))
-                k = class_of(now, shape)
-                for name, at in (("pair", before * t + now), ("context", before2 * t + before), ("skip", before2 * c + k),
-                                 ("trigram", hashed(before2, before, shape.trigrams) * c + k)):
+                now, before, before2 = sequences(texts[a:b], codes, shape)
+                k, head = class_of(now, shape), now < shape.head
+                for name, at in (("bigram", before * c + k), ("skip", before2 * c + k), ("trigram", hashed(before2, before, shape.trigrams) * c + k),
+                                 ("within", hashed(before[head], 0, shape.rows) * shape.head + now[head])):
                     sums[name] += np.bincount(at, minlength=len(sums[name]))
+                held.append(np.unique(before2 * t + before, return_counts=True))
+                if sum(len(at) for at, _ in held) > 4_000_000:
+                    held = [merged(held)]
+                    if len(held[0][0]) > 2_000_000:
+                        yield from rows(*held.pop())
+        if held:
+            yield from rows(*merged(held))
         salt = TaskContext.get().partitionId() % 64
         for name, values in sums.items():
-            yield from blocks(name, values, salt)
+            for made in blocks(name, values, salt):
+                nulls = pa.nulls(made.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*made.columns, nulls, nulls], schema=_CONTEXTS)
 
-    made = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, SCHEMA)
-    return collected(summed(made), sizes)
+    made = scratch.keep(docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, OBSERVED), "observed")
+    sums = collected(summed(made.filter("name is not null").drop("at", "times")), sizes)
+    contexts = made.filter("name is null").groupBy("at").agg(F.sum("times").alias("n"))
+    return sums, scratch.keep(contexts, "contexts")
 
 
 # Training -------------------------------------------------------------------------------------------------
 
 
-def train(scratch: Scratch, seen: dict[str, np.ndarray], shape: Shape) -> Weights:
+def train(scratch: Scratch, seen: dict[str, np.ndarray], contexts: DataFrame, shape: Shape) -> Weights:
     """Move the weights along the gradient, whose expected counts Spark sums over the different contexts."""
     spark, sizes = scratch.spark, Weights.shapes(shape)
-    of_row = np.zeros((shape.rows, shape.tokens))
-    np.add.at(of_row, hashed(np.arange(shape.tokens), 0, shape.rows), seen["pair"])
-    by_class = np.stack([seen["pair"][:, class_of(np.arange(shape.tokens), shape) == k].sum(axis=1) for k in range(shape.classes)], axis=1)
-    target = {"bias": by_class.sum(axis=0), "bigram": by_class, "skip": seen["skip"], "trigram": seen["trigram"],
-              "word": of_row[:, :shape.head].sum(axis=0), "within": of_row[:, :shape.head]}
-    pairs = np.flatnonzero(seen["context"].ravel())
-    contexts = scratch.keep(_numbers(spark, pairs, seen["context"].ravel()[pairs]), "contexts")
+    target = seen | {"bias": seen["bigram"].sum(axis=0), "word": seen["within"].sum(axis=0)}
     weights = Weights.zero(shape)
-    for _ in range(shape.updates if len(pairs) else 0):
+    for _ in range(shape.updates if target["bias"].any() else 0):
         sent = spark.sparkContext.broadcast(dict(vars(weights)))  # arrays only, so workers need no copy of this package
         expected = collected(summed(contexts.mapInArrow(_expected(sent, shape), SCHEMA)), {k: sizes[k] for k in ("bias", "bigram", "skip", "trigram")})
         sent.unpersist()
         # The word table needs no contexts: how often each class follows a row is known.
         p = weights.of_word(np.arange(shape.rows), shape.size)
-        mass = of_row[:, :shape.head].reshape(shape.rows, -1, shape.size).sum(axis=2).repeat(shape.size, axis=1)
+        mass = seen["within"].reshape(shape.rows, -1, shape.size).sum(axis=2).repeat(shape.size, axis=1)
         expected |= {"within": p * mass, "word": (p * mass).sum(axis=0)}
         for name in sizes:
             w = getattr(weights, name)
@@ -262,10 +315,6 @@ def train(scratch: Scratch, seen: dict[str, np.ndarray], shape: Shape) -> Weight
     return weights
 
 
-def _numbers(spark, at: np.ndarray, n: np.ndarray) -> DataFrame:
-    return spark.createDataFrame(pa.table({"at": at, "n": n})).repartition("at")
-
-
 def _expected(sent, shape: Shape):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, sums = Weights(**sent.value), None
@@ -296,10 +345,6 @@ class Model:
     counts: Counts
     weights: Weights
 
-    @property
-    def number(self) -> dict[bytes, int]:
-        return {w: i for i, w in zip(range(self.shape.head), self.counts.common)}
-
 
 SCORED = "row long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double, word binary, times long"
 
@@ -312,11 +357,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*(kind(**part) for kind, part in zip((Shape, Counts, Weights), sent.value)))
-        shape, seen, number = model.shape, model.counts, model.number
+        shape, seen, codes = model.shape, model.counts, Codes(model.counts.common, model.shape)
         base_of = {w: float(np.log10((n + 0.5) / (seen.total + 0.5 * (seen.types + 1)))) for w, n in seen.common.items()}
         base_end = float(np.log10((seen.ends + 0.5) / (seen.total + 0.5 * (seen.types + 1))))
-        other_of = {w: float(np.log10((n + 0.5) / (seen.other + 0.5 * (seen.other_types + 1))))
-                    for i, (w, n) in enumerate(seen.common.items()) if i >= shape.head}
+        norms = [of + 0.5 * (types + 1) for of, types in zip(seen.other, seen.other_types)]
+        other_of = {w: float(np.log10((n + 0.5) / norms[crc32(w) % shape.bands])) for i, (w, n) in enumerate(seen.common.items()) if i >= shape.head}
         with np.errstate(divide="ignore"):
             within = np.log10(model.weights.of_word(np.arange(shape.rows), shape.size))
         row_of = hashed(np.arange(shape.tokens), 0, shape.rows)
@@ -325,7 +370,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in portions(texts):
-                now, before, before2 = (x.astype(np.int64) for x in sequences(texts[a:b], number, shape))
+                now, before, before2 = sequences(texts[a:b], codes, shape)
                 pairs, place = np.unique(before2 * shape.tokens + before, return_inverse=True)
                 total = np.empty(len(now))
                 of_class = np.log10(model.weights.of_class(pairs // shape.tokens, pairs % shape.tokens))
@@ -366,10 +411,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
     least = min(c.common.values(), default=0)
     times, n = F.col("times"), F.coalesce(F.col("n"), F.lit(0))
     log = lambda of, types: F.log10((n + 0.5) / (of + 0.5 * (types + 1)))
+    in_band = lambda numbers: F.get(F.lit(numbers).cast("array<long>"), _band(model.shape))
     rare = made.filter("word is not null").select("row", "word", "times").join(
         counts.filter(F.col("word").isNotNull() & (F.col("n") <= least if c.common else F.lit(True))), "word", "left")
     added = rare.groupBy("row").agg(
-        F.sum(times * log(c.total, c.types)).alias("more_base"), F.sum(times * log(c.other, c.other_types)).alias("more"),
+        F.sum(times * log(c.total, c.types)).alias("more_base"), F.sum(times * log(in_band(c.other), in_band(c.other_types))).alias("more"),
         F.sum(F.when(n > 0, times).otherwise(0)).alias("more_known"))
     rows = made.filter("word is null").drop("word", "times")
     zero = F.lit(0)
@@ -385,9 +431,8 @@ def fit(docs: DataFrame, scratch: Scratch, shape: Shape = Shape()) -> tuple[Mode
     """Learn from all texts of `docs`; comes with the counts of all words."""
     counts = scratch.keep(count_words(docs), "counts")
     seen = frequent(counts, shape)
-    number = {w: i for i, w in zip(range(shape.head), seen.common)}
-    weights = train(scratch, observed(docs, number, shape), shape)
-    return Model(shape, seen, weights), counts
+    shape = shape.grown(seen.types)
+    return Model(shape, seen, train(scratch, *observed(docs, seen, shape, scratch), shape)), counts
 
 
 def score_all(docs: DataFrame, learnt: Column, shape: Shape = Shape()) -> DataFrame:
