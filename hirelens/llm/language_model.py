@@ -141,9 +141,26 @@ class Weights:
         return {"bias": (c,), "bigram": (shape.tokens, c), "skip": (shape.tokens, c), "trigram": (shape.trigrams, c),
                 "word": (shape.head,), "within": (shape.rows, shape.head)}
 
+    def logits(self, before2: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Logarithms of the class probabilities in contexts, but for a constant each."""
+        return self.bias + self.bigram[before] + self.skip[before2] + self.trigram[hashed(before2, before, len(self.trigram))]
+
     def of_class(self, before2: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Class probabilities in contexts."""
-        return softmax(self.bias + self.bigram[before] + self.skip[before2] + self.trigram[hashed(before2, before, len(self.trigram))])
+        return softmax(self.logits(before2, before))
+
+    def log_class(self, before2: np.ndarray, before: np.ndarray, k: np.ndarray, chunk: int = 8192) -> np.ndarray:
+        """Logarithm of the probability of one class in each context. Every different context is summed up once, few at a time to stay in the cache."""
+        tokens = len(self.bigram)
+        pairs, place = np.unique(before2 * tokens + before, return_inverse=True)
+        norm = np.empty(len(pairs))
+        for i in range(0, len(pairs), chunk):
+            x = self.logits(pairs[i:i + chunk] // tokens, pairs[i:i + chunk] % tokens)
+            top = x.max(axis=1)
+            np.exp(np.subtract(x, top[:, None], out=x), out=x)
+            norm[i:i + chunk] = top + np.log(x.sum(axis=1))
+        row = hashed(before2, before, len(self.trigram))
+        return self.bias[k] + self.bigram[before, k] + self.skip[before2, k] + self.trigram[row, k] - norm[place]
 
     def of_word(self, rows: np.ndarray, size: int) -> np.ndarray:
         """Probabilities of head words within their class, for rows of the word table."""
@@ -285,10 +302,15 @@ def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> t
                 nulls = pa.nulls(made.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays([*made.columns, nulls, nulls], schema=_CONTEXTS)
 
-    made = scratch.keep(docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, OBSERVED), "observed")
-    sums = collected(summed(made.filter("name is not null").drop("at", "times")), sizes)
-    contexts = made.filter("name is null").groupBy("at").agg(F.sum("times").alias("n"))
-    return sums, scratch.keep(contexts, "contexts")
+    # Several splits a task, so that their sums meet before they are written.
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    most = max(4 * docs.sparkSession.sparkContext.defaultParallelism, texts.rdd.getNumPartitions() // 8)
+    made = scratch.keep(texts.coalesce(most).mapInArrow(run, OBSERVED), "observed")
+    added = scratch.keep(summed(made.filter("name is not null").drop("at", "times")), "sums")
+    contexts = scratch.keep(made.filter("name is null").groupBy("at").agg(F.sum("times").alias("n")), "contexts")
+    sums = collected(added, sizes)
+    scratch.drop("observed", "sums")
+    return sums, contexts
 
 
 # Training -------------------------------------------------------------------------------------------------
@@ -299,6 +321,7 @@ def train(scratch: Scratch, seen: dict[str, np.ndarray], contexts: DataFrame, sh
     spark, sizes = scratch.spark, Weights.shapes(shape)
     target = seen | {"bias": seen["bigram"].sum(axis=0), "word": seen["within"].sum(axis=0)}
     weights = Weights.zero(shape)
+    contexts = contexts.coalesce(spark.sparkContext.defaultParallelism)  # every task adds up arrays of its own
     for _ in range(shape.updates if target["bias"].any() else 0):
         sent = spark.sparkContext.broadcast(dict(vars(weights)))  # arrays only, so workers need no copy of this package
         expected = collected(summed(contexts.mapInArrow(_expected(sent, shape), SCHEMA)), {k: sizes[k] for k in ("bias", "bigram", "skip", "trigram")})
@@ -321,9 +344,10 @@ def _expected(sent, shape: Shape):
         for batch in batches:
             if sums is None:
                 sums = {k: np.zeros(s) for k, s in Weights.shapes(shape).items() if k not in ("word", "within")}
-            at, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            at, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.float32)
             before2, before = at // shape.tokens, at % shape.tokens
-            p = w.of_class(before2, before) * n[:, None]
+            p = w.of_class(before2, before)
+            p *= n[:, None]
             sums["bias"] += p.sum(axis=0)
             for name, rows in (("bigram", before), ("skip", before2), ("trigram", hashed(before2, before, shape.trigrams))):
                 order = np.argsort(rows, kind="stable")
@@ -371,10 +395,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in portions(texts):
                 now, before, before2 = sequences(texts[a:b], codes, shape)
-                pairs, place = np.unique(before2 * shape.tokens + before, return_inverse=True)
-                total = np.empty(len(now))
-                of_class = np.log10(model.weights.of_class(pairs // shape.tokens, pairs % shape.tokens))
-                total[:] = of_class[place, class_of(now, shape)]
+                total = model.weights.log_class(before2, before, class_of(now, shape)) / LOG10
                 head = now < shape.head
                 total[head] += within[row_of[before[head]], now[head]]
                 bases, scores, known, sizes, rare = [], [], [], [], []
