@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 4096
+#: Tasks spread their rows over so many salts.
+SALTS = 64
 SCHEMA = "name string, block int, salt int, n array<double>"
 _ARROW = pa.schema([("name", pa.string()), ("block", pa.int32()), ("salt", pa.int32()), ("n", pa.list_(pa.float64()))])
 
@@ -46,9 +48,10 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def summed(made: DataFrame) -> DataFrame:
-    """Rows of SCHEMA added up by name and block: by salt first, so that thousands of tasks do not meet in one."""
-    for keys in (["name", "block", "salt"], ["name", "block"]):
+def summed(made: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows of SCHEMA added up by name and block: by salt first, so that thousands of tasks do not meet in one. Few `tasks` need no salt."""
+    few = tasks is not None and tasks <= SALTS
+    for keys in [["name", "block"]] if few else [["name", "block", "salt"], ["name", "block"]]:
         if "salt" not in keys:
             made = made.withColumn("salt", F.lit(0))
         made = made.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_add, SCHEMA)

@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 from math import isqrt
 from zlib import crc32
 
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.arrays import SCHEMA, blocks, collected, summed
+from hirelens.llm.arrays import SALTS, SCHEMA, blocks, collected, summed
 from hirelens.llm.base import Scratch
 
 LOG10 = float(np.log(10))
@@ -85,16 +86,20 @@ class Shape:
         return self.head + 1
 
 
-class Codes(dict):
-    """Token of every word: of those it holds, and of any other by its hash."""
+class Codes:
+    """Numbers of the common words, by frequency from 0, and the token of every word: of common ones by a table, of any other by its hash."""
 
     def __init__(self, common: Iterable[bytes], shape: Shape) -> None:
-        super().__init__()
-        self.first, self.tail = shape.begin + 1, shape.tail
-        self.update((w, i if i < shape.head else self[w]) for i, w in enumerate(common))
+        self.shape, self.number = shape, {w: i for i, w in enumerate(common)}
+        # The place of number -1, for other words, is the last one.
+        self.token = np.array([*[i if i < shape.head else self.bucket(w) for w, i in self.number.items()], 0], np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        return self.first + crc32(word) % self.tail
+    def bucket(self, word: bytes) -> int:
+        return self.shape.begin + 1 + crc32(word) % self.shape.tail
+
+    def __getitem__(self, word: bytes) -> int:
+        i = self.number.get(word)
+        return self.bucket(word) if i is None else int(self.token[i])
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -167,20 +172,41 @@ class Weights:
         return softmax((self.word + self.within[rows]).reshape(len(rows), -1, size)).reshape(len(rows), -1)
 
 
-def sequences(texts: list[bytes | None], codes: Codes, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of many texts in one row, with the token before each and the one before that."""
-    flat: list[int] = []
-    sizes = []
-    for t in texts:
+@dataclass(frozen=True)
+class Lines:
+    """Many texts in one row: each token with the one before it and the one before that; words by text. A word's number is -1 if it is not common."""
+
+    now: np.ndarray
+    before: np.ndarray
+    before2: np.ndarray
+    sizes: np.ndarray
+    numbers: np.ndarray
+    of: np.ndarray
+    others: list[tuple[int, bytes]]
+
+
+def sequences(texts: list[bytes | None], codes: Codes) -> Lines:
+    """Every word is looked up once; all else is done on arrays."""
+    words: list[bytes] = []
+    sizes = np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
         ws = tokens_of(t)
-        flat += (shape.begin, shape.begin, *[codes[w] for w in ws], shape.end)
-        sizes.append(len(ws) + 1)
-    every = np.array(flat, np.int64)
-    starts = np.cumsum([0] + [n + 2 for n in sizes[:-1]]) if sizes else np.zeros(0, int)
+        words += ws
+        sizes[i] = len(ws)
+    numbers = np.fromiter(map(codes.number.get, words, repeat(-1)), np.int64, len(words))
+    tokens, of = codes.token[numbers], np.repeat(np.arange(len(texts)), sizes)
+    rare = np.flatnonzero(numbers < 0)
+    others = [words[i] for i in rare.tolist()]
+    tokens[rare] = np.fromiter(map(codes.bucket, others), np.int64, len(others))
+    # Two places before each text, and its end.
+    every = np.full(len(words) + 3 * len(texts), codes.shape.begin, np.int64)
+    ends = np.cumsum(sizes + 3) - 1
+    every[np.arange(len(words)) + 3 * of + 2] = tokens
+    every[ends] = codes.shape.end
     real = np.ones(len(every), bool)
-    real[starts] = real[starts + 1] = False
+    real[ends - sizes - 2] = real[ends - sizes - 1] = False
     at = np.flatnonzero(real)
-    return every[at], every[at - 1], every[at - 2]
+    return Lines(every[at], every[at - 1], every[at - 2], sizes, numbers, of, list(zip(of[rare].tolist(), others)))
 
 
 def portions(texts: list[bytes | None], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
@@ -269,8 +295,13 @@ def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> t
     sizes = {k: s for k, s in Weights.shapes(shape).items() if k not in ("bias", "word")}
 
     def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        at, place = np.unique(np.concatenate([a for a, _ in held]), return_inverse=True)
-        return at, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+        if len(held) == 1:
+            return held[0]
+        at, n = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(at, kind="stable")  # quick on sorted runs
+        at = at[order]
+        begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        return at[begins], np.add.reduceat(n[order], begins)
 
     def rows(at: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(at), 100_000):
@@ -284,7 +315,8 @@ def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> t
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in portions(texts):
-                now, before, before2 = sequences(texts[a:b], codes, shape)
+                lines = sequences(texts[a:b], codes)
+                now, before, before2 = lines.now, lines.before, lines.before2
                 k, head = class_of(now, shape), now < shape.head
                 for name, at in (("bigram", before * c + k), ("skip", before2 * c + k), ("trigram", hashed(before2, before, shape.trigrams) * c + k),
                                  ("within", hashed(before[head], 0, shape.rows) * shape.head + now[head])):
@@ -296,7 +328,7 @@ def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> t
                         yield from rows(*held.pop())
         if held:
             yield from rows(*merged(held))
-        salt = TaskContext.get().partitionId() % 64
+        salt = TaskContext.get().partitionId() % SALTS
         for name, values in sums.items():
             for made in blocks(name, values, salt):
                 nulls = pa.nulls(made.num_rows, pa.int64())
@@ -306,7 +338,7 @@ def observed(docs: DataFrame, seen: Counts, shape: Shape, scratch: Scratch) -> t
     texts = docs.select(F.col("text").cast("binary").alias("text"))
     most = max(4 * docs.sparkSession.sparkContext.defaultParallelism, texts.rdd.getNumPartitions() // 8)
     made = scratch.keep(texts.coalesce(most).mapInArrow(run, OBSERVED), "observed")
-    added = scratch.keep(summed(made.filter("name is not null").drop("at", "times")), "sums")
+    added = scratch.keep(summed(made.filter("name is not null").drop("at", "times"), most), "sums")
     contexts = scratch.keep(made.filter("name is null").groupBy("at").agg(F.sum("times").alias("n")), "contexts")
     sums = collected(added, sizes)
     scratch.drop("observed", "sums")
@@ -321,10 +353,11 @@ def train(scratch: Scratch, seen: dict[str, np.ndarray], contexts: DataFrame, sh
     spark, sizes = scratch.spark, Weights.shapes(shape)
     target = seen | {"bias": seen["bigram"].sum(axis=0), "word": seen["within"].sum(axis=0)}
     weights = Weights.zero(shape)
-    contexts = contexts.coalesce(spark.sparkContext.defaultParallelism)  # every task adds up arrays of its own
+    tasks = spark.sparkContext.defaultParallelism  # each adds up arrays of its own
+    contexts = contexts.coalesce(tasks)
     for _ in range(shape.updates if target["bias"].any() else 0):
         sent = spark.sparkContext.broadcast(dict(vars(weights)))  # arrays only, so workers need no copy of this package
-        expected = collected(summed(contexts.mapInArrow(_expected(sent, shape), SCHEMA)), {k: sizes[k] for k in ("bias", "bigram", "skip", "trigram")})
+        expected = collected(summed(contexts.mapInArrow(_expected(sent, shape), SCHEMA), tasks), {k: sizes[k] for k in ("bias", "bigram", "skip", "trigram")})
         sent.unpersist()
         # The word table needs no contexts: how often each class follows a row is known.
         p = weights.of_word(np.arange(shape.rows), shape.size)
@@ -355,7 +388,7 @@ def _expected(sent, shape: Shape):
                 begins = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
                 sums[name][keys[begins]] += np.add.reduceat(p[order], begins, axis=0)
         for name, values in (sums or {}).items():
-            yield from blocks(name, values, TaskContext.get().partitionId() % 64)
+            yield from blocks(name, values, TaskContext.get().partitionId() % SALTS)
 
     return run
 
@@ -382,10 +415,14 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*(kind(**part) for kind, part in zip((Shape, Counts, Weights), sent.value)))
         shape, seen, codes = model.shape, model.counts, Codes(model.counts.common, model.shape)
-        base_of = {w: float(np.log10((n + 0.5) / (seen.total + 0.5 * (seen.types + 1)))) for w, n in seen.common.items()}
+        # By the number of a word; the last place is for words that are not common and get their share in the join.
+        n = np.array([*seen.common.values(), 0], float)
+        base_of = np.log10((n + 0.5) / (seen.total + 0.5 * (seen.types + 1)))
         base_end = float(np.log10((seen.ends + 0.5) / (seen.total + 0.5 * (seen.types + 1))))
-        norms = [of + 0.5 * (types + 1) for of, types in zip(seen.other, seen.other_types)]
-        other_of = {w: float(np.log10((n + 0.5) / norms[crc32(w) % shape.bands])) for i, (w, n) in enumerate(seen.common.items()) if i >= shape.head}
+        norms = np.array([of + 0.5 * (types + 1) for of, types in zip(seen.other, seen.other_types)])
+        other_of = np.log10((n + 0.5) / norms[[*[crc32(w) % shape.bands for w in seen.common], 0]])
+        base_of[-1] = other_of[-1] = 0
+        other_of[:min(shape.head, len(seen.common))] = 0
         with np.errstate(divide="ignore"):
             within = np.log10(model.weights.of_word(np.arange(shape.rows), shape.size))
         row_of = hashed(np.arange(shape.tokens), 0, shape.rows)
@@ -394,27 +431,17 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, scratch: Scratch) ->
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for a, b in portions(texts):
-                now, before, before2 = sequences(texts[a:b], codes, shape)
-                total = model.weights.log_class(before2, before, class_of(now, shape)) / LOG10
+                lines, n = sequences(texts[a:b], codes), b - a
+                now, before = lines.now, lines.before
+                total = model.weights.log_class(lines.before2, before, class_of(now, shape)) / LOG10
                 head = now < shape.head
                 total[head] += within[row_of[before[head]], now[head]]
-                bases, scores, known, sizes, rare = [], [], [], [], []
-                at = 0
-                for i in range(a, b):
-                    ws = tokens_of(texts[i])
-                    times, unseen = Counter(ws), []
-                    base, more, n_known = base_end, 0.0, int(seen.ends > 0)
-                    for w, n in times.items():
-                        if (x := base_of.get(w)) is None:
-                            unseen.append((row + i - a, w, n))
-                        else:
-                            base += n * x
-                            n_known += n
-                            more += n * other_of.get(w, 0.0)
-                    bases.append(base), known.append(n_known), sizes.append(len(ws) + 1), rare.extend(unseen)
-                    scores.append(float(total[at:at + len(ws) + 1].sum()) + more)
-                    at += len(ws) + 1
-                n, m = b - a, len(rare)
+                sizes, of = lines.sizes + 1, lines.of
+                scores = np.add.reduceat(total, np.cumsum(sizes) - sizes) + np.bincount(of, other_of[lines.numbers], n)
+                bases = base_end + np.bincount(of, base_of[lines.numbers], n)
+                known = np.bincount(of[lines.numbers >= 0], minlength=n) + int(seen.ends > 0)
+                rare = [(row + i, w, times) for (i, w), times in Counter(lines.others).items()]
+                m = len(rare)
                 none = lambda k, t: pa.nulls(k, t)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.arange(row, row + n)), ids.slice(a, n), pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(bases),
