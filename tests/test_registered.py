@@ -1,9 +1,11 @@
 """Queries that compare what an operator makes row by row."""
 
+import datetime
 from pathlib import Path
 
 import pytest
 
+from workload import postings
 from workload.postings import raw_postings
 from workload.queries import QUERIES
 
@@ -18,3 +20,26 @@ def test_keys_of_whole_postings(spark):
 
 def test_readers_are_registered():
     assert {"read_blocks", "read_ungrouped", "broken_blocks"} <= set(QUERIES)
+
+
+@pytest.fixture(scope="module")
+def order_tables(spark, tmp_path_factory):
+    """600 orders of one year, two of them with one key and one without key."""
+    root = str(tmp_path_factory.mktemp("orders"))
+    day = datetime.datetime(1995, 3, 1)
+    orders = [(None if k == 7 else 8 if k == 9 else k, k % 4, "O", "1-URGENT", day + datetime.timedelta(k % 90)) for k in range(600)]
+    frames = {
+        "orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"),
+        "customer": spark.createDataFrame([(k, 0, f"S{k}") for k in range(4)], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "nation": spark.createDataFrame([(0, "PERU")], "n_nationkey int, n_name string"),
+    }
+    for name, df in frames.items():
+        df.write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_one_row_for_a_folder_of_broken_files(spark, order_tables, monkeypatch):
+    monkeypatch.setattr(postings, "FILE_POSTINGS", 20, raising=False)
+    found = QUERIES["broken_blocks"](spark, order_tables)
+    assert len(found.inputFiles()) > 4
+    assert [tuple(r) for r in found.collect()] == [("1995-01-01", "board_b", True)]
