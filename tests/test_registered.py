@@ -38,6 +38,16 @@ def order_tables(spark, tmp_path_factory):
     return root
 
 
+def test_arrays_of_a_large_source_are_several_files(spark, order_tables, monkeypatch):
+    """One array per date and source grew with the table and was built and read in one piece."""
+    monkeypatch.setattr(postings, "FILE_POSTINGS", 20, raising=False)
+    found = QUERIES["read_blocks"](spark, order_tables)
+    assert len(found.inputFiles()) > 4
+    columns = ["group", "source", "title", "link", "salary", "deadline"]
+    expected = raw_postings(spark, order_tables).select(columns)
+    assert found.select(columns).exceptAll(expected).count() == 0 and found.count() == expected.count() == 600
+
+
 def test_one_row_for_a_folder_of_broken_files(spark, order_tables, monkeypatch):
     monkeypatch.setattr(postings, "FILE_POSTINGS", 20, raising=False)
     found = QUERIES["broken_blocks"](spark, order_tables)
