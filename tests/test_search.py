@@ -63,3 +63,24 @@ def test_only_candidates_are_compared(spark, tables, index):
 
 def test_trigrams(evaluate):
     assert evaluate(keyword_index.trigrams, ["ABCd", "ab", "", None, "aaaa", "é\n😀x"]) == [["abc", "bcd"], [], [], [], ["aaa"], ["é\n😀", "\n😀x"]]
+
+
+@pytest.mark.parametrize("criteria", [{}, {"group": "Web"}])
+def test_many_jobs_are_merged_and_sent_to_no_task(tables, monkeypatch, criteria):
+    """By their sizes in files the texts and ids of all jobs looked small enough to go to every task."""
+    expected = [tuple(r) for r in search.search(tables, **criteria).collect()]
+    monkeypatch.setattr(search, "FEW_JOBS", 5, raising=False)
+    found = search.search(tables, **criteria)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2 and "LeftSemi, BuildRight" not in plan and "LeftOuter, BuildRight" not in plan
+    assert [tuple(r) for r in found.collect()] == expected and len(expected) > 5
+
+
+def test_a_model_sends_its_names_to_every_task_and_not_the_postings(spark, tmp_path):
+    rows = [posting(["Web", "Data"][i % 2], f"Job {i}", ["Python", f"s{i % 7}"], location="Huế", description="x" * 50) for i in range(500)]
+    spark.createDataFrame(rows, CLEANED).coalesce(1).write.parquet(str(tmp_path / "postings"))
+    built = star.build_star(spark.read.parquet(str(tmp_path / "postings")).withColumn("job_id", F.monotonically_increasing_id()))
+    for name in ("jobs", "job_skills", "skill_details"):
+        plan = built[name]._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" in plan and "BuildLeft" not in plan, name
+    assert built["jobs"].count() == 500 and built["job_skills"].count() == 1000
