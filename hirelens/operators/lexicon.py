@@ -7,10 +7,12 @@ The work grows with the texts and with what they hold of the lexicon, not with t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.functions.skills import SPAN, collect
+from hirelens.functions.skills import collect
 from hirelens.functions.text import WORD, bind
 from hirelens.workspace import stage, unstage
 
@@ -18,6 +20,9 @@ TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_]+"
 # Signs outside ASCII that count as case forms of ASCII letters.
 SIGNS, LETTERS = "ſKİ", "ski"
 
+# Tokens that one known place serves, as bits: 64.
+PIECE_BITS = 6
+
 
 def tokens(text: Column) -> Column:
     """The words of a text and the gaps between them, in order; together they are the text."""
@@ -37,6 +42,13 @@ def token_starts(found: Column) -> Column:
     return collect(F.concat(found, F.array(F.lit(""))), {"at": F.lit(0)}, step, "int")
 
 
+def piece_starts(found: Column) -> Column:
+    """The place in the text where each piece of 64 tokens starts: places of single tokens are counted on from there."""
+    last = F.shiftright(F.size(found), PIECE_BITS)
+    return token_starts(F.transform(F.sequence(F.lit(0), last), lambda p: F.array_join(
+        F.slice(found, F.call_function("shiftleft", p, F.lit(PIECE_BITS)) + 1, F.lit(1 << PIECE_BITS)), "")))
+
+
 def keyed_terms(lexicon: DataFrame, counts: DataFrame) -> DataFrame:
     """(key, offset, term): the terms as arrays of folded tokens, each under the token that is rarest in the texts and its place.
 
@@ -55,43 +67,83 @@ def lexicon_spans(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
     case is ignored. Null and empty texts and terms hold nothing. A token that very many texts share is dealt
     out by its texts: before the join only the lexicon's few rows with it are copied.
     """
-    found = stage(
+    split = (
         texts.select("text").filter(F.col("text").isNotNull()).distinct()
-        .select("text", F.monotonically_increasing_id().alias("_id"), tokens(F.col("text")).alias("_tokens")), "tokens")
-    words = found.select("_id", F.posexplode("_tokens").alias("at", "key")).withColumn("key", folded(F.col("key")))
+        .select("text", F.monotonically_increasing_id().alias("_id"), tokens(F.col("text")).alias("_tokens")))
+    found = stage(split.withColumn("_folded", F.transform("_tokens", folded)), "tokens")
+    words = found.select("_id", F.posexplode("_folded").alias("at", "key"))
     wanted = lexicon.select(F.explode(tokens(F.col("term"))).alias("key")).select(folded(F.col("key")).alias("key")).distinct()
-    terms = stage(keyed_terms(lexicon, words.join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))), "terms")
-    met = words.join(terms, "key").select("_id", (F.col("at") - F.col("offset")).alias("first"), "term").filter("first >= 0")
-    tried = met.groupBy("_id").agg(F.collect_list(F.struct("term", "first")).alias("_tried"))
-    spans = found.join(tried, "_id").select("text", checked_spans(F.col("_tokens"), F.col("_tried")).alias("spans")).filter(F.size("spans") > 0)
-    result = stage(spans, "spans")
+    keyed = keyed_terms(lexicon, words.join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    terms = stage(keyed.select(
+        "key", "offset", F.monotonically_increasing_id().alias("number"), "term",
+        is_word(F.get("term", F.lit(0))).alias("from_word"), is_word(F.element_at("term", F.lit(-1))).alias("to_word"),
+        overlaps_itself(F.col("term")).alias("again"),
+        F.get("term", F.col("offset") - 2).alias("_before"), F.get("term", F.col("offset") + 2).alias("_after")), "terms")
+    told = ["number", "first", "term", "from_word", "to_word", "again"]
+    # Most places of a frequent token are ruled out by the tokens two before and two after it, mostly the next words.
+    near = F.arrays_zip("_folded", F.concat(F.array(F.lit(None).cast("string"), F.lit(None).cast("string")), "_folded"), F.slice("_folded", 3, F.size("_folded")))
+    places = found.select("_id", F.posexplode(near).alias("at", "x")).select("_id", "at", "x.*").toDF("_id", "at", "key", "before", "after")
+    may_hold = [F.col(f"_{side}").isNull() | (F.col(f"_{side}") == F.col(side)) for side in ("before", "after")]
+    met = places.join(terms, "key").filter(may_hold[0] & may_hold[1]).withColumn("first", F.col("at") - F.col("offset")).filter("first >= 0")
+    tried = met.groupBy("_id").agg(F.collect_list(F.struct(*told)).alias("_tried"))
+    spans = found.join(tried, "_id").select("text", checked_spans(F.col("_tokens"), F.col("_folded"), F.col("_tried")).alias("spans"))
+    # A filter before the spans are written would work them out a second time.
+    result = stage(spans, "spans").filter(F.size("spans") > 0)
     for df in (found, terms):
         unstage(df)
     return result
 
 
-def checked_spans(found: Column, tried: Column) -> Column:
-    """Spans of those tried (term, first token) that the tokens of a text really have."""
-    def is_word(token: Column) -> Column:
-        return token.rlike(f"^{WORD}")
+def is_word(token: Column) -> Column:
+    return token.rlike(f"^{WORD}")
+
+
+def overlaps_itself(term: Column) -> Column:
+    """Can two places of the term share tokens? Then its last tokens are also its first ones."""
+    size = F.size(term)
+    shares = F.exists(F.sequence(F.lit(1), size - 1), lambda k: F.slice(term, F.lit(1), size - k) == F.slice(term, k + 1, size - k))
+    return F.when(size > 1, shares).otherwise(F.lit(False))
+
 
+def checked_spans(found: Column, folded_found: Column, tried: Column) -> Column:
+    """Spans of those tried that the tokens of a text really have.
+
+    A span is one number, start and end, until all are sorted: numbers are told apart by hashing, structs pair by pair.
+    """
     def held(x: Column) -> Column:
         end = x["first"] + F.size(x["term"])
         # A gap at an end of the term needs a word beyond it.
-        inside = (is_word(F.get(x["term"], F.lit(0))) | (x["first"] > 0)) & (is_word(F.element_at(x["term"], F.lit(-1))) | (end < F.size(found)))
-        return inside & (F.transform(F.slice(found, x["first"] + 1, F.size(x["term"])), folded) == x["term"])
+        inside = (x["from_word"] | (x["first"] > 0)) & (x["to_word"] | (end < F.size(folded_found)))
+        return inside & (F.slice(folded_found, x["first"] + 1, F.size(x["term"])) == x["term"])
 
-    def placed(starts: Column) -> Column:
-        def span(x: Column) -> Column:
-            return F.struct(x["term"].alias("term"), F.get(starts, x["first"]).alias("start"), F.get(starts, x["first"] + F.size(x["term"])).alias("end"))
+    def number(start: Column, end: Column) -> Column:
+        return F.shiftleft(start.cast("long"), 32) + end
 
-        def step(acc: Column, x: Column):
-            # By term and start: a term's next span begins after its last one.
-            fits = ~acc["term"].eqNullSafe(x["term"]) | (x["start"] >= acc["last"])
-            following = {"term": x["term"], "last": F.when(fits, x["end"]).otherwise(acc["last"])}
-            return following, fits, F.struct(x["start"], x["end"])
+    def length(first: Column, size: Column) -> Column:
+        return F.char_length(F.array_join(F.slice(found, first + 1, size), ""))
 
-        start = {"term": F.lit(None).cast("array<string>"), "last": F.lit(-1)}
-        return collect(F.sort_array(F.transform(F.filter(tried, held), span)), start, step, SPAN)
+    def placed(starts: Column, tried: Column) -> Column:
+        def span(x: Column, made: Callable[[Column, Column], Column]) -> Column:
+            after = x["first"].bitwiseAND(F.lit((1 << PIECE_BITS) - 1))
+            start = F.get(starts, F.shiftright(x["first"], PIECE_BITS)) + length(x["first"] - after, after)
+            return bind(start, lambda start: made(start, start + length(x["first"], F.size(x["term"]))))
 
-    return F.sort_array(F.array_distinct(bind(token_starts(found), placed)))
+        def step(acc: Column, x: Column):
+            # By term and start: a term's next span begins after its last one.
+            fits = ~acc["number"].eqNullSafe(x["number"]) | (x["start"] >= acc["last"])
+            following = {"number": x["number"], "last": F.when(fits, x["end"]).otherwise(acc["last"])}
+            return following, fits, number(x["start"], x["end"])
+
+        # Only of a term that can overlap itself a span may be in the way of another.
+        plain = F.transform(F.filter(tried, lambda x: ~x["again"]), lambda x: span(x, number))
+        again = F.transform(F.filter(tried, lambda x: x["again"]), lambda x: span(
+            x, lambda start, end: F.struct(x["number"].alias("number"), start.alias("start"), end.alias("end"))))
+        state = {"number": F.lit(None).cast("long"), "last": F.lit(-1)}
+        return F.concat(plain, collect(F.sort_array(again), state, step, "long"))
+
+    def spans(numbers: Column) -> Column:
+        return F.transform(F.sort_array(F.array_distinct(numbers)), lambda n: F.struct(
+            F.shiftright(n, 32).cast("int").alias("start"), n.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("end")))
+
+    right = F.filter(tried, held)
+    return bind(piece_starts(found), lambda starts: bind(right, lambda right: spans(placed(starts, right))))

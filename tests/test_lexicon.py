@@ -57,6 +57,15 @@ def test_a_hundred_thousand_terms(spark):
     assert len(rows) == 2000 and all(len(r.spans) == 1 for r in rows)
 
 
+def test_very_many_spans_in_one_text(spark):
+    """Spans were told apart pair by pair, and worked out twice."""
+    words = [f"w{i}" for i in range(60_000)]
+    start = time.time()
+    (spans,) = found(spark, [" ".join(words)], [*words, "w1 w2", "w3 w5"]).values()
+    assert time.time() - start < 40
+    assert len(spans) == 60_001 and spans == sorted(spans) and spans[:4] == [(0, 2), (3, 5), (3, 8), (6, 8)]
+
+
 def test_nothing(spark):
     assert found(spark, [], ["a"]) == {} and found(spark, ["a"], []) == {} and found(spark, [None, ""], ["", "a"]) == {}
 
