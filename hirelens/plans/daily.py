@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.operators.links import first_per_key, link_key
 from hirelens.plans.clean import clean_postings
 from hirelens.schemas import CLEANED, JOB_FIELDS
-from hirelens.sources.blocks import broken_layout, flatten, load_layout_files, read_layout
+from hirelens.sources.blocks import CORRUPT, broken_layout, flatten, load_layout_files, read_layout
 from hirelens.sources.link_index import KEY, LinkIndex
 from hirelens.workspace import exists, stage, unstage
 
@@ -43,6 +43,21 @@ def _readable(blocks: DataFrame, day: datetime.date) -> None:
         raise ValueError(f"unreadable on {day}: {', '.join(broken)}")
 
 
+def _fresh(blocks: DataFrame, day: datetime.date) -> DataFrame:
+    """One posting per link of the blocks, stored; the files are parsed once, and what is unreadable is counted on the way."""
+    seen = Observation()
+    watched = blocks.withColumn("_file", F.col("_metadata.file_path")).observe(
+        seen, F.count_if(F.col(CORRUPT).isNotNull() & F.col("jobs").isNull()).alias("broken"))
+    fresh = stage(_order(flatten(watched)), "fresh")
+    if seen.get.get("broken") != 0:  # nothing is counted where Spark leaves out an empty scan
+        try:
+            _readable(blocks, day)
+        except ValueError:
+            unstage(fresh)
+            raise
+    return fresh
+
+
 def ingest_day(
     spark: SparkSession, raw: str, target: str, day: datetime.date, sources: Sequence[str], multi_line: bool = False
 ) -> None:
@@ -59,12 +74,12 @@ def ingest_day(
     # The empty write only makes sure that the folder is there.
     spark.createDataFrame([], TARGET).write.mode("ignore").partitionBy("crawl_date").parquet(target)
     blocks = read_layout(spark, raw, multi_line).filter((F.col("crawl_date") == F.lit(day)) & F.col("source").isin(*sources))
-    _readable(blocks, day)
     # Looks at one block of each source, where grouping the day would read all of it twice.
     if any(blocks.filter(F.col("source") == source).isEmpty() for source in sources):
+        _readable(blocks, day)
         return
+    fresh = _fresh(blocks, day)
     index = link_index(spark, target)
-    fresh = stage(_order(flatten(blocks.withColumn("_file", F.col("_metadata.file_path")))), "fresh")
     postings = fresh.join(index.known(fresh, day), KEY, "left_anti")
     found = stage(clean_postings(postings, keep=["source", "crawl_date", KEY]), "day")
     # The index first: a link it has too early is only missing until this day is run again.
@@ -88,9 +103,8 @@ def append_late(
     of the day are read, so a run that was cut off can be repeated.
     """
     blocks = load_layout_files(spark, files, raw, multi_line).filter((F.col("crawl_date") == F.lit(day)) & F.col("source").isin(*sources))
-    _readable(blocks, day)
+    fresh = _fresh(blocks, day)
     index = link_index(spark, target)
-    fresh = stage(_order(flatten(blocks.withColumn("_file", F.col("_metadata.file_path")))), "fresh")
     own = read_target(spark, target).filter(F.col("crawl_date") == F.lit(day)).select(link_key().alias(KEY))
     postings = fresh.join(own, KEY, "left_anti").join(index.known(fresh, day), KEY, "left_anti")
     found = stage(clean_postings(postings, keep=["source", "crawl_date", KEY]), "late")

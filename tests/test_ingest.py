@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hirelens.operators.links import new_links
+from hirelens.plans import daily
 from hirelens.plans.daily import ingest_day, read_target
 from hirelens.schemas import JOB_FIELDS
 from hirelens.sources import blocks
@@ -116,6 +117,20 @@ def test_indented_files_and_broken_ones(spark, tmp_path):
         ingest_day(spark, str(raw), target, DAYS[0], SOURCES, multi_line=True)
 
 
+def test_files_are_parsed_once(spark, tmp_path, monkeypatch):
+    """Every file of a day was parsed a first time only to see whether it can be."""
+    raw, target, calls = str(tmp_path / "raw"), str(tmp_path / "out"), []
+    readable = daily._readable
+    monkeypatch.setattr(daily, "_readable", lambda *args: calls.append(args) or readable(*args))
+    blocks.append_blocks(crawl(spark, ROWS), raw)
+    ingest_day(spark, raw, target, DAYS[0], SOURCES)
+    assert not calls and read_target(spark, target).count() == 4
+    (tmp_path / "raw" / f"crawl_date={DAYS[2]}" / "source=a" / "cut.json").write_text('{"group": "g", "jobs": [')
+    with pytest.raises(ValueError, match="cut.json"):
+        ingest_day(spark, raw, target, DAYS[2], SOURCES)
+    assert len(calls) == 1
+
+
 def test_two_shuffles(spark):
     rows = spark.createDataFrame([("g", "/1", 1)], "`group` string, link string, n int")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
