@@ -6,6 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from hirelens import workspace
 from hirelens.fixed_values import SKILL_LEXICON
 from hirelens.functions import skills
 from hirelens.operators import lexicon
@@ -82,3 +83,60 @@ def test_starts_of_tokens(spark, n):
     text = "é, " * n
     row = spark.createDataFrame([(text,)], "t string").select(lexicon.token_starts(lexicon.tokens(F.col("t"))).alias("s")).first()
     assert row.s == [i for k in range(n) for i in (3 * k, 3 * k + 1)] + [3 * n]
+
+
+@pytest.mark.parametrize("sent", [32 << 20, -1])
+def test_long_texts_whether_terms_are_sent_or_joined(spark, monkeypatch, sent):
+    monkeypatch.setattr(lexicon, "SENT_BYTES", sent)
+    rng = random.Random(5)
+    words = ["a", "B", "c", "é", "Ω", "ſ", "K", ", ", " ", " ", "\x01", "😀", "-"]
+    texts = ["".join(rng.choices(words, k=k)) for k in (1, 7, 8, 31, 32, 33, 63, 64, 65, 300, 1000)]
+    texts += ["a b " * 40, "x " * 16 + "end", " start" + " x" * 30 + " ", "-" + "c a-" * 20]
+    terms = ["a", "a b", "a b a", " ", "a-c", "-", "end", "start ", "x x x x x x x x x x x x x x x x x x x x x", "é, a", "k", "s ω", "\x01", "", "none"]
+    # The plain search folds single characters only.
+    plain = [t.translate(str.maketrans("ſK", "sk")) for t in texts]
+    assert found(spark, texts, terms) == {t: e for t, e in zip(texts, (expected([p], terms).get(p) for p in plain)) if e}
+
+
+def test_spans_by_the_key_of_the_text(spark):
+    texts = spark.createDataFrame([("a b",), ("a b",), (None,), ("x",), ("",)], "text string")
+    terms = spark.createDataFrame([("B",), ("a b",)], "term string")
+    rows = lexicon.lexicon_spans(texts, terms, keyed=True).collect()
+    key = texts.select(lexicon.text_key(F.col("text")).alias("k")).first().k
+    assert [(r.key, [tuple(x) for x in r.spans]) for r in rows] == [(key, [(0, 3), (2, 3)])]
+
+
+def test_folding_keeps_the_length(spark):
+    codes = spark.range(1, 0x110000).filter("(id < 55296 OR id > 57343) AND id <> 65279")
+    char = codes.select(F.concat(F.lit("a"), F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32"), F.lit("b")).alias("c"))
+    assert char.filter((F.char_length("c") != 3) | (F.char_length(lexicon.folded(F.col("c"))) != 3)).count() == 0
+
+
+def test_little_is_written(spark, monkeypatch, tmp_path):
+    """The tokens of all texts were stored twice over, and shuffled with the terms of every candidate: 6.1 times the texts here."""
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(3000)]
+    rows = [(" ".join(rng.choices(words, k=2000)),) for _ in range(300)]
+    spark.createDataFrame(rows, "text string").repartition(4).write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    terms = spark.createDataFrame([(w,) for w in words[:1500]] + [(f"{a} {b}",) for a, b in zip(words, words[1:])], "term string")
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = kept.getAllFiles()
+        return {f.getName(): f.length() for f in map(files.apply, range(files.size())) if f.getName().startswith("shuffle_")}
+
+    written = []
+
+    def stage(df, label, **_):
+        staged = workspace.stage(df, label)
+        written.extend(workspace.size_of(spark, name) for name in staged.inputFiles())
+        return staged
+
+    monkeypatch.setattr(lexicon, "stage", stage)
+    before = shuffled()
+    spans = lexicon.lexicon_spans(texts, terms)
+    size = workspace.size_of(spark, str(tmp_path / "texts"))
+    moved = sum(n for name, n in shuffled().items() if name not in before)
+    assert spans.count() == 300
+    assert sum(written) + moved < 5 * size
