@@ -93,8 +93,7 @@ def lexicon_spans(texts: DataFrame, lexicon: DataFrame, keyed: bool = False) ->
     name = "key" if keyed else "text"
     split = texts.select("text").filter(F.col("text").isNotNull()).distinct().select(F.monotonically_increasing_id().alias("_id"), "text")
     found = stage(split.withColumn("key", text_key(F.col("text"))) if keyed else split, "texts", clean=True)
-    words = found.select(has_signs(F.col("text")).alias("_signs"), tokens(F.col("text")).alias("_tokens")).select("_signs", F.explode("_tokens").alias("key"))
-    words = words.select(F.when(F.col("_signs"), folded(F.col("key"))).otherwise(F.lower("key")).alias("key"))
+    words = found.select(F.explode(folded_tokens(F.col("text"))).alias("key"))
     wanted = lexicon.select(F.explode(tokens(F.col("term"))).alias("key")).select(folded(F.col("key")).alias("key")).distinct()
     counts = words.join(wanted, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     terms = stage(keyed_terms(lexicon, counts).select(
